@@ -23,15 +23,18 @@ def enrich_transactions(
     )
 
 
-def counted_transactions(transactions: DataFrame, cust_accounts: DataFrame) -> DataFrame:
+def counted_transactions(
+    transactions: DataFrame, cust_accounts: DataFrame, repeat: bool | None = None
+) -> DataFrame:
     """The rows of the enriched transactions, for reports that read no dimension column.
 
     A left join on an id that occurs once keeps each transaction exactly once, so the join is
-    left out after a check on the dimension alone. Where an id does repeat, the join is made.
+    left out after a check on the dimension alone, unless the caller knows its outcome. Where
+    an id does `repeat`, the join is made.
     """
-    if account_ids_repeat(cust_accounts):
-        return enrich_transactions(transactions, cust_accounts)
-    return transactions
+    if repeat is None:
+        repeat = account_ids_repeat(cust_accounts)
+    return enrich_transactions(transactions, cust_accounts) if repeat else transactions
 
 
 def sender_totals(transactions: DataFrame, cust_accounts: DataFrame, *attributes: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -28,14 +28,18 @@ def run_insights(
     accounts: DataFrame,
     customers: DataFrame,
     write: Callable[[DataFrame, str], None],
+    types: Sequence[str] | None = None,
+    occupations: Sequence[str] | None = None,
+    products: Sequence[str] | None = None,
 ) -> None:
     """Compute every report and hand it with its table name to `write`.
 
-    The account dimension is shared by all of them and kept in memory meanwhile.
+    The account dimension is shared by all of them and kept in memory meanwhile. Pivots whose
+    columns are not given look them up in the data.
     """
     with cached(customer_accounts(accounts, customers)) as dimension:
         counted = counted_transactions(transactions, dimension)
         write(top_customers(transactions, dimension), TOP_CUSTOMERS_TABLE)
-        write(monthly_type(counted), MONTHLY_TYPE_TABLE)
-        write(segmentation(transactions, dimension), SEGMENTATION_TABLE)
-        write(geo_product(counted), GEO_PRODUCT_TABLE)
+        write(monthly_type(counted, types), MONTHLY_TYPE_TABLE)
+        write(segmentation(transactions, dimension, occupations), SEGMENTATION_TABLE)
+        write(geo_product(counted, products), GEO_PRODUCT_TABLE)

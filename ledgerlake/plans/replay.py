@@ -15,12 +15,14 @@ def time_cuts(rows: DataFrame, column: str, parts: int) -> list[Column]:
     low, high = rows.agg(
         F.min(column).cast("string").alias("low"), F.max(column).cast("string").alias("high")
     ).first()
-    start, end = datetime.fromisoformat(low), datetime.fromisoformat(high)
+    if low is None:
+        return []
+    start = datetime.fromisoformat(low)
+    span = datetime.fromisoformat(high) - start
     kind = rows.schema[column].dataType
-    return [
-        F.lit((start + (end - start) * k / parts).isoformat(sep=" ")).cast(kind)
-        for k in range(1, parts)
-    ]
+    # Rounded up to whole microseconds, which leaves each row on its side of the cut.
+    moments = [start - (-span * k) // parts for k in range(1, parts)]
+    return [F.lit(moment.isoformat(sep=" ")).cast(kind) for moment in moments]
 
 
 def time_ranges(rows: DataFrame, column: str, parts: int) -> list[Column]:

@@ -1,0 +1,218 @@
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from ledgerlake.operators import insights
+from ledgerlake.operators.dimensions import (
+    account_ids_repeat,
+    cached,
+    customer_accounts,
+    with_income_category,
+)
+from ledgerlake.operators.enrichment import counted_transactions, enrich_transactions
+from ledgerlake.operators.pivots import pivot, pivot_labels
+from ledgerlake.plans import queries, tables
+from ledgerlake.plans.insight_job import run_insights
+
+CUSTOMERS = "id int, full_name string, income double, customer_segment string, occupation string, is_vip boolean"
+ACCOUNTS = "account_id int, customer_id int, is_active boolean, current_balance double, date_opened date"
+TRANSACTIONS = (
+    "sender_account_id string, amount decimal(10,2), transaction_type string,"
+    " timestamp timestamp, location string, product_name string"
+)
+
+
+def plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+@pytest.fixture()
+def customers(spark):
+    rows = [
+        (1, "Ann", 20000.0, "gold", "cook", True),
+        (2, "Bob", None, "gold", None, False),
+        (3, "Cy", 70000.0, None, "cook", None),
+    ]
+    return spark.createDataFrame(rows, CUSTOMERS)
+
+
+@pytest.fixture()
+def accounts(spark):
+    rows = [(10, 1), (11, 1), (20, 2), (30, 3), (40, None), (50, 99)]
+    return spark.createDataFrame([(a, c, True, 1.0, None) for a, c in rows], ACCOUNTS)
+
+
+def transactions(spark, *rows):
+    full = []
+    for sender, amount, *rest in rows:
+        kind, month, place, product = [*rest, *[None] * 4][:4]
+        moment = datetime(2024, month or 1, 5)
+        full.append((sender, None if amount is None else Decimal(amount), kind, moment, place, product))
+    return spark.createDataFrame(full, TRANSACTIONS)
+
+
+def test_dimension_keeps_every_account(accounts, customers):
+    rows = {row["account_id"]: row for row in customer_accounts(accounts, customers).collect()}
+    assert sorted(rows) == [10, 11, 20, 30, 40, 50]
+    assert rows[11]["full_name"] == "Ann"
+    assert rows[40]["full_name"] is None and rows[50]["full_name"] is None
+    assert rows[50]["customer_id"] == 99
+
+
+def test_income_category_needs_no_python(accounts, customers):
+    rows = with_income_category(customer_accounts(accounts, customers))
+    found = {row["account_id"]: row["income_category"] for row in rows.collect()}
+    assert found == {10: "Medium", 11: "Medium", 20: "Unknown", 30: "High", 40: "Unknown", 50: "Unknown"}
+    assert "Python" not in plan(rows)
+
+
+def test_enrichment(spark, accounts, customers):
+    dimension = customer_accounts(accounts, customers)
+    rows = transactions(spark, ("10", 1), ("010", 2), ("x", 3), (None, 4), ("77", 5), ("40", 6))
+    found = {row["amount"]: (row["account_id"], row["full_name"])
+             for row in enrich_transactions(rows, dimension).collect()}
+    assert found == {1: (10, "Ann"), 2: (10, "Ann"), 3: (None, None), 4: (None, None),
+                     5: (None, None), 6: (40, None)}
+
+
+def test_top_customers(spark, accounts, customers):
+    dimension = customer_accounts(accounts, customers)
+    rows = transactions(
+        spark,
+        ("10", "1.10"), ("11", "2.20"), ("20", "3.30"), ("30", None),
+        ("x", "3.30"), (None, None), ("40", "0.01"),
+    )
+    found = [tuple(row) for row in insights.top_customers(rows, dimension).collect()]
+    # Account 40 has no customer: it falls into the unmatched group, which ranks first.
+    assert found == [
+        (None, None, Decimal("3.31"), 1),
+        (1, "Ann", Decimal("3.30"), 2),
+        (2, "Bob", Decimal("3.30"), 3),
+        (3, "Cy", None, 4),
+    ]
+    short = insights.top_customers(rows, dimension, length=1, drop_unmatched=True).collect()
+    assert [row["customer_id"] for row in short] == [1]
+
+
+def naive_totals(rows, dimension, *keys):
+    joined = rows.join(
+        dimension, rows.sender_account_id.try_cast("int") == dimension.account_id, "left"
+    )
+    total = F.sum("amount").cast("decimal(20,2)").alias("total")
+    return {tuple(row) for row in joined.groupBy(*keys).agg(total).collect()}
+
+
+def test_repeated_account_ids_repeat_their_transactions(spark, accounts, customers):
+    twice = accounts.unionAll(accounts.where("account_id = 10"))
+    dimension = customer_accounts(twice, customers)
+    assert account_ids_repeat(dimension)
+    assert not account_ids_repeat(customer_accounts(accounts, customers))
+    rows = transactions(
+        spark, ("10", "1.00", "a", 1, "x", "p"), ("20", "2.00", "a", 2, "y", "p"), ("z", "4.00", "b", 1, "x", "q")
+    )
+    assert counted_transactions(rows, dimension).count() == 4
+    found = insights.top_customers(rows, dimension).select("customer_id", "full_name", "total_amount")
+    assert {tuple(r) for r in found.collect()} == naive_totals(rows, dimension, "customer_id", "full_name")
+    by_place = insights.geo_product(counted_transactions(rows, dimension), ["p", "q"])
+    assert {(r["location"], "p", r["p"]) for r in by_place.collect() if r["p"]} | {
+        (r["location"], "q", r["q"]) for r in by_place.collect() if r["q"]
+    } == naive_totals(rows, dimension, "location", "product_name")
+
+
+def test_null_account_ids_do_not_count_as_repeated(spark, customers):
+    rows = spark.createDataFrame([(None, 1, True, 1.0, None)] * 3, ACCOUNTS)
+    assert not account_ids_repeat(customer_accounts(rows, customers))
+
+
+def test_reports_without_attributes_do_not_join(spark, accounts, customers):
+    rows = transactions(spark, ("10", "1.00", "a"))
+    counted = counted_transactions(rows, customer_accounts(accounts, customers))
+    assert "Join" not in plan(insights.monthly_type(counted, ["a"]))
+
+
+def test_monthly_type(spark):
+    rows = transactions(spark, ("1", "1.00", "a", 1), ("1", "2.00", "a", 1), ("1", "4.00", None, 2))
+    report = insights.monthly_type(rows)
+    assert report.columns == ["year_month", "a", "null"]
+    assert {tuple(r) for r in report.collect()} == {
+        ("2024-01", Decimal("3.00"), None), ("2024-02", None, Decimal("4.00"))
+    }
+
+
+def test_segmentation(spark, accounts, customers):
+    dimension = customer_accounts(accounts, customers)
+    rows = transactions(spark, ("10", "1.00"), ("11", "2.00"), ("11", "2.00"), ("20", None), ("x", "8.00"), ("30", None))
+    report = insights.segmentation(rows, dimension)
+    assert report.columns == ["customer_segment", "cook", "null"]
+    assert {tuple(r) for r in report.collect()} == {
+        ("gold", Decimal("1.666667"), None), (None, None, Decimal("8.000000"))
+    }
+
+
+def test_segmentation_is_an_average(spark):
+    rows = tables.transactions(spark, "/root/testdata/sf0.01")
+    sf_dir = "/root/testdata/sf0.01"
+    dimension = customer_accounts(tables.accounts(spark, sf_dir), tables.customers(spark, sf_dir))
+    cells = (
+        enrich_transactions(rows, dimension)
+        .groupBy("customer_segment", F.coalesce("occupation", F.lit("null")).alias("o"))
+        .agg(F.avg("amount").alias("average"))
+    )
+    expected = {(r["customer_segment"], r["o"]): r["average"] for r in cells.collect()}
+    report = insights.segmentation(rows, dimension, tables.OCCUPATIONS)
+    found = {
+        (r["customer_segment"], name): r[name]
+        for r in report.collect()
+        for name in tables.OCCUPATIONS
+        if r[name] is not None
+    }
+    assert found == expected
+
+
+def test_pivot_refuses_to_lose_values(spark):
+    rows = spark.createDataFrame([("g", "a", 1), ("g", "b", 2), ("g", None, 4)], "g string, p string, v int")
+    with pytest.raises(PySparkException, match="value without a column: b"):
+        pivot(rows, F.col("g"), "p", F.sum("v"), ["a", "null"]).collect()
+    with pytest.raises(ValueError):
+        pivot_labels(rows, "p", at_most=2)
+    assert pivot_labels(rows, "p") == ["a", "b", "null"]
+
+
+def test_cache_is_used_and_released(spark, accounts, customers):
+    dimension = customer_accounts(accounts, customers)
+    with cached(dimension) as shared:
+        assert "InMemoryTableScan" in plan(with_income_category(shared).select("income_category"))
+        assert shared.is_cached
+    assert not dimension.is_cached
+
+
+def test_insight_job(spark, accounts, customers, tmp_path):
+    rows = transactions(spark, ("10", "1.00", "a", 1, "x", "p"), ("20", "2.00", "b", 2, "y", "q"))
+    for _ in range(2):
+        run_insights(
+            rows, accounts, customers,
+            lambda df, name: df.write.mode("overwrite").parquet(str(tmp_path / name)),
+        )
+    written = {path.name: spark.read.parquet(str(path)).count() for path in tmp_path.iterdir()}
+    assert written == {
+        "insight_top_customers": 2, "insight_monthly_type": 2,
+        "insight_segmentation": 1, "insight_geo_product": 2,
+    }
+
+
+def test_plans_on_the_given_tables(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    top = plan(queries.top_customers(spark, sf_dir))
+    assert "TakeOrderedAndProject" in top
+    assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double>" in top.replace("\n", "")
+    monthly = plan(queries.monthly_type(spark, sf_dir))
+    assert "Join" not in monthly and "o_custkey" not in monthly
+    for name, query in queries.REGISTERED.items():
+        if name in ("fraud_daily", "hourly_stream", "hourly_late_data", "ingest_transactions"):
+            continue
+        text = plan(query(spark, sf_dir))
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+        assert "Python" not in text and "ObjectHashAggregate" not in text, name
