@@ -1,0 +1,61 @@
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+
+from ledgerlake.operators import fraud
+from ledgerlake.plans import tables
+
+SCHEMA = "sender_account_id string, timestamp timestamp, amount decimal(10,2)"
+
+
+def test_daily_activity(spark):
+    day = datetime(2024, 1, 1)
+    rows = [
+        *[("three", day, Decimal("1.00"))] * 3,
+        *[("four", day, Decimal("1.00"))] * 4,
+        ("exact", day, Decimal("10000.00")),
+        ("above", day, Decimal("10000.01")),
+        ("null", day, None),
+        ("days", day.replace(hour=23, minute=59, second=59), Decimal("6000.00")),
+        ("days", datetime(2024, 1, 2), Decimal("6000.00")),
+    ]
+    flagged = fraud.flag_activity(fraud.daily_activity(spark.createDataFrame(rows, SCHEMA)))
+    assert flagged.columns == [
+        "sender_account_id", "transaction_date", "daily_transaction_count",
+        "daily_transaction_amount", "is_fraud", "activity_key",
+    ]
+    assert dict(flagged.dtypes)["daily_transaction_amount"] == "decimal(20,2)"
+    first, second = date(2024, 1, 1), date(2024, 1, 2)
+    assert {tuple(row)[:5] for row in flagged.collect()} == {
+        ("three", first, 3, Decimal("3.00"), False),
+        ("four", first, 4, Decimal("4.00"), True),
+        ("exact", first, 1, Decimal("10000.00"), False),
+        ("above", first, 1, Decimal("10000.01"), True),
+        ("null", first, 1, Decimal("0.00"), False),
+        ("days", first, 1, Decimal("6000.00"), False),
+        ("days", second, 1, Decimal("6000.00"), False),
+    }
+    alerts = fraud.fraud_alerts(flagged).collect()
+    assert {row["activity_key"] for row in alerts} == {
+        "user_activity:four:2024-01-01", "user_activity:above:2024-01-01"
+    }
+
+
+def test_day_windows_give_the_same_days(spark):
+    rows = tables.event_transactions(tables.events(spark, "/root/testdata/sf0.01"))
+    plain = fraud.daily_activity(rows)
+    windowed = fraud.daily_activity(rows, lateness="2 days")
+    assert plain.dtypes == windowed.dtypes
+    assert plain.exceptAll(windowed).isEmpty() and windowed.exceptAll(plain).isEmpty()
+
+
+def test_day_windows_need_utc(spark):
+    rows = spark.createDataFrame([], SCHEMA)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Ho_Chi_Minh")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            fraud.daily_activity(rows, lateness="1 hour")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
