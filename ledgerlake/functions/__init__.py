@@ -1,3 +1,4 @@
+from ledgerlake.functions.money import money, total
 from ledgerlake.functions.scalars import (
     account_key,
     activity_key,
@@ -14,6 +15,8 @@ __all__ = [
     "income_category",
     "iso_timestamp",
     "is_suspicious",
+    "money",
+    "total",
     "year_month",
     "zero_as_null",
 ]

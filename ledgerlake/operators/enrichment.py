@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions import account_key
+from ledgerlake.functions import account_key, total
 from ledgerlake.operators.dimensions import account_ids_repeat
 from ledgerlake.operators.lookups import BROADCAST_LIMIT, SALT_BUCKETS, left_lookup
 
@@ -49,7 +49,7 @@ def sender_totals(transactions: DataFrame, cust_accounts: DataFrame, *attributes
             account_key(F.col("sender_account_id")).alias("sender_key"), F.col("amount")
         )
         .groupBy("sender_key")
-        .agg(F.sum("amount").alias("amount_sum"), F.count("amount").alias("amount_count"))
+        .agg(total(transactions, "amount").alias("amount_sum"), F.count("amount").alias("amount_count"))
     )
     dimension = cust_accounts.select("account_id", *attributes)
     joined = left_lookup(

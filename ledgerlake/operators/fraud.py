@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions import activity_key, is_suspicious
+from ledgerlake.functions import activity_key, is_suspicious, total
 from ledgerlake.schemas import MONEY_TOTAL
 
 DAILY_KEYS = ("sender_account_id", "transaction_date")
@@ -31,7 +31,7 @@ def daily_activity(transactions: DataFrame, lateness: str | None = None) -> Data
         day = F.window("timestamp", "1 day")
     grouped = transactions.groupBy("sender_account_id", day.alias("day")).agg(
         F.count("*").alias("daily_transaction_count"),
-        F.sum("amount").alias("daily_transaction_amount"),
+        total(transactions, "amount").alias("daily_transaction_amount"),
     )
     date = F.col("day") if lateness is None else F.to_date("day.start")
     return grouped.select(

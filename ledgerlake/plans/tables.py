@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.functions import money
 from ledgerlake.schemas import (
     ACCOUNT_COLUMNS,
     CUSTOMER_COLUMNS,
@@ -50,7 +51,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
     key = F.col("c_custkey")
-    balance = F.col("c_acctbal").cast(MONEY)
+    balance = money(F.col("c_acctbal"))
     return rows.withColumns(
         {
             "id": key.cast("int"),
@@ -77,7 +78,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
-    balance = F.col("c_acctbal").cast(MONEY)
+    balance = money(F.col("c_acctbal"))
     owner = F.when(key % 20 != 7, key - key % 2)
     return (
         load(spark, _path(sf_dir, "customer"))
@@ -123,13 +124,13 @@ def transactions(
         "transaction_type": lambda: F.col("l_returnflag"),
         "sender_account_id": lambda: _text("o_custkey"),
         "receiver_account_id": lambda: _text("l_suppkey"),
-        "amount": lambda: F.col("l_extendedprice").cast(MONEY),
-        "transaction_fee": lambda: (F.col("l_tax") * 100).cast(MONEY),
+        "amount": lambda: money(F.col("l_extendedprice")),
+        "transaction_fee": lambda: money(F.col("l_tax") * 100),
         "subtype": lambda: F.col("l_linestatus"),
         "device_type": lambda: F.concat(F.lit("device "), "l_linenumber"),
         "location": lambda: F.col("n_name"),
         "product_name": lambda: F.col("p_type"),
-        "product_amount": lambda: F.col("l_quantity").cast(MONEY),
+        "product_amount": lambda: money(F.col("l_quantity")),
         "transaction_message": lambda: F.lit(None).cast("string"),
     }
     return rows.select(*[stored[name]().alias(name) for name in columns])
@@ -141,7 +142,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_transactions(rows: DataFrame) -> DataFrame:
     """Events, batch or stream, as the transactions of the streams."""
-    value = F.col("value").cast(MONEY)
+    value = money(F.col("value"))
     nothing = F.lit(None).cast("string")
     return rows.select(
         _text("event_id").alias("transaction_id"),

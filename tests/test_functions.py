@@ -53,3 +53,39 @@ def test_zero_as_null(spark):
     found = values(spark, [(a,) for a in amounts], "a decimal(10,2)", column)
     assert found == [None, Decimal("-1.50"), None, Decimal("2.00")]
     assert values(spark, [(0.0,), (2.5,)], "a double", column) == [None, 2.5]
+
+
+def test_total_equals_sum(spark):
+    rows = spark.range(5000).select(
+        (F.col("id") % 7).alias("k"),
+        ((F.col("id") * 7919 - 12345678) * 271 % 10**10).cast("decimal(10,0)").alias("n"),
+    )
+    cent = F.lit(Decimal("0.01"))
+    rows = rows.select("k", (F.col("n") * cent).cast("decimal(10,2)").alias("a"), "n")
+    rows = rows.unionAll(
+        spark.createDataFrame(
+            [(1, Decimal("99999999.99"), None), (2, Decimal("-99999999.99"), None), (9, None, None)],
+            rows.schema,
+        )
+    )
+    for column in ("a", "n"):
+        exact = F.sum(column).alias("exact")
+        fast = functions.total(rows, column).alias("fast")
+        both = rows.groupBy("k").agg(exact, fast)
+        assert both.schema["exact"].dataType == both.schema["fast"].dataType
+        assert both.where("not (exact <=> fast)").isEmpty()
+        assert both.count() == 8
+
+
+def test_total_of_other_types_is_the_plain_sum(spark):
+    rows = spark.sql("select cast(1e20 as decimal(38,2)) as wide, 1.5D as number")
+    assert rows.agg(functions.total(rows, "wide")).dtypes == rows.agg(F.sum("wide")).dtypes
+    assert rows.agg(functions.total(rows, "number")).first()[0] == 1.5
+
+
+def test_money(spark):
+    numbers = [0.0, 6.55, -2547.4, 99999999.99, 0.07, 1e-9, None]
+    found = values(spark, [(n,) for n in numbers], "n double", functions.money(F.col("n")))
+    assert [None if f is None else str(f) for f in found] == [
+        "0.00", "6.55", "-2547.40", "99999999.99", "0.07", "0.00", None
+    ]

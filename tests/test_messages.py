@@ -122,3 +122,9 @@ def test_publish_then_parse_gives_the_row_back(spark, drawn):
     dropped = parse_messages(to_messages(df)).select("amount").collect()
     expected = [None if row[2] == 0 else row[2] for row in drawn]
     assert [row[0] for row in dropped] == expected
+
+
+def test_each_message_is_parsed_once(spark):
+    for rows in (lake_rows(parsed(spark, "{}")), fraud_rows(parsed(spark, "{}"))):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1
