@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions import activity_key, is_suspicious, total
+from ledgerlake.functions import activity_key, is_suspicious
+from ledgerlake.operators.activity import activity
 from ledgerlake.schemas import MONEY_TOTAL
 
+# Columns of the daily activity.
 DAILY_KEYS = ("sender_account_id", "transaction_date")
+COUNT = "daily_transaction_count"
+AMOUNT = "daily_transaction_amount"
 
 _UTC_NAMES = {"UTC", "ETC/UTC", "GMT", "ETC/GMT", "Z", "+00:00", "UCT", "ZULU", "ETC/UCT"}
 
@@ -29,28 +33,19 @@ def daily_activity(transactions: DataFrame, lateness: str | None = None) -> Data
             raise ValueError(f"day windows need a UTC session, not {zone}")
         transactions = transactions.withWatermark("timestamp", lateness)
         day = F.window("timestamp", "1 day")
-    grouped = transactions.groupBy("sender_account_id", day.alias("day")).agg(
-        F.count("*").alias("daily_transaction_count"),
-        total(transactions, "amount").alias("daily_transaction_amount"),
-    )
+    grouped = activity(transactions, ["sender_account_id", day.alias("day")], COUNT, AMOUNT)
     date = F.col("day") if lateness is None else F.to_date("day.start")
+    amount = F.coalesce(AMOUNT, F.lit(0).cast(MONEY_TOTAL))
     return grouped.select(
-        "sender_account_id",
-        date.alias("transaction_date"),
-        "daily_transaction_count",
-        F.coalesce("daily_transaction_amount", F.lit(0).cast(MONEY_TOTAL)).alias(
-            "daily_transaction_amount"
-        ),
+        "sender_account_id", date.alias("transaction_date"), COUNT, amount.alias(AMOUNT)
     )
 
 
-def flag_activity(activity: DataFrame) -> DataFrame:
+def flag_activity(daily: DataFrame) -> DataFrame:
     """Add the fraud flag and the text key of each sender and day."""
-    count, amount = F.col("daily_transaction_count"), F.col("daily_transaction_amount")
-    key = activity_key(F.col("sender_account_id"), F.col("transaction_date"))
-    return activity.withColumns(
-        {"is_fraud": is_suspicious(count, amount), "activity_key": key}
-    )
+    flag = is_suspicious(F.col(COUNT), F.col(AMOUNT))
+    key = activity_key(*[F.col(name) for name in DAILY_KEYS])
+    return daily.withColumns({"is_fraud": flag, "activity_key": key})
 
 
 def fraud_alerts(flagged: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import total, year_month
+from ledgerlake.operators.activity import activity
 from ledgerlake.operators.enrichment import sender_totals
 from ledgerlake.operators.pivots import pivot
 from ledgerlake.schemas import MONEY_AVERAGE, MONEY_TOTAL
@@ -86,14 +87,7 @@ def hourly_activity(transactions: DataFrame, lateness: str | None = HOURLY_LATEN
     """
     if transactions.isStreaming and lateness is not None:
         transactions = transactions.withWatermark("timestamp", lateness)
-    return (
-        transactions.groupBy(F.window("timestamp", HOURLY_WINDOW), "transaction_type")
-        .agg(F.count("*").alias("tx_count"), total(transactions, "amount").alias("total_amount"))
-        .select(
-            F.col("window.start").alias("hour_start"),
-            F.col("window.end").alias("hour_end"),
-            "transaction_type",
-            "tx_count",
-            "total_amount",
-        )
-    )
+    hour = F.window("timestamp", HOURLY_WINDOW).alias("hour")
+    hours = activity(transactions, [hour, "transaction_type"], "tx_count", "total_amount")
+    bounds = [F.col(f"hour.{side}").alias(f"hour_{side}") for side in ("start", "end")]
+    return hours.select(*bounds, *hours.columns[1:])

@@ -55,18 +55,23 @@ def _last_rows(log: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Each key's last row."""
+    """Each key's last row. While a batch is being written, some keys may already show it."""
     return _last_rows(_log(spark, path), keys)
 
 
-def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> int:
+def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> int | None:
     """Gather the log into a new base, so that reading need not go back to the first batch.
 
-    The base counts only once it is marked as finished. It covers the batches found at the
-    start, so a stream may go on writing. Change directories below the returned batch id are
-    not read any more and may be removed.
+    The stream may go on meanwhile. Its newest batch may still be in writing, or be written
+    again after a restart, so the base covers the batches before it; and it counts only once it
+    is marked as finished. Change directories up to the returned batch id are not read any more
+    and may be removed. None means that there is nothing to gather yet.
     """
-    upto = spark.read.parquet(f"{path}/changes").agg(F.max("batch_id")).first()[0]
+    ids = spark.read.parquet(f"{path}/changes").select("batch_id").distinct()
+    newest = ids.orderBy(F.col("batch_id").desc()).limit(2).collect()
+    if len(newest) < 2:
+        return None
+    upto = newest[1]["batch_id"]
     if upto == _finished_base(spark, path):
         return upto
     log = _log(spark, path).where(F.col("batch_id") <= upto)

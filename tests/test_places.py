@@ -6,8 +6,9 @@ from unittest.mock import MagicMock
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlake.plans import tables, transfer_jobs
 from ledgerlake.plans.workspace import new_place
-from ledgerlake.schemas import ACCOUNT_COLUMNS, STORED_TRANSACTION
+from ledgerlake.schemas import ACCOUNT_COLUMNS, CUSTOMER_COLUMNS, STORED_TRANSACTION
 from ledgerlake.sinks import jdbc as jdbc_sink
 from ledgerlake.sinks import kafka as kafka_sink
 from ledgerlake.sinks.files import overwrite_parquet, snapshot
@@ -185,3 +186,44 @@ def test_places_without_a_shared_folder():
     session.sparkContext.master = "spark://host:7077"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         new_place(session, "x")
+
+
+class Database:
+    """Stands for the JDBC reads: gives prepared tables and keeps what was asked for."""
+
+    def __init__(self, monkeypatch, **tables):
+        self.tables, self.asked = tables, []
+        monkeypatch.setattr(transfer_jobs, "measure_split", self.measure_split)
+        monkeypatch.setattr(transfer_jobs, "read_table", self.read_table)
+
+    def measure_split(self, spark, connection, table, key, readers):
+        return jdbc_source.Split(key, 0, 9, readers)
+
+    def read_table(self, spark, connection, table, columns, split):
+        self.asked.append((table, split.column, split.partitions))
+        return self.tables[table.split(".")[1]].select(*columns)
+
+
+def test_snapshot_job(spark, monkeypatch, tmp_path):
+    customers = tables.customers(spark, "/root/testdata/sf0.001")
+    accounts = tables.accounts(spark, "/root/testdata/sf0.001")
+    database = Database(monkeypatch, customers=customers, accounts=accounts)
+    for _ in range(2):
+        transfer_jobs.snapshot_dimensions(spark, CONNECTION, str(tmp_path))
+    assert database.asked[:2] == [("public.customers", "id", 16), ("public.accounts", "account_id", 16)]
+    stored = files.read_parquet(spark, str(tmp_path / "customers"))
+    assert stored.columns == CUSTOMER_COLUMNS and stored.count() == customers.count()
+    stored = files.load(spark, str(tmp_path / "accounts"))
+    assert stored.columns == ACCOUNT_COLUMNS and stored.count() == accounts.count()
+
+
+def test_publish_job(spark, monkeypatch):
+    rows = tables.event_transactions(tables.events(spark, "/root/testdata/sf0.001"))
+    database = Database(monkeypatch, transactions=rows)
+    sent = []
+    monkeypatch.setattr(transfer_jobs, "publish", lambda *call: sent.append(call))
+    transfer_jobs.publish_transactions(spark, CONNECTION, "b:9092", "payments", {"k": "v"})
+    [(messages, *place)] = sent
+    assert place == ["b:9092", "payments", {"k": "v"}]
+    assert messages.dtypes == [("value", "binary")] and messages.count() == rows.count()
+    assert database.asked == [("public.transactions", "transaction_id", 16)]
