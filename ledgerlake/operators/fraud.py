@@ -11,6 +11,7 @@ from ledgerlake.schemas import MONEY_TOTAL
 
 # Columns of the daily activity.
 DAILY_KEYS = ("sender_account_id", "transaction_date")
+KEY = "activity_key"
 COUNT = "daily_transaction_count"
 AMOUNT = "daily_transaction_amount"
 
@@ -45,7 +46,7 @@ def flag_activity(daily: DataFrame) -> DataFrame:
     """Add the fraud flag and the text key of each sender and day."""
     flag = is_suspicious(F.col(COUNT), F.col(AMOUNT))
     key = activity_key(*[F.col(name) for name in DAILY_KEYS])
-    return daily.withColumns({"is_fraud": flag, "activity_key": key})
+    return daily.withColumns({"is_fraud": flag, KEY: key})
 
 
 def fraud_alerts(flagged: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ledgerlake.operators import fraud, insights
 from ledgerlake.operators.dimensions import (
     account_ids_repeat,
+    cached,
     customer_accounts,
     with_income_category,
 )
@@ -232,26 +233,27 @@ def fraud_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
             jobs.AVAILABLE_NOW,
         ),
     )
-    return changelog.latest(spark, log, fraud.DAILY_KEYS)
+    return changelog.latest(spark, log, (*fraud.DAILY_KEYS, fraud.KEY))
 
 
 def _hourly(spark: SparkSession, sf_dir: str, parts: list[DataFrame], name: str) -> DataFrame:
     place = new_place(spark, name)
     landing, log = f"{place}/json", f"{place}/hours"
-    dimension = _dimension(spark, sf_dir)
-    arrive(
-        parts,
-        lambda part: part.write.mode("append").json(
-            landing, timestampFormat=files.TIMESTAMP_TEXT
-        ),
-        lambda: jobs.watch_hours(
-            files.json_stream(spark, landing, max_files_per_trigger=None),
-            dimension,
-            changelog.batch_writer(log),
-            f"{place}/checkpoint",
-            jobs.AVAILABLE_NOW,
-        ),
-    )
+    # Kept in memory: every micro-batch joins it again.
+    with cached(_dimension(spark, sf_dir).select("account_id")) as account_ids:
+        arrive(
+            parts,
+            lambda part: part.write.mode("append").json(
+                landing, timestampFormat=files.TIMESTAMP_TEXT
+            ),
+            lambda: jobs.watch_hours(
+                files.json_stream(spark, landing, max_files_per_trigger=None),
+                account_ids,
+                changelog.batch_writer(log),
+                f"{place}/checkpoint",
+                jobs.AVAILABLE_NOW,
+            ),
+        )
     return changelog.latest(spark, log, HOURLY_KEYS)
 
 

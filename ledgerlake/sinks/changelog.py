@@ -48,10 +48,11 @@ def _log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _last_rows(log: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # A key has one row per batch at most, so no group is large.
+    # A key has one row per batch at most: no group is large, and all values are of one row.
+    # Taken one by one, numbers are aggregated by hash; a struct or a text would be by sorting.
     values = [name for name in log.columns if name not in (*keys, "batch_id")]
-    last = F.max_by(F.struct(*values), F.col("batch_id")).alias("last")
-    return log.groupBy(*keys).agg(last).select(*keys, "last.*")
+    last = [F.max_by(name, "batch_id").alias(name) for name in values]
+    return log.groupBy(*keys).agg(*last)
 
 
 def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:

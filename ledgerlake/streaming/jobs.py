@@ -21,6 +21,15 @@ from ledgerlake.operators.messages import fraud_rows, lake_rows, parse_messages
 AVAILABLE_NOW = {"availableNow": True}
 EVERY_MINUTE = {"processingTime": "1 minute"}
 
+# Session settings for state larger than the executors' memory. They hold from the first run of
+# a checkpoint on, as does spark.sql.shuffle.partitions, which fixes the number of state stores.
+LARGE_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 BatchFunction = Callable[[DataFrame, int], None]
 
 
