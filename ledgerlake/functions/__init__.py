@@ -1,4 +1,4 @@
-from ledgerlake.functions.money import money, total
+from ledgerlake.functions.money import average_type, money, sum_type, total
 from ledgerlake.functions.scalars import (
     account_key,
     activity_key,
@@ -12,10 +12,12 @@ from ledgerlake.functions.scalars import (
 __all__ = [
     "account_key",
     "activity_key",
+    "average_type",
     "income_category",
     "iso_timestamp",
     "is_suspicious",
     "money",
+    "sum_type",
     "total",
     "year_month",
     "zero_as_null",

@@ -34,6 +34,16 @@ def total(rows: DataFrame, column: str) -> Column:
     return (whole * unit).cast(f"decimal({kind.precision + 10},{kind.scale})")
 
 
+def sum_type(rows: DataFrame, column: str) -> T.DataType:
+    """The type of the sum of a column."""
+    return rows.agg(F.sum(column)).schema[0].dataType
+
+
+def average_type(rows: DataFrame, column: str) -> T.DataType:
+    """The type of the average of a column."""
+    return rows.agg(F.avg(column)).schema[0].dataType
+
+
 def money(amount: Column) -> Column:
     """A double as DECIMAL(10,2). A plain cast goes through the number's text."""
     cents = F.rint(amount * 100).cast("bigint").cast("decimal(10,0)")

@@ -39,7 +39,7 @@ def activity_key(sender: Column, day: Column) -> Column:
 
 def account_key(sender: Column) -> Column:
     """Account number held in a text column; NULL where the text is no number."""
-    return sender.try_cast("int")
+    return sender.try_cast("bigint")
 
 
 def zero_as_null(value: Column) -> Column:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import activity_key, is_suspicious
 from ledgerlake.operators.activity import activity
-from ledgerlake.schemas import MONEY_TOTAL
 
 # Columns of the daily activity.
 DAILY_KEYS = ("sender_account_id", "transaction_date")
@@ -36,7 +35,7 @@ def daily_activity(transactions: DataFrame, lateness: str | None = None) -> Data
         day = F.window("timestamp", "1 day")
     grouped = activity(transactions, ["sender_account_id", day.alias("day")], COUNT, AMOUNT)
     date = F.col("day") if lateness is None else F.to_date("day.start")
-    amount = F.coalesce(AMOUNT, F.lit(0).cast(MONEY_TOTAL))
+    amount = F.coalesce(AMOUNT, F.lit(0).cast("decimal(1,0)"))
     return grouped.select(
         "sender_account_id", date.alias("transaction_date"), COUNT, amount.alias(AMOUNT)
     )

@@ -11,11 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.functions import total, year_month
+from ledgerlake.functions import average_type, sum_type, total, year_month
 from ledgerlake.operators.activity import activity
 from ledgerlake.operators.enrichment import sender_totals
 from ledgerlake.operators.pivots import pivot
-from ledgerlake.schemas import MONEY_AVERAGE, MONEY_TOTAL
 
 # Length of the ranking, and the hourly window with its allowed lateness.
 RANKING_LENGTH = 10
@@ -43,12 +42,9 @@ def top_customers(
         F.col("customer_id").asc_nulls_first(),
         F.col("full_name").asc_nulls_first(),
     ]
-    best = (
-        totals.groupBy("customer_id", "full_name")
-        .agg(F.sum("amount_sum").cast(MONEY_TOTAL).alias("total_amount"))
-        .orderBy(*ordering)
-        .limit(length)
-    )
+    amount = F.sum("amount_sum").cast(sum_type(transactions, "amount"))
+    customers = totals.groupBy("customer_id", "full_name").agg(amount.alias("total_amount"))
+    best = customers.orderBy(*ordering).limit(length)
     return best.withColumn("rank", F.row_number().over(Window.orderBy(*ordering)))
 
 
@@ -60,7 +56,8 @@ def monthly_type(counted: DataFrame, types: Sequence[str] | None = None) -> Data
     day = F.to_date("timestamp").alias("day")
     daily = counted.groupBy(day, "transaction_type").agg(total(counted, "amount").alias("amount"))
     month = year_month(F.col("day")).alias("year_month")
-    return pivot(daily, month, "transaction_type", F.sum("amount").cast(MONEY_TOTAL), types)
+    amount = F.sum("amount").cast(sum_type(counted, "amount"))
+    return pivot(daily, month, "transaction_type", amount, types)
 
 
 def segmentation(
@@ -68,10 +65,10 @@ def segmentation(
 ) -> DataFrame:
     """Average amount per customer segment, one column per occupation."""
     totals = sender_totals(transactions, cust_accounts, "customer_segment", "occupation")
-    average = F.try_divide(F.sum("amount_sum").cast(MONEY_TOTAL), F.sum("amount_count"))
-    return pivot(
-        totals, F.col("customer_segment"), "occupation", average.cast(MONEY_AVERAGE), occupations
-    )
+    amount = F.sum("amount_sum").cast(sum_type(transactions, "amount"))
+    average = F.try_divide(amount, F.sum("amount_count"))
+    average = average.cast(average_type(transactions, "amount"))
+    return pivot(totals, F.col("customer_segment"), "occupation", average, occupations)
 
 
 def geo_product(counted: DataFrame, products: Sequence[str] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from ledgerlake.plans.tables import BATCH_TYPES, OCCUPATIONS, PRODUCTS
 
 CUSTOMERS = """
 customers as (
-    select cast(c_custkey as int) as id,
+    select c_custkey as id,
            'user' || c_custkey as username,
            c_name as full_name,
            cast(date '1950-01-01' + cast(c_custkey % 20000 as int) as varchar) as date_of_birth,
@@ -36,9 +36,8 @@ customers as (
 
 ACCOUNTS = """
 accounts as (
-    select cast(c_custkey as int) as account_id,
-           cast(case when c_custkey % 20 <> 7 then c_custkey - c_custkey % 2 end as int)
-               as customer_id,
+    select c_custkey as account_id,
+           case when c_custkey % 20 <> 7 then c_custkey - c_custkey % 2 end as customer_id,
            c_custkey % 11 <> 0 as is_active,
            cast(cast(c_acctbal as decimal(10,2)) + 100 as double) as initial_balance,
            '2020-01-01' as date_opened,
@@ -95,7 +94,7 @@ event_transactions as (
 ENRICHED = """
 enriched as (
     select * from transactions
-    left join categorized on try_cast(sender_account_id as int) = account_id
+    left join categorized on try_cast(sender_account_id as bigint) = account_id
 )"""
 
 _TYPED = """transaction_id, "timestamp", transaction_type, sender_account_id,

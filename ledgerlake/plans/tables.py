@@ -2,7 +2,7 @@
 
 Customers, accounts and transactions of a bank are derived column by column from the tables of
 a shop: an order's customer sends a transaction for each of its line items; events are the
-transactions of the streams.
+transactions of the streams. Ids are as wide as the keys they come from.
 """
 
 from __future__ import annotations
@@ -54,7 +54,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     balance = money(F.col("c_acctbal"))
     return rows.withColumns(
         {
-            "id": key.cast("int"),
+            "id": key,
             "username": F.concat(F.lit("user"), key),
             "full_name": F.col("c_name"),
             "date_of_birth": _days_after("1950-01-01", key % 20000),
@@ -85,8 +85,8 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where(key % 25 != 3)
         .withColumns(
             {
-                "account_id": key.cast("int"),
-                "customer_id": owner.cast("int"),
+                "account_id": key,
+                "customer_id": owner,
                 "is_active": key % 11 != 0,
                 "initial_balance": (balance + 100).cast(MONEY),
                 "date_opened": F.lit("2020-01-01").cast("date"),

@@ -85,5 +85,3 @@ CUSTOMER_ACCOUNT_COLUMNS = [
 MESSAGE = "`value` BINARY"
 
 MONEY = "decimal(10,2)"
-MONEY_TOTAL = "decimal(20,2)"
-MONEY_AVERAGE = "decimal(14,6)"

@@ -17,8 +17,13 @@ from ledgerlake.operators.pivots import pivot, pivot_labels
 from ledgerlake.plans import queries, tables
 from ledgerlake.plans.insight_job import run_insights
 
-CUSTOMERS = "id int, full_name string, income double, customer_segment string, occupation string, is_vip boolean"
-ACCOUNTS = "account_id int, customer_id int, is_active boolean, current_balance double, date_opened date"
+CUSTOMERS = (
+    "id int, full_name string, income double, customer_segment string, occupation string,"
+    " is_vip boolean"
+)
+ACCOUNTS = (
+    "account_id int, customer_id int, is_active boolean, current_balance double, date_opened date"
+)
 TRANSACTIONS = (
     "sender_account_id string, amount decimal(10,2), transaction_type string,"
     " timestamp timestamp, location string, product_name string"
@@ -111,7 +116,10 @@ def test_repeated_account_ids_repeat_their_transactions(spark, accounts, custome
     assert account_ids_repeat(dimension)
     assert not account_ids_repeat(customer_accounts(accounts, customers))
     rows = transactions(
-        spark, ("10", "1.00", "a", 1, "x", "p"), ("20", "2.00", "a", 2, "y", "p"), ("z", "4.00", "b", 1, "x", "q")
+        spark,
+        ("10", "1.00", "a", 1, "x", "p"),
+        ("20", "2.00", "a", 2, "y", "p"),
+        ("z", "4.00", "b", 1, "x", "q"),
     )
     assert counted_transactions(rows, dimension).count() == 4
     found = insights.top_customers(rows, dimension).select("customer_id", "full_name", "total_amount")
@@ -144,7 +152,10 @@ def test_monthly_type(spark):
 
 def test_segmentation(spark, accounts, customers):
     dimension = customer_accounts(accounts, customers)
-    rows = transactions(spark, ("10", "1.00"), ("11", "2.00"), ("11", "2.00"), ("20", None), ("x", "8.00"), ("30", None))
+    rows = transactions(
+        spark, ("10", "1.00"), ("11", "2.00"), ("11", "2.00"), ("20", None), ("x", "8.00"),
+        ("30", None),
+    )
     report = insights.segmentation(rows, dimension)
     assert report.columns == ["customer_segment", "cook", "null"]
     assert {tuple(r) for r in report.collect()} == {
@@ -216,3 +227,21 @@ def test_plans_on_the_given_tables(spark):
         text = plan(query(spark, sf_dir))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
         assert "Python" not in text and "ObjectHashAggregate" not in text, name
+
+
+def test_amounts_of_other_types(spark, accounts, customers):
+    dimension = customer_accounts(accounts, customers)
+    for kind in ("double", "decimal(20,4)"):
+        rows = transactions(spark, ("10", "1.50", "a"), ("11", "2.25", "a"), ("20", "0.25", "b"))
+        rows = rows.withColumn("amount", F.col("amount").cast(kind))
+        total = rows.agg(F.sum("amount").alias("t")).dtypes[0][1]
+        average = rows.agg(F.avg("amount").alias("t")).dtypes[0][1]
+        top = insights.top_customers(rows, dimension)
+        assert dict(top.dtypes)["total_amount"] == total
+        assert [float(row["total_amount"]) for row in top.collect()] == [3.75, 0.25]
+        months = insights.monthly_type(rows)
+        assert dict(months.dtypes)["a"] == total
+        assert [(float(row["a"]), float(row["b"])) for row in months.collect()] == [(3.75, 0.25)]
+        segments = insights.segmentation(rows, dimension)
+        assert dict(segments.dtypes)["cook"] == average
+        assert [float(row["cook"]) for row in segments.collect()] == [1.875]
