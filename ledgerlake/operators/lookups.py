@@ -31,6 +31,15 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
+def salt(facts: DataFrame, buckets: int) -> Column:
+    """A bucket from a row's values and its partition: the same whenever a task is run again.
+
+    Rows with one key differ in their values; copies of one row differ in their partition.
+    """
+    values = F.xxhash64(*facts.columns, F.spark_partition_id())
+    return F.pmod(values, F.lit(buckets)).cast("int")
+
+
 def left_lookup(
     facts: DataFrame,
     dimension: DataFrame,
@@ -46,8 +55,7 @@ def left_lookup(
       own threshold, which suits facts that are small themselves.
     - A larger one is joined by shuffle. For batch input, adaptive execution splits the
       partition of a hot key. It does not run for stateful streams, so there each fact gets
-      a salt computed from its own values (the same on every retry) and the dimension is
-      repeated per salt.
+      a salt and the dimension is repeated per salt.
     """
     key = F.col(dimension_key)
     if broadcast_limit is not None and measured_bytes(dimension) <= broadcast_limit:
@@ -55,9 +63,8 @@ def left_lookup(
     if not facts.isStreaming:
         return facts.join(dimension, fact_key == key, "left")
 
-    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salt_buckets)).cast("int")
     salts = F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-    left = facts.withColumn(_SALT, salt)
+    left = facts.withColumn(_SALT, salt(facts, salt_buckets))
     right = dimension.select("*", salts.alias(_SALT + "_copy"))
     joined = left.join(right, (fact_key == key) & (F.col(_SALT) == F.col(_SALT + "_copy")), "left")
     return joined.drop(_SALT, _SALT + "_copy")

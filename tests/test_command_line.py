@@ -1,0 +1,125 @@
+import pytest
+
+from ledgerlake import __main__ as command_line
+from ledgerlake.operators import fraud, insights
+from ledgerlake.operators.messages import to_messages
+from ledgerlake.plans import tables, transfer_jobs
+from ledgerlake.sinks import changelog
+from ledgerlake.sources import files
+from ledgerlake.sources.jdbc import Connection
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture()
+def place(spark, tmp_path):
+    events = tables.event_transactions(tables.events(spark, SF_DIR))
+    to_messages(events).write.parquet(f"{tmp_path}/messages")
+    events.write.json(f"{tmp_path}/json", timestampFormat=files.TIMESTAMP_TEXT)
+    tables.transactions(spark, SF_DIR).write.parquet(f"{tmp_path}/transactions")
+    tables.accounts(spark, SF_DIR).write.parquet(f"{tmp_path}/accounts")
+    tables.customers(spark, SF_DIR).write.parquet(f"{tmp_path}/customers")
+    return tmp_path
+
+
+def run(text):
+    command_line.main(text.split())
+
+
+def test_streaming_jobs(spark, place):
+    events = tables.event_transactions(tables.events(spark, SF_DIR))
+    source = f"--messages {place}/messages --once"
+    run(f"ingest {source} --lake {place}/lake --checkpoint {place}/c1")
+    assert files.read_parquet(spark, f"{place}/lake").count() == events.count()
+
+    run(f"fraud {source} --log {place}/days --checkpoint {place}/c2")
+    days = fraud.flag_activity(fraud.daily_activity(events.where("amount <> 0")))
+    found = changelog.latest(spark, f"{place}/days", [*fraud.DAILY_KEYS, fraud.KEY])
+    assert found.select(*days.columns).exceptAll(days).isEmpty()
+    assert found.count() == days.count()
+
+    run(
+        f"hourly --json {place}/json --accounts {place}/accounts --customers {place}/customers"
+        f" --log {place}/hours --checkpoint {place}/c3 --once"
+    )
+    hours = insights.hourly_activity(events)
+    found = changelog.latest(
+        spark, f"{place}/hours", ["hour_start", "hour_end", "transaction_type"]
+    )
+    assert found.select(*hours.columns).exceptAll(hours).isEmpty()
+    assert found.count() == hours.count()
+
+
+def test_reports(spark, place):
+    run(
+        f"insights --transactions {place}/transactions --accounts {place}/accounts"
+        f" --customers {place}/customers --out {place}/reports"
+    )
+    assert {path.name for path in (place / "reports").iterdir()} == {
+        "insight_top_customers",
+        "insight_monthly_type",
+        "insight_segmentation",
+        "insight_geo_product",
+    }
+    assert spark.read.parquet(f"{place}/reports/insight_top_customers").count() == 10
+
+
+def test_reports_to_a_database(place, monkeypatch):
+    written = []
+    monkeypatch.setattr(
+        command_line,
+        "overwrite_table",
+        lambda report, connection, name, keep_definition: written.append(
+            (name, connection.url, keep_definition)
+        ),
+    )
+    run(
+        f"insights --transactions {place}/transactions --accounts {place}/accounts"
+        f" --customers {place}/customers --url jdbc:none:x --driver no.Driver"
+    )
+    assert written == [
+        (f"insight_{name}", "jdbc:none:x", False)
+        for name in ("top_customers", "monthly_type", "segmentation", "geo_product")
+    ]
+
+
+def test_database_jobs(spark, monkeypatch):
+    calls = []
+    monkeypatch.setenv("SECRET", "hush")
+    monkeypatch.setattr(transfer_jobs, "snapshot_dimensions", lambda *call: calls.append(call[1:]))
+    monkeypatch.setattr(transfer_jobs, "publish_transactions", lambda *call: calls.append(call[1:]))
+    database = "--url u --driver d --user me --password-variable SECRET"
+    run(f"snapshot {database} --out /lake")
+    run(
+        f"publish {database} --servers s --topic t --login-mechanism M --login-protocol P"
+        " --login-module L --login-user me --login-password-variable SECRET"
+    )
+    connection = Connection("u", "d", "me", "hush")
+    login = {
+        "kafka.sasl.mechanism": "M",
+        "kafka.security.protocol": "P",
+        "kafka.sasl.jaas.config": 'L required username="me" password="hush";',
+    }
+    assert calls == [
+        (connection, "/lake", "public"),
+        (connection, "s", "t", login, "public.transactions"),
+    ]
+
+
+def test_topic_needs_the_connector(spark, tmp_path):
+    with pytest.raises(Exception, match="kafka"):
+        run(f"ingest --servers s --topic t --lake {tmp_path}/l --checkpoint {tmp_path}/c --once")
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "insights --transactions a --accounts b --customers c",
+        "ingest --lake a --checkpoint b --servers c",
+        "fraud --log a --checkpoint b",
+        "",
+    ],
+)
+def test_missing_places_are_refused(text):
+    with pytest.raises(SystemExit):
+        run(text)

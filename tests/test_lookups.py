@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.lookups import left_lookup, measured_bytes
+from ledgerlake.operators.lookups import left_lookup, measured_bytes, salt
 
 
 def plan(df):
@@ -103,3 +103,13 @@ def test_hot_key_in_a_stream(spark, tmp_path, facts, dimension, broadcast_limit)
     )
     query.trigger(availableNow=True).start(out).awaitTermination()
     assert found(spark.read.parquet(out)) == brute_force(facts, dimension)
+
+
+def test_copies_of_a_row_are_spread(spark):
+    copies = spark.range(0, 4000, 1, 40).select(F.lit(7).alias("k"), F.lit("same").alias("v"))
+    buckets = copies.withColumn("salt", salt(copies, 8)).groupBy("salt").count().collect()
+    assert {row["salt"] for row in buckets} == set(range(8))
+    assert max(row["count"] for row in buckets) < 1500
+    distinct = spark.range(0, 4000, 1, 1).select(F.lit(7).alias("k"), "id")
+    buckets = distinct.withColumn("salt", salt(distinct, 8)).groupBy("salt").count().collect()
+    assert max(row["count"] for row in buckets) < 700
