@@ -250,3 +250,21 @@ def test_time_ranges(spark):
 def test_stored_schema_is_the_wire_schema_with_a_typed_time(spark, events):
     empty = spark.createDataFrame([], STORED_TRANSACTION)
     assert empty.dtypes == events.dtypes
+
+
+@pytest.mark.parametrize("trigger", [None, {"processingTime": "1 second"}])
+def test_a_stream_that_goes_on(spark, tmp_path, events, trigger):
+    landing, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    to_messages(events).write.parquet(landing)
+    query = jobs.ingest(
+        files.message_stream(spark, landing), lake, str(tmp_path / "checkpoint"), trigger
+    )
+    try:
+        query.processAllAvailable()
+        assert files.read_parquet(spark, lake).count() == events.count()
+        to_messages(events).write.mode("append").parquet(landing)
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    assert files.read_parquet(spark, lake).count() == 2 * events.count()
