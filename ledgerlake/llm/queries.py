@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, decontamination, sharding
+from ledgerlake.llm import bpe, decontamination, sharding, warc
 from ledgerlake.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,18 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    return warc.read_archives(warc.archive_pages(pages)).select(
+        F.col("page").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontamination.decontaminate(docs, items).select(
@@ -44,7 +56,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op3_bpe, op4_sharding, op8_decontamination]
+    found = [op3_bpe, op4_sharding, op6_warc, op8_decontamination]
     return {f.__name__: f for f in found}
 
 
@@ -111,5 +123,21 @@ FROM d LEFT JOIN word USING (doc_id) LEFT JOIN item USING (doc_id)
 """
 
 
+_WARC_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha256(coalesce(html, '')) AS digest,
+         strlen(coalesce(html, '')) AS bytes FROM pages
+), f AS (SELECT digest, min(page_id) AS first FROM p WHERE bytes >= 100 GROUP BY 1)
+SELECT page_id, bytes::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first IS NULL OR first IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (digest)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_sharding": _sharding_sql(), "op8_decontamination": _decontamination_sql()}
+    return {
+        "op4_sharding": _sharding_sql(),
+        "op6_warc": _WARC_SQL,
+        "op8_decontamination": _decontamination_sql(),
+    }
