@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, decontamination, sharding, suffix_dedup, warc
+from ledgerlake.llm import bpe, decontamination, jaccard, sharding, suffix_dedup, warc
 from ledgerlake.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.read_vocabulary(public_tokenizers.path(TOKENIZER))
     encoded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary)
@@ -67,7 +71,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op3_bpe, op4_sharding, op6_warc, op7_suffix_dedup, op8_decontamination]
+    found = [op2_jaccard, op3_bpe, op4_sharding, op6_warc, op7_suffix_dedup, op8_decontamination]
     return {f.__name__: f for f in found}
 
 
@@ -146,8 +150,30 @@ FROM p LEFT JOIN f USING (digest)
 """
 
 
+def _jaccard_sql() -> str:
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_folded("text")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS p FROM d)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+o AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)
+), reach(a, b) AS (
+  SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+), least_of AS (SELECT a, min(b) AS m FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_of ON a = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_jaccard": _jaccard_sql(),
         "op4_sharding": _sharding_sql(),
         "op6_warc": _WARC_SQL,
         "op8_decontamination": _decontamination_sql(),
