@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import json
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +17,8 @@ WORDS = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 #: Words whose encoding a task keeps; beyond it the memory is emptied and filled anew.
-KEPT_WORDS = 400_000
-#: Characters of a text in one step, so that memory follows the result and not all pieces of it.
+KEPT_WORDS = 300_000
+#: Rows that a task splits and encodes at once.
 STEP_ROWS = 512
 
 
@@ -73,41 +75,104 @@ class TrieEncoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.apart: dict[tuple[bytes, bytes], bool] = {}
-
-    def _stay_apart(self, a: bytes, b: bytes) -> bool:
-        known = self.apart.get((a, b))
+        self.split: dict[bytes, tuple[int, bytes, bytes]] = {}
+        for (a, b), rank in vocabulary.ranks.items():
+            self.split.setdefault(a + b, (rank, a, b))
+        self.sides: dict[tuple[bytes, int], list[tuple[bytes, int]]] = {}
+        self.apart: dict[int, bool] = {}
+
+    def _side(self, token: bytes, side: int) -> list[tuple[bytes, int]]:
+        """The parts at one end (1: left, 2: right) of a token while it is merged from bytes, each
+        with the rank of the merge that takes it up; the token itself is not taken up."""
+        known = self.sides.get((token, side))
         if known is None:
-            if len(self.apart) >= 2_000_000:
-                self.apart.clear()
-            known = self.apart[a, b] = self.v.merged(a + b) == ([a, b] if a else [b])
+            known, part, rank = [], token, len(self.v.ranks)
+            while True:
+                known.append((part, rank))
+                if part not in self.split:
+                    break
+                rank, *halves = self.split[part]
+                part = halves[side - 1]
+            known.reverse()
+            self.sides[token, side] = known
         return known
 
+    def _stay_apart(self, a: bytes, b: bytes) -> bool:
+        """Whether merging the bytes of two tokens side by side gives these two tokens.
+
+        Walks the parts that touch over time: they merge across the boundary if their pair ranks
+        before what takes them up on their own sides; of equal ranks the leftmost is merged first.
+        """
+        left, right = self._side(a, 2), self._side(b, 1)
+        ranks, never = self.v.ranks, len(self.v.ranks)
+        i = j = 0
+        while True:
+            x, until_x = left[i]
+            y, until_y = right[j]
+            rank = ranks.get((x, y), never)
+            if rank < until_x and rank <= until_y and rank < never:
+                return False
+            if until_x == never and until_y == never:
+                return True
+            if until_x <= until_y:
+                i += 1
+            else:
+                j += 1
+
+    def _check(self, a: int, b: int, token: bytes) -> bool:
+        if len(self.apart) >= 500_000:
+            self.apart.clear()
+        found = self.apart[a << 32 | b] = (
+            self._stay_apart(self.v.tokens[a - 1], token) if a else self.v.merged(token) == [token]
+        )
+        return found
+
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """Token ids of each word; `words` distinct and in ascending order."""
-        ids, longest, out = self.v.ids, self.v.longest, []
-        path: list[bytes] = [b""]
+        known, longest, apart, check = self.v.ids.get, self.v.longest, self.apart.get, self._check
+        out = []
+        path, widths = [0], [0]  # of each prefix: its last token's id + 1, and its width
         before = b""
         for word in words:
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
-            del path[shared + 1 :]
+            del path[shared + 1 :], widths[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
+                # Exactly one token fits; the last one with a byte more is tried first.
+                grown = end - 1 - widths[end - 1]
+                for start in itertools.chain(
+                    (grown,), range(end - longest if end > longest else 0, end)
+                ):
                     token = word[start:end]
-                    if token in ids and self._stay_apart(path[start], token):
-                        path.append(token)
-                        break
+                    k = known(token)
+                    if k is not None:
+                        a = path[start]
+                        fits = apart(a << 32 | k)
+                        if fits is None:
+                            fits = check(a, k, token)
+                        if fits:
+                            path.append(k + 1)
+                            widths.append(end - start)
+                            break
             found, end = [], len(word)
             while end:
-                found.append(ids[path[end]])
-                end -= len(path[end])
-            out.append(found[::-1])
+                found.append(path[end] - 1)
+                end -= widths[end]
+            found.reverse()
+            out.append(found)
             before = word
         return out
 
 
+class _Numbers(dict):
+    """Words numbered in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class BatchEncoder:
     """Encodes lists of texts; remembers the encoding of words."""
 
@@ -123,16 +188,20 @@ class BatchEncoder:
         self._empty()
 
     def _empty(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = _Numbers()
         self.flat = np.zeros(0, np.int32)
         self.starts = np.zeros(1, np.int64)
-        self._learn({}, [[k] for k in self.v.special.values()], list(self.v.special))
 
-    def _learn(self, _, encoded: list[list[int]], words: list[str]) -> None:
-        first = len(self.number)
-        self.number.update(zip(words, range(first, first + len(words)), strict=True))
+    def _learn(self) -> None:
+        """Encode the words that were numbered since the last time."""
+        first = len(self.starts) - 1
+        new = list(itertools.islice(self.number, first, None))
+        order = sorted((w.encode(), k) for k, w in enumerate(new) if w not in self.v.special)
+        encoded = [[self.v.special[w]] if w in self.v.special else None for w in new]
+        for (_, k), ids in zip(order, self.trie.encode([raw for raw, _ in order]), strict=True):
+            encoded[k] = ids
         sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        values = np.fromiter((k for ids in encoded for k in ids), np.int32, int(sizes.sum()))
+        values = np.fromiter(itertools.chain.from_iterable(encoded), np.int32, int(sizes.sum()))
         self.flat = np.concatenate([self.flat, values])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
 
@@ -146,16 +215,13 @@ class BatchEncoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids): the ids of text k are ids[offsets[k]:offsets[k + 1]]."""
-        split = [self._words(t) if t else [] for t in texts]
         if len(self.number) > self.kept:
             self._empty()
-        unknown = {w for words in split for w in words if w not in self.number}
-        by_bytes = sorted((w.encode(), w) for w in unknown)
-        encoded = self.trie.encode([raw for raw, _ in by_bytes])
-        self._learn({}, encoded, [w for _, w in by_bytes])
-        counts = np.fromiter(map(len, split), np.int64, len(split))
         get = self.number.__getitem__
-        word = np.fromiter((n for ws in split for n in map(get, ws)), np.int64, int(counts.sum()))
+        words = [list(map(get, self._words(t))) if t else [] for t in texts]
+        self._learn()
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        word = np.fromiter(itertools.chain.from_iterable(words), np.int64, int(counts.sum()))
         sizes = self.starts[word + 1] - self.starts[word]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         at = np.arange(ends[-1]) - np.repeat(ends[:-1] - self.starts[word], sizes)
@@ -168,6 +234,17 @@ def read_vocabulary(path: str) -> Vocabulary:
         return Vocabulary(file.read())
 
 
+#: The encoder of a Python worker, kept for its next task on the same vocabulary.
+_KEPT: dict[str, BatchEncoder] = {}
+
+
+def _encoder(name: str, vocabulary) -> BatchEncoder:
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = BatchEncoder(vocabulary.value)
+    return _KEPT[name]
+
+
 def encode(df: DataFrame, vocabulary: Vocabulary, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`key` and ids (array of int) of every row's whole text; one row per input row.
 
@@ -177,9 +254,10 @@ def encode(df: DataFrame, vocabulary: Vocabulary, *, key: str = "doc_id", text:
     bounded number of words; the vocabulary, which is broadcast, does not grow with the input.
     """
     held = df.sparkSession.sparkContext.broadcast(vocabulary)
+    name = uuid4().hex
 
     def run(batches):
-        encoder = BatchEncoder(held.value)
+        encoder = _encoder(name, held)
         for batch in batches:
             for at in range(0, batch.num_rows, STEP_ROWS):
                 part = batch.slice(at, STEP_ROWS)
