@@ -11,10 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.bitmaps import collect_bitmap, in_bitmap
-from ledgerlake.llm.tables import stored
+from ledgerlake.llm.tables import drop_stored, stored
 
-#: Bytes that are ranked together, and bytes of one long text in one step.
-STEP = 1 << 20
+#: Bytes that are ranked together, and bytes of one long text in one step: their ranks stay in a
+#: processor's cache.
+STEP = 1 << 16
+#: Rows that a task gathers before it hands them on.
+ROWS = 100_000
 
 # Any odd numbers with well-mixed bits do.
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -184,10 +187,6 @@ class Ranks:
         return block, np.where(count == last - first + 1, first, -1), last
 
 
-def _signed(values: np.ndarray) -> pa.Array:
-    return pa.array(values.astype(np.uint64).view(np.int64))
-
-
 def _block_rank(full: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Ranks of the strings from a block's first to its last position and the threshold's length on:
     the two ranks at its ends overlap, as no block is longer than the threshold."""
@@ -199,25 +198,36 @@ def _occurrence(cls: np.ndarray, offset: np.ndarray) -> np.ndarray:
 
 
 def _each_step(texts: DataFrame, plan: Plan, schema: str, rows) -> DataFrame:
-    """rows(ranks) for every step of every text: (name, array) columns of `schema`."""
+    """rows(ranks) for every step of every text: columns of `schema` as arrays, or None."""
     names = [field.split()[0] for field in schema.split(", ")]
 
     def run(batches):
         seen: set[int] = set()
+        held: list[tuple] = []
         for batch in batches:
             for step in steps(batch, seen, 4 * plan.length):
                 columns = rows(Ranks(step, plan))
-                if len(columns[0]):
-                    yield pa.record_batch(list(columns), names=names)
+                if columns is not None:
+                    held.append(columns)
+                if sum(len(c[0]) for c in held) >= ROWS:
+                    yield _gathered(held, names)
+                    held = []
+        if held:
+            yield _gathered(held, names)
 
     return texts.mapInArrow(run, schema)
 
 
+def _gathered(held: list[tuple], names: list[str]) -> pa.RecordBatch:
+    columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+    signed = [c.view(np.int64) if c.dtype == np.uint64 else c for c in columns]
+    return pa.record_batch([pa.array(c) for c in signed], names=names)
+
+
 def _anchors(texts: DataFrame, plan: Plan) -> DataFrame:
     def rows(ranks: Ranks):
         places = ranks.anchors[ranks.owned(ranks.anchors)]
-        cls, offset = ranks.cls_and_offset(places)
-        return _signed(ranks.gram[places]), _signed(_occurrence(cls, offset))
+        return ranks.gram[places], _occurrence(*ranks.cls_and_offset(places))
 
     return _each_step(texts, plan, "rank long, occurrence long", rows)
 
@@ -225,42 +235,55 @@ def _anchors(texts: DataFrame, plan: Plan) -> DataFrame:
 def _block_rows(texts: DataFrame, plan: Plan, repeated) -> DataFrame:
     def rows(ranks: Ranks):
         _, first, last = ranks.blocks(ranks.candidates(repeated.value))
-        keep = first >= 0
-        first, last = first[keep], last[keep]
-        keep = ranks.owned(first)
+        keep = np.flatnonzero(first >= 0)
+        keep = keep[ranks.owned(first[keep])]
+        if not len(keep):
+            return None
         first, last = first[keep], last[keep]
         cls, offset = ranks.cls_and_offset(first)
+        end = offset + (last - first) + plan.length
         return (
-            _signed(_block_rank(ranks.full(), first, last)) if len(first) else pa.array([], pa.int64()),
-            _signed(_occurrence(cls, offset)),
-            pa.array(cls),
-            pa.array(offset.astype(np.int32)),
-            pa.array((offset + (last - first) + plan.length).astype(np.int32)),
+            _block_rank(ranks.full(), first, last),
+            _occurrence(cls, offset),
+            cls,
+            offset.astype(np.int32),
+            end.astype(np.int32),
         )
 
     schema = "rank long, occurrence long, cls long, first int, end int"
     return _each_step(texts, plan, schema, rows)
 
 
-def _position_rows(texts: DataFrame, plan: Plan, repeated, leading) -> DataFrame:
+def _position_rows(texts: DataFrame, plan: Plan, repeated, alone, leading, asked=None) -> DataFrame:
+    """rank, cls, first of single positions: candidates outside whole blocks or in blocks of the
+    bitmap `alone`, and those in blocks of `leading` whose rank may be in `asked`. Without `asked`,
+    the ranks alone of the former."""
+
     def rows(ranks: Ranks):
         candidate = ranks.candidates(repeated.value)
-        empty = pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.int32())
         if not candidate.any():
-            return empty
+            return None
         full = ranks.full()
         block, first, last = ranks.blocks(candidate)
-        left = np.ones(len(first), bool)
         whole = np.flatnonzero(first >= 0)
-        rank = _block_rank(full, first[whole], last[whole])
-        occurrence = _occurrence(*ranks.cls_and_offset(first[whole]))
-        left[whole] = in_bitmap(leading.value, rank ^ occurrence)
-        places = np.flatnonzero(candidate & left[block])
+        rest, lead = first < 0, np.zeros(len(first), bool)
+        if len(whole):
+            mark = _block_rank(full, first[whole], last[whole])
+            mark ^= _occurrence(*ranks.cls_and_offset(first[whole]))
+            rest[whole] = in_bitmap(alone.value, mark)
+            lead[whole] = in_bitmap(leading.value, mark)
+        places = np.flatnonzero(candidate & rest[block])
+        if asked is not None:
+            more = np.flatnonzero(candidate & (lead & ~rest)[block])
+            places = np.concatenate([places, more[in_bitmap(asked.value, full[more])]])
         places = places[ranks.owned(places)]
+        if asked is None:
+            return (full[places],)
         cls, offset = ranks.cls_and_offset(places)
-        return _signed(full[places]), pa.array(cls), pa.array(offset.astype(np.int32))
+        return full[places], cls, offset.astype(np.int32)
 
-    return _each_step(texts, plan, "rank long, cls long, first int", rows)
+    schema = "rank long" if asked is None else "rank long, cls long, first int"
+    return _each_step(texts, plan, schema, rows)
 
 
 def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
@@ -275,7 +298,8 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     2. at the threshold's length and up to one window more, whole blocks of positions between
        anchors meet as one row each;
     3. at the threshold's length, single positions meet: those at the ends of passages, which make
-       no whole block, and those of one occurrence of each block.
+       no whole block, those of blocks that occur once, and of one occurrence of each other block
+       those that they may be equal to.
     """
     plan = Plan(length)
     sc = texts.sparkSession.sparkContext
@@ -288,7 +312,9 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
         .where(several)
         .select("rank")
     )
-    repeated = sc.broadcast(collect_bitmap(stored(grams, "repeats-grams"), "rank"))
+    grams = stored(grams, "repeats-grams")
+    repeated = sc.broadcast(collect_bitmap(grams, "rank"))
+    drop_stored(grams)
 
     blocks = stored(_block_rows(texts, plan, repeated), "repeats-blocks")
     groups = stored(
@@ -297,15 +323,21 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
         ),
         "repeats-groups",
     )
-    leading = groups.select(F.col("rank").bitwiseXOR(F.col("low")).alias("leading"))
-    leading = sc.broadcast(collect_bitmap(leading, "leading"))
+    marks = groups.withColumn("mark", F.col("rank").bitwiseXOR(F.col("low")))
+    alone = sc.broadcast(collect_bitmap(marks.where(~several), "mark"))
+    leading = sc.broadcast(collect_bitmap(marks.where(several), "mark"))
     from_blocks = blocks.join(groups.where(several).select("rank"), "rank", "left_semi")
 
-    places = stored(_position_rows(texts, plan, repeated, leading), "repeats-places")
+    known = texts, plan, repeated, alone, leading
+    asked = stored(_position_rows(*known), "repeats-asked")
+    bitmap = sc.broadcast(collect_bitmap(asked, "rank"))
+    drop_stored(asked)
+    places = stored(_position_rows(*known, bitmap), "repeats-places")
+    occurrence = F.xxhash64("cls", "first")
     again = (
         places.groupBy("rank")
-        .agg(*[f(c).alias(f"{n}_{c}") for c in ("cls", "first") for n, f in (("low", F.min), ("high", F.max))])
-        .where("low_cls != high_cls or low_first != high_first")
+        .agg(F.min(occurrence).alias("low"), F.max(occurrence).alias("high"))
+        .where(several)
         .select("rank")
     )
     from_places = places.join(again, "rank", "left_semi")
@@ -313,7 +345,11 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     found = from_blocks.select("cls", "first", "end").unionByName(
         from_places.select("cls", "first", (F.col("first") + length).alias("end"))
     )
-    return found.groupBy("cls").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
+    spans = found.groupBy("cls").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
+    spans = stored(spans, "repeats-spans")
+    for used in (blocks, groups, places):
+        drop_stored(used)
+    return spans
 
 
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -353,7 +389,7 @@ def remove_repeats(
     long_rows = rows.where(F.octet_length("text") >= length)
     copies = long_rows.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     copies = stored(copies.select("cls"), "repeats-copies")
-    spans = stored(repeated_spans(long_rows.select("cls", raw), length), "repeats-spans")
+    spans = repeated_spans(long_rows.select("cls", raw), length)
     touched = copies.select("cls").unionByName(spans.select("cls"))
     bitmap = spark.sparkContext.broadcast(collect_bitmap(touched, "cls"))
     losses = spans.join(copies.withColumn("copied", F.lit(True)), "cls", "full")
