@@ -15,16 +15,13 @@ from pyspark.sql.pandas.types import to_arrow_type
 from ledgerlake.llm.bitmaps import collect_bitmap, in_bitmap
 from ledgerlake.llm.components import components
 from ledgerlake.llm.tables import stored
+from ledgerlake.llm.words import ODD, WordHashes, mixed
+from ledgerlake.llm.words import hashes as word_hashes
 
 #: A shingle that so many sets have among their first ones is put behind the others.
 COMMON = 64
 #: Longs of the parity sketch that each set takes along.
 SKETCH = 4
-#: Words whose hash a task keeps.
-KEPT_WORDS = 1_000_000
-
-_FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
 class Likeness(NamedTuple):
@@ -44,34 +41,17 @@ class Likeness(NamedTuple):
         return F.floor((sizes * self.num + (both - 1)) / both)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _B
-    x = (x ^ (x >> np.uint64(27))) * _C
-    return x ^ (x >> np.uint64(31))
-
-
-class _Words(dict):
-    """Hashes of words, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-def shingles(text: bytes, known: _Words, words: int) -> np.ndarray:
+def shingles(text: bytes, known: WordHashes, words: int) -> np.ndarray:
     """The distinct hashes (uint64, ascending) of a text's runs of `words` words; of all its words,
     if it has fewer; none, if it has none. A-Z are lower-cased; words end at ASCII white space."""
-    found = text.translate(_FOLD).split()
-    if not found:
-        return np.zeros(0, np.uint64)
-    codes = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
+    codes = word_hashes(text, known)
+    if not len(codes):
+        return codes
     width = min(words, len(codes))
     total = codes[: len(codes) - width + 1].copy()
     for k in range(1, width):
-        total = total * _A + codes[k : len(codes) - width + 1 + k]
-    return np.unique(_mixed(total + np.uint64(width)))
+        total = total * ODD + codes[k : len(codes) - width + 1 + k]
+    return np.unique(mixed(total + np.uint64(width)))
 
 
 def _sketch(hashes: np.ndarray) -> list[int]:
@@ -86,7 +66,7 @@ def _class(hashes: np.ndarray) -> int:
 
 def _sets(batches, rule: Likeness, once: bool) -> Iterator[tuple[int, object, int, np.ndarray]]:
     """(row of its batch, key, class, shingles) of the texts; `once`: of each class one in a task."""
-    known, seen = _Words(), set()
+    known, seen = WordHashes(), set()
     for batch in batches:
         keys = batch.column(0).to_pylist()
         for k, raw in enumerate(batch.column(1)):

@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, decontamination, jaccard, sharding, suffix_dedup, warc
+from ledgerlake.llm import (
+    bpe,
+    decontamination,
+    jaccard,
+    sharding,
+    suffix_dedup,
+    suffix_tree,
+    toxicity,
+    warc,
+)
 from ledgerlake.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,8 +79,24 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tagger = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, tagger).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
 def queries() -> dict[str, Query]:
-    found = [op2_jaccard, op3_bpe, op4_sharding, op6_warc, op7_suffix_dedup, op8_decontamination]
+    found = [op2_jaccard, op3_bpe, op4_sharding, op6_warc, op7_suffix_dedup, op8_decontamination, op9_suffix_tree, op10_toxicity]
     return {f.__name__: f for f in found}
 
 
