@@ -7,11 +7,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.bitmaps import collect_bitmap, in_bitmap
-from ledgerlake.llm.tables import drop_stored, stored
+from ledgerlake.llm.tables import drop_stored, release, stored
 
 #: Bytes that are ranked together, and bytes of one long text in one step: their ranks stay in a
 #: processor's cache.
@@ -45,7 +46,7 @@ class Plan(NamedTuple):
 
     @property
     def window(self) -> int:
-        return max(1, (self.length - self.gram + 1) * 3 // 4)
+        return max(1, (self.length - self.gram + 1) * 3 // 8)
 
     @property
     def span(self) -> int:
@@ -67,17 +68,17 @@ class Step(NamedTuple):
     own_to: np.ndarray
 
 
-def steps(batch: pa.RecordBatch, seen: set[int], margin: int) -> Iterator[Step]:
-    """The texts of a batch (text class, bytes), each class once in a task, as steps."""
+def steps(batch: pa.RecordBatch, leads: np.ndarray, margin: int) -> Iterator[Step]:
+    """The texts of a batch (text class, mark, bytes) whose class and mark are in `leads`, as steps."""
     held, size = [], 0
-    for cls, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-        if cls in seen:
-            continue
-        seen.add(cls)
-        text = np.frombuffer(raw.as_buffer(), np.uint8)
+    cls = batch.column(0).to_numpy(zero_copy_only=False)
+    mark = batch.column(1).to_numpy(zero_copy_only=False)
+    for k in np.flatnonzero(in_bitmap(leads, (cls ^ mark).view(np.uint64))):
+        text = np.frombuffer(batch.column(2)[k].as_buffer(), np.uint8)
         for at in range(0, len(text), STEP):
             first, last = max(0, at - margin), min(len(text), at + STEP + margin)
-            held.append((cls, text[first:last], first, at - first, min(len(text), at + STEP) - first))
+            own_to = min(len(text), at + STEP) - first
+            held.append((cls[k], text[first:last], first, at - first, own_to))
             size += last - first
             if size >= STEP:
                 yield _step(held)
@@ -197,25 +198,35 @@ def _occurrence(cls: np.ndarray, offset: np.ndarray) -> np.ndarray:
     return _mixed(cls.view(np.uint64) * _A + offset.astype(np.uint64))
 
 
-def _each_step(texts: DataFrame, plan: Plan, schema: str, rows) -> DataFrame:
-    """rows(ranks) for every step of every text: columns of `schema` as arrays, or None."""
+class Texts(NamedTuple):
+    """Texts (cls long, mark long, raw binary) and a bitmap of what leads each class of equal ones:
+    its class XOR its mark. Others are passed over."""
+
+    rows: DataFrame
+    leads: Broadcast
+
+
+def _each_step(texts: Texts, plan: Plan, schema: str, rows) -> DataFrame:
+    """rows(ranks) for every step of every leading text: columns of `schema` as arrays, or None."""
     names = [field.split()[0] for field in schema.split(", ")]
+    leads = texts.leads
 
     def run(batches):
-        seen: set[int] = set()
-        held: list[tuple] = []
+        held, size = [], 0
         for batch in batches:
-            for step in steps(batch, seen, 4 * plan.length):
+            for step in steps(batch, leads.value, 4 * plan.length):
                 columns = rows(Ranks(step, plan))
-                if columns is not None:
-                    held.append(columns)
-                if sum(len(c[0]) for c in held) >= ROWS:
+                if columns is None:
+                    continue
+                held.append(columns)
+                size += len(columns[0])
+                if size >= ROWS:
                     yield _gathered(held, names)
-                    held = []
+                    held, size = [], 0
         if held:
             yield _gathered(held, names)
 
-    return texts.mapInArrow(run, schema)
+    return texts.rows.mapInArrow(run, schema)
 
 
 def _gathered(held: list[tuple], names: list[str]) -> pa.RecordBatch:
@@ -224,15 +235,14 @@ def _gathered(held: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c) for c in signed], names=names)
 
 
-def _anchors(texts: DataFrame, plan: Plan) -> DataFrame:
+def _anchors(texts: Texts, plan: Plan) -> DataFrame:
     def rows(ranks: Ranks):
-        places = ranks.anchors[ranks.owned(ranks.anchors)]
-        return ranks.gram[places], _occurrence(*ranks.cls_and_offset(places))
+        return (ranks.gram[ranks.anchors[ranks.owned(ranks.anchors)]],)
 
-    return _each_step(texts, plan, "rank long, occurrence long", rows)
+    return _each_step(texts, plan, "rank long", rows)
 
 
-def _block_rows(texts: DataFrame, plan: Plan, repeated) -> DataFrame:
+def _block_rows(texts: Texts, plan: Plan, repeated) -> DataFrame:
     def rows(ranks: Ranks):
         _, first, last = ranks.blocks(ranks.candidates(repeated.value))
         keep = np.flatnonzero(first >= 0)
@@ -254,10 +264,9 @@ def _block_rows(texts: DataFrame, plan: Plan, repeated) -> DataFrame:
     return _each_step(texts, plan, schema, rows)
 
 
-def _position_rows(texts: DataFrame, plan: Plan, repeated, alone, leading, asked=None) -> DataFrame:
-    """rank, cls, first of single positions: candidates outside whole blocks or in blocks of the
-    bitmap `alone`, and those in blocks of `leading` whose rank may be in `asked`. Without `asked`,
-    the ranks alone of the former."""
+def _position_rows(texts: Texts, plan: Plan, repeated, alone, leading, again=None) -> DataFrame:
+    """Single positions: candidates outside whole blocks, or in blocks of the bitmaps `alone` or
+    `leading`. Their ranks; with `again`, also cls and first of those whose rank may be in it."""
 
     def rows(ranks: Ranks):
         candidate = ranks.candidates(repeated.value)
@@ -266,29 +275,26 @@ def _position_rows(texts: DataFrame, plan: Plan, repeated, alone, leading, asked
         full = ranks.full()
         block, first, last = ranks.blocks(candidate)
         whole = np.flatnonzero(first >= 0)
-        rest, lead = first < 0, np.zeros(len(first), bool)
+        asked = first < 0
         if len(whole):
             mark = _block_rank(full, first[whole], last[whole])
             mark ^= _occurrence(*ranks.cls_and_offset(first[whole]))
-            rest[whole] = in_bitmap(alone.value, mark)
-            lead[whole] = in_bitmap(leading.value, mark)
-        places = np.flatnonzero(candidate & rest[block])
-        if asked is not None:
-            more = np.flatnonzero(candidate & (lead & ~rest)[block])
-            places = np.concatenate([places, more[in_bitmap(asked.value, full[more])]])
+            asked[whole] = in_bitmap(alone.value, mark) | in_bitmap(leading.value, mark)
+        places = np.flatnonzero(candidate & asked[block])
         places = places[ranks.owned(places)]
-        if asked is None:
+        if again is None:
             return (full[places],)
+        places = places[in_bitmap(again.value, full[places])]
         cls, offset = ranks.cls_and_offset(places)
         return full[places], cls, offset.astype(np.int32)
 
-    schema = "rank long" if asked is None else "rank long, cls long, first int"
+    schema = "rank long" if again is None else "rank long, cls long, first int"
     return _each_step(texts, plan, schema, rows)
 
 
-def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
-    """cls, spans (array of first, end: bytes, not merged) of the texts (cls long, raw binary) that
-    hold a string of `length` bytes which also begins elsewhere in another text or place.
+def repeated_spans(texts: Texts, length: int) -> DataFrame:
+    """cls, blocks (array of first, end: bytes) and places (array of int: where strings begin) that
+    cover what occurs more than once in the leading texts, not merged.
 
     Ranks double within a task: the rank of 2n bytes is that of the pair of ranks n bytes apart.
     Between doublings the positions meet in Spark, and those whose rank is unique go:
@@ -298,63 +304,52 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     2. at the threshold's length and up to one window more, whole blocks of positions between
        anchors meet as one row each;
     3. at the threshold's length, single positions meet: those at the ends of passages, which make
-       no whole block, those of blocks that occur once, and of one occurrence of each other block
-       those that they may be equal to.
+       no whole block, those of blocks that occur once, and those of one occurrence of each other
+       block. First their ranks alone are counted, then the places of those counted twice.
     """
     plan = Plan(length)
-    sc = texts.sparkSession.sparkContext
-    several = F.col("low") != F.col("high")
-
-    grams = (
-        _anchors(texts, plan)
-        .groupBy("rank")
-        .agg(F.min("occurrence").alias("low"), F.max("occurrence").alias("high"))
-        .where(several)
-        .select("rank")
-    )
+    spark = texts.rows.sparkSession
+    sc = spark.sparkContext
+
+    grams = _anchors(texts, plan).groupBy("rank").count().where("count > 1").select("rank")
     grams = stored(grams, "repeats-grams")
     repeated = sc.broadcast(collect_bitmap(grams, "rank"))
     drop_stored(grams)
+    release(spark)
 
     blocks = stored(_block_rows(texts, plan, repeated), "repeats-blocks")
-    groups = stored(
-        blocks.groupBy("rank").agg(
-            F.min("occurrence").alias("low"), F.max("occurrence").alias("high")
-        ),
-        "repeats-groups",
-    )
+    groups = blocks.groupBy("rank").agg(F.min("occurrence").alias("low"), F.count("rank").alias("n"))
+    groups = stored(groups, "repeats-groups")
     marks = groups.withColumn("mark", F.col("rank").bitwiseXOR(F.col("low")))
-    alone = sc.broadcast(collect_bitmap(marks.where(~several), "mark"))
-    leading = sc.broadcast(collect_bitmap(marks.where(several), "mark"))
-    from_blocks = blocks.join(groups.where(several).select("rank"), "rank", "left_semi")
+    alone = sc.broadcast(collect_bitmap(marks.where("n = 1"), "mark"))
+    leading = sc.broadcast(collect_bitmap(marks.where("n > 1"), "mark"))
+    found = blocks.join(groups.where("n > 1").select("rank"), "rank", "left_semi")
+    found = found.groupBy("cls").agg(F.collect_list(F.struct("first", "end")).alias("blocks"))
+    from_blocks = stored(found, "repeats-from-blocks")
+    drop_stored(blocks)
+    drop_stored(groups)
+    release(spark)
 
     known = texts, plan, repeated, alone, leading
-    asked = stored(_position_rows(*known), "repeats-asked")
-    bitmap = sc.broadcast(collect_bitmap(asked, "rank"))
-    drop_stored(asked)
-    places = stored(_position_rows(*known, bitmap), "repeats-places")
-    occurrence = F.xxhash64("cls", "first")
-    again = (
-        places.groupBy("rank")
-        .agg(F.min(occurrence).alias("low"), F.max(occurrence).alias("high"))
-        .where(several)
-        .select("rank")
-    )
-    from_places = places.join(again, "rank", "left_semi")
-
-    found = from_blocks.select("cls", "first", "end").unionByName(
-        from_places.select("cls", "first", (F.col("first") + length).alias("end"))
-    )
-    spans = found.groupBy("cls").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
-    spans = stored(spans, "repeats-spans")
-    for used in (blocks, groups, places):
-        drop_stored(used)
+    again = _position_rows(*known).groupBy("rank").count().where("count > 1").select("rank")
+    again = stored(again, "repeats-again")
+    bitmap = sc.broadcast(collect_bitmap(again, "rank"))
+    release(spark)
+
+    places = _position_rows(*known, bitmap).join(again, "rank", "left_semi")
+    from_places = places.groupBy("cls").agg(F.collect_list("first").alias("places"))
+    spans = stored(from_blocks.join(from_places, "cls", "full"), "repeats-spans")
+    drop_stored(again)
+    drop_stored(from_blocks)
+    release(spark)
     return spans
 
 
-def _merged(spans: list[dict]) -> list[tuple[int, int]]:
+def _merged(blocks: list[dict] | None, places: list[int] | None, length: int) -> list[tuple[int, int]]:
+    spans = [(b["first"], b["end"]) for b in blocks or ()]
+    spans += [(place, place + length) for place in places or ()]
     out: list[tuple[int, int]] = []
-    for first, end in sorted((s["first"], s["end"]) for s in spans):
+    for first, end in sorted(spans):
         if out and out[-1][1] >= first:
             out[-1] = (out[-1][0], max(out[-1][1], end))
         else:
@@ -378,8 +373,8 @@ def remove_repeats(
 
     Null counts as empty; empty and shorter texts lose nothing. Documents with equal texts of
     `length` bytes or more lose them whole, repeated rows too. Only ids, ranks and the texts that
-    lose something are shuffled; other columns are not read. Counting is by least and largest
-    occurrence, so a string in very many documents meets as one row per task.
+    lose something are shuffled; other columns are not read. Equal texts are looked at once. Ranks
+    are counted in the tasks first, so a string in very many documents meets as one row per task.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -387,10 +382,15 @@ def remove_repeats(
     ).withColumn("cls", text_class(F.col("text")))
     raw = F.col("text").cast("binary").alias("raw")
     long_rows = rows.where(F.octet_length("text") >= length)
-    copies = long_rows.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    copies = stored(copies.select("cls"), "repeats-copies")
-    spans = repeated_spans(long_rows.select("cls", raw), length)
-    touched = copies.select("cls").unionByName(spans.select("cls"))
+    mark = F.xxhash64("key")
+    classes = long_rows.groupBy("cls").agg(F.min(mark).alias("mark"), F.count("cls").alias("n"))
+    classes = stored(classes, "repeats-classes")
+    leads = classes.select(F.col("cls").bitwiseXOR(F.col("mark")).alias("lead"))
+    leads = spark.sparkContext.broadcast(collect_bitmap(leads, "lead"))
+    texts = Texts(long_rows.select("cls", mark.alias("mark"), raw), leads)
+    spans = repeated_spans(texts, length)
+    copies = classes.where("n > 1").select("cls")
+    touched = copies.unionByName(spans.select("cls"))
     bitmap = spark.sparkContext.broadcast(collect_bitmap(touched, "cls"))
     losses = spans.join(copies.withColumn("copied", F.lit(True)), "cls", "full")
 
@@ -411,8 +411,8 @@ def remove_repeats(
         pair = pa.struct([("first", pa.int32()), ("end", pa.int32())])
         for batch in batches:
             runs, kept, sizes = [], [], []
-            for raw, found, copied in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
-                gone = [(0, len(raw))] if copied and len(raw) >= length else _merged(found or [])
+            for raw, blocks, places, copied in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+                gone = [(0, len(raw))] if copied else _merged(blocks, places, length)
                 bounds = [0, *(x for span in gone for x in span), len(raw)]
                 pieces = zip(bounds[::2], bounds[1::2], strict=True)
                 kept.append(b"".join([raw[a:b] for a, b in pieces]))
@@ -428,7 +428,7 @@ def remove_repeats(
                 names=["key", "n_bytes", "spans", "kept"],
             )
 
-    lost = affected.select("key", raw, "spans", "copied").mapInArrow(cut, out)
+    lost = affected.select("key", raw, "blocks", "places", "copied").mapInArrow(cut, out)
     whole = rows.mapInArrow(split(False), schema).select(
         "key",
         F.octet_length("text").cast("long").alias("n_bytes"),

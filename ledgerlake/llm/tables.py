@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.plans.workspace import new_place
@@ -26,3 +28,13 @@ def drop_stored(df: DataFrame) -> None:
     for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(conf).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of what finished steps left behind.
+
+    Spark removes the shuffle files of a step when the driver's collector finds it unused, which
+    by default may be half an hour later; long chains of steps would fill the disks until then.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
