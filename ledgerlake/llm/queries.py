@@ -13,10 +13,12 @@ from ledgerlake.llm import (
     decontamination,
     jaccard,
     sharding,
+    style_tree,
     suffix_dedup,
     suffix_tree,
     toxicity,
     warc,
+    winnowing,
 )
 from ledgerlake.llm.tables import table
 
@@ -25,6 +27,34 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = winnowing.with_next(table(spark, sf_dir, "documents"))
+    n = F.length("text")
+    half = F.floor(n / 2).cast("int")
+    edited = F.concat(F.left(F.col("text"), n - half), F.left(F.col("next_text"), half))
+    found = rows.withColumn("edited", edited).select(
+        F.col("key").alias("doc_id"),
+        n.cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        winnowing.winnow(F.col("text")).alias("own"),
+        winnowing.winnow(F.col("edited")).alias("changed"),
+        winnowing.winnow(F.col("next_text")).alias("next"),
+    )
+    found = found.select(
+        "*", *[winnowing.hashes(F.col(c)).alias(f"{c}_set") for c in ("own", "changed", "next")]
+    )
+    as_text = lambda c: F.array_join(F.transform(c, lambda v: F.hex(v)), " ")
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        as_text("own").alias("fingerprint"),
+        as_text("changed").alias("edited_fingerprint"),
+        winnowing.likeness(F.col("own_set"), F.col("changed_set")).alias("near_edited"),
+        winnowing.likeness(F.col("own_set"), F.col("next_set")).alias("near_next"),
+    )
+
+
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -44,6 +74,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op5_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = style_tree.extract_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     kind = pages.schema["page_id"].dataType
@@ -96,7 +131,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op2_jaccard, op3_bpe, op4_sharding, op6_warc, op7_suffix_dedup, op8_decontamination, op9_suffix_tree, op10_toxicity]
+    found = [op1_winnowing, op2_jaccard, op3_bpe, op4_sharding, op5_style_tree, op6_warc, op7_suffix_dedup, op8_decontamination, op9_suffix_tree, op10_toxicity]
     return {f.__name__: f for f in found}
 
 
