@@ -1,40 +1,79 @@
-"""The documents on their way to training data, stage by stage."""
+"""The documents on their way to training data, stage by stage.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept; what it returns
+is written as Parquet and read again. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, decontamination
+from ledgerlake.llm import bpe, decontamination, jaccard, suffix_dedup, toxicity
+from ledgerlake.llm.bitmaps import without
 from ledgerlake.llm.tables import stored, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Documents of this score and more are rejected.
+TOXIC = 0.7
+
+
+def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the tagger, learned from the labelled ones among them, does not reject."""
+    tagger = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs, tagger, carry=COLUMNS)
+    return scored.where(F.col("score") < TOXIC).select("row.*")
+
+
+def apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document of smallest id. Rows without an id stay."""
+    found = stored(jaccard.near_duplicates(docs), "pipeline-components")
+    copies = found.where(F.col("doc_id") != F.col("component_id"))
+    return without(docs, copies, "doc_id").select(*COLUMNS)
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages of 200 bytes and more that occur again among them."""
+    found = suffix_dedup.remove_repeats(docs, carry=COLUMNS, as_text=True)
+    text = F.when(F.col("row.text").isNotNull(), F.col("kept"))
+    return found.select(
+        "row.doc_id",
+        text.alias("text"),
+        "row.lang",
+        "row.source",
+        F.when(F.size("spans") > 0, F.length("kept").cast("long")).otherwise(F.col("row.n_chars")).alias("n_chars"),
+    )
 
 
-def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which benchmark items make up at most a twentieth of the words."""
-    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    rejected = found.where("contaminated").select("doc_id")
-    return docs.join(rejected, "doc_id", "left_anti").select(*COLUMNS)
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth of the words is in benchmark items."""
+    items = table(spark, sf_dir, "benchmark")
+    found = decontamination.decontaminate(docs, items, carry=COLUMNS)
+    return found.where(~F.col("contaminated")).select("row.*")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id and ids: the whole texts as tokens."""
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.encode(docs, bpe.read_vocabulary(path))
+    """doc_id, n_tokens and ids: the whole texts as tokens."""
+    vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    return bpe.encode(docs, vocabulary).select("doc_id", F.size("ids").alias("n_tokens"), "ids")
 
 
 STAGES = [
-    ("decontamination", clean_of_benchmarks),
-    ("bpe", encoded),
+    ("toxicity", harmless),
+    ("near duplicates", apart),
+    ("repeated passages", unrepeated),
+    ("benchmark decontamination", uncontaminated),
+    ("encoding", encoded),
 ]
 
-#: Stages that learn or walk byte by byte are beyond SQL.
+#: A learned tagger, bytes of any offset and merges of a vocabulary are beyond SQL; the tests hold the
+#: stages against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.suffix_automaton import SuffixAutomaton
-from ledgerlake.llm.tables import stored
+from ledgerlake.llm.tables import carried, stored
 
 #: Words are runs of digits, letters a-z and everything beyond ASCII, after lower-casing A-Z.
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -23,10 +23,7 @@ PIECE = 1 << 20
 #: Bytes of benchmark text in one automaton, which each task holds.
 BLOCK_BYTES = 8 << 20
 
-_SCANNED = (
-    "key {key}, text string, n_words long, spans array<struct<first:int,end:int>>, "
-    "item_ids array<string>"
-)
+_COLUMNS = ("key", "text", "n_words", "spans", "item_ids")
 
 
 def words(text: bytes) -> Iterator[bytes]:
@@ -71,11 +68,11 @@ def _scan(df: DataFrame, automaton) -> DataFrame:
         for batch in batches:
             known = (batch.column(k) for k in (1, 3, 4))
             count, spans, items = [], [], []
-            for text, before, names in zip(*(c.to_pylist() for c in known), strict=True):
+            for text, before, named in zip(*(c.to_pylist() for c in known), strict=True):
                 n, found, new = scan(words((text or "").encode()))
                 count.append(n)
                 spans.append(_merged([[s["first"], s["end"]] for s in before] + found))
-                items.append(sorted({*names, *new}))
+                items.append(sorted({*named, *new}))
             pairs = [[{"first": a, "end": b} for a, b in row] for row in spans]
             yield pa.record_batch(
                 [
@@ -84,12 +81,13 @@ def _scan(df: DataFrame, automaton) -> DataFrame:
                     pa.array(count, pa.int64()),
                     pa.array(pairs, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))),
                     pa.array(items, pa.list_(pa.string())),
+                    *batch.columns[len(_COLUMNS) :],
                 ],
-                names=["key", "text", "n_words", "spans", "item_ids"],
+                names=names,
             )
 
-    kind = df.schema["key"].dataType.simpleString()
-    return df.mapInArrow(run, _SCANNED.format(key=kind))
+    names = df.columns
+    return df.mapInArrow(run, df.schema)
 
 
 def decontaminate(
@@ -104,6 +102,7 @@ def decontaminate(
     longer_than: int | None = None,
     share: int = 20,
     block_bytes: int = BLOCK_BYTES,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """What of each document occurs in benchmark items; one row per document, in no order.
 
@@ -115,7 +114,8 @@ def decontaminate(
 
     Null and empty texts have no words, no hits and a null or empty clean_text; items without words
     or without id match nothing by name (the words of an item without id still count as hits under
-    the name ""); repeated items and rows each count as given. Other columns are not read.
+    the name ""); repeated items and rows each count as given. Other columns are not read, but those
+    named in `carry`, which come along in a struct named row.
 
     Documents stream through the tasks and are not shuffled. An automaton is built from at most
     `block_bytes` of item text (measured first, or one item), so what is broadcast is bounded; more
@@ -134,6 +134,7 @@ def decontaminate(
         F.lit(0).cast("long").alias("n_words"),
         F.expr("cast(array() as array<struct<first:int,end:int>>)").alias("spans"),
         F.expr("cast(array() as array<string>)").alias("item_ids"),
+        *carried(carry),
     )
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k)
@@ -153,6 +154,8 @@ def decontaminate(
         F.col("item_ids"),
         ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     ]
+    if carry:
+        columns.append(F.col("row"))
     if longer_than is not None:
         found = _clean(found, longer_than)
         columns.append(F.col("clean_text"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -10,9 +10,10 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlake.llm.bitmaps import collect_bitmap, in_bitmap
-from ledgerlake.llm.tables import drop_stored, release, stored
+from ledgerlake.llm.tables import carried, drop_stored, release, stored
 
 #: Bytes that are ranked together, and bytes of one long text in one step: their ranks stay in a
 #: processor's cache.
@@ -362,23 +363,31 @@ def text_class(text: Column) -> Column:
 
 
 def remove_repeats(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = 200
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    length: int = 200,
+    carry: Sequence[str] = (),
+    as_text: bool = False,
 ) -> DataFrame:
     """Every document's text without the bytes of strings of `length` bytes that occur again.
 
     Texts are UTF-8 bytes. A byte goes if it lies in a string of `length` bytes that also begins
     anywhere else, in the same document too; strings do not cross documents, and are judged on the
     input. Returns, per input row, `doc_id`, n_bytes, spans (array of first, end: the maximal
-    removed runs) and kept (binary: what remains, in order; it may end within a character).
+    removed runs) and kept (binary: what remains, in order; it may end within a character). With
+    `as_text`, kept is a string, without characters that were cut through.
 
     Null counts as empty; empty and shorter texts lose nothing. Documents with equal texts of
     `length` bytes or more lose them whole, repeated rows too. Only ids, ranks and the texts that
-    lose something are shuffled; other columns are not read. Equal texts are looked at once. Ranks
+    lose something are shuffled; other columns are not read, but those named in `carry`, which come
+    along in a struct named row. Equal texts are looked at once. Ranks
     are counted in the tasks first, so a string in very many documents meets as one row per task.
     """
     spark = docs.sparkSession
     rows = docs.select(
-        F.col(doc_id).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
+        F.col(doc_id).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), *carried(carry)
     ).withColumn("cls", text_class(F.col("text")))
     raw = F.col("text").cast("binary").alias("raw")
     long_rows = rows.where(F.octet_length("text") >= length)
@@ -397,25 +406,29 @@ def remove_repeats(
     def split(wanted: bool):
         def run(batches):
             for batch in batches:
-                cls = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
+                cls = batch.column("cls").to_numpy(zero_copy_only=False).view(np.uint64)
                 yield batch.filter(pa.array(in_bitmap(bitmap.value, cls) == wanted))
 
         return run
 
     schema = rows.schema
     affected = rows.mapInArrow(split(True), schema).join(losses, "cls", "left")
-    kind = schema["key"].dataType.simpleString()
-    out = f"key {kind}, n_bytes long, spans array<struct<first:int,end:int>>, kept binary"
+    also = [field for field in schema if field.name == "row"]
+    kept = "string" if as_text else "binary"
+    out = StructType.fromDDL(f"n_bytes long, spans array<struct<first:int,end:int>>, kept {kept}")
+    out = StructType([schema["key"], *out, *also])
 
     def cut(batches):
         pair = pa.struct([("first", pa.int32()), ("end", pa.int32())])
         for batch in batches:
             runs, kept, sizes = [], [], []
-            for raw, blocks, places, copied in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+            told = (c.to_pylist() for c in batch.columns[1:5])
+            for raw, blocks, places, copied in zip(*told, strict=True):
                 gone = [(0, len(raw))] if copied else _merged(blocks, places, length)
                 bounds = [0, *(x for span in gone for x in span), len(raw)]
                 pieces = zip(bounds[::2], bounds[1::2], strict=True)
-                kept.append(b"".join([raw[a:b] for a, b in pieces]))
+                left = b"".join([raw[a:b] for a, b in pieces])
+                kept.append(left.decode("utf-8", "ignore") if as_text else left)
                 runs.append([{"first": a, "end": b} for a, b in gone])
                 sizes.append(len(raw))
             yield pa.record_batch(
@@ -423,16 +436,19 @@ def remove_repeats(
                     batch.column(0),
                     pa.array(sizes, pa.int64()),
                     pa.array(runs, pa.list_(pair)),
-                    pa.array(kept, pa.binary()),
+                    pa.array(kept, pa.string() if as_text else pa.binary()),
+                    *batch.columns[5:],
                 ],
-                names=["key", "n_bytes", "spans", "kept"],
+                names=names,
             )
 
-    lost = affected.select("key", raw, "blocks", "places", "copied").mapInArrow(cut, out)
+    names, rest = out.fieldNames(), [field.name for field in also]
+    lost = affected.select("key", raw, "blocks", "places", "copied", *rest).mapInArrow(cut, out)
     whole = rows.mapInArrow(split(False), schema).select(
         "key",
         F.octet_length("text").cast("long").alias("n_bytes"),
         F.expr("cast(array() as array<struct<first:int,end:int>>)").alias("spans"),
-        F.col("text").cast("binary").alias("kept"),
+        F.col("text").cast(kept).alias("kept"),
+        *rest,
     )
     return lost.unionByName(whole).withColumnRenamed("key", doc_id)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.plans.workspace import new_place
 
@@ -13,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def carried(columns: Sequence[str]) -> list[Column]:
+    """The columns as one struct named row, if there are any."""
+    return [F.struct(*columns).alias("row")] if columns else []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read again: later steps don't compute it anew."""
     spark = df.sparkSession

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -10,7 +10,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
+
+from ledgerlake.llm.tables import carried
 
 #: Labelled rows of each class that the tagger learns from, at most about so many, chosen by a hash
 #: of their ids, and the longest text among them in bytes. Scoring covers all rows and whole texts.
@@ -311,7 +313,12 @@ _AT_ONCE = 1024
 
 
 def score_documents(
-    docs: DataFrame, tagger: SpanTagger, *, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    tagger: SpanTagger,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """`doc_id`, score (0 to 1), n_tokens and spans (array of start, end: code points of runs of
     tokens that are rather toxic than not) of every row's whole text.
@@ -323,8 +330,8 @@ def score_documents(
     rows = docs.select(
         F.col(doc_id).alias("key"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("raw"),
+        *carried(carry),
     )
-    kind = rows.schema["key"].dataType
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
@@ -350,14 +357,13 @@ def score_documents(
                     pa.array(tagger.score(np.array(evidence))),
                     pa.array([len(e) for e in emissions], pa.int64()),
                     pa.array(spans, span),
+                    *part.columns[2:],
                 ]
-                yield pa.record_batch(columns, names=["key", "score", "n_tokens", "spans"])
+                yield pa.record_batch(columns, names=names)
 
-    schema = (
-        f"key {kind.simpleString()}, score double, n_tokens long, "
-        "spans array<struct<start:int,end:int>>"
-    )
-    assert to_arrow_type(kind) is not None
+    schema = StructType.fromDDL("score double, n_tokens long, spans array<struct<start:int,end:int>>")
+    schema = StructType([rows.schema["key"], *schema, *rows.schema.fields[2:]])
+    names = schema.fieldNames()
     return rows.mapInArrow(run, schema).withColumnRenamed("key", doc_id)
 
 
