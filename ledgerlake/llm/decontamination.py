@@ -8,6 +8,7 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerlake.llm.suffix_automaton import SuffixAutomaton
 from ledgerlake.llm.tables import carried, stored
@@ -178,5 +179,5 @@ def _clean(found: DataFrame, longer_than: int) -> DataFrame:
             columns = [batch.column(n) for n in names]
             yield pa.record_batch([*columns, pa.array(clean, pa.string())], [*names, "clean_text"])
 
-    schema = found.schema.add("clean_text", "string")
-    return found.mapInArrow(run, schema)
+    clean_text = StructField("clean_text", StringType())
+    return found.mapInArrow(run, StructType([*found.schema, clean_text]))

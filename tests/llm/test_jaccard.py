@@ -1,0 +1,84 @@
+import random
+import re
+
+from ledgerlake.llm import jaccard
+from ledgerlake.llm.components import components
+
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain(docs):
+    """doc_id: (n_shingles, component_id), by comparing all pairs."""
+    sets = {}
+    for key, text in docs:
+        words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(FOLD))
+        width = min(5, len(words))
+        sets[key] = {tuple(words[k : k + width]) for k in range(len(words) - width + 1)} if words else set()
+    root = {key: key for key in sets}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    keys = sorted(sets)
+    for i, a in enumerate(keys):
+        for b in keys[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    return {k: (len(sets[k]), find(k)) for k in keys}
+
+
+def drifting(seed):
+    """Chains of texts that each differ a little from the one before, copies and short texts."""
+    rng = random.Random(seed)
+    word = lambda: rng.choice("abcdefgh") + rng.choice("aeiou") + str(rng.randrange(40))
+    passage = [word() for _ in range(30)]
+    texts = []
+    for _ in range(12):
+        words = [word() for _ in range(rng.randrange(1, 90))]
+        if rng.random() < 0.5:
+            words = words[:10] + passage
+        for _ in range(rng.randrange(1, 8)):
+            texts.append(" ".join(words))
+            words = list(words)
+            for _ in range(rng.randrange(3)):
+                words[rng.randrange(len(words))] = word()
+            if rng.random() < 0.3:
+                words.append(word())
+    return list(enumerate(texts + texts[:3] + ["", " ", None, "a", "A", "a b c", "a b c d"]))
+
+
+def test_equals_all_pairs(spark):
+    for seed in range(2):
+        docs = drifting(seed)
+        df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df).collect()}
+        assert got == plain(docs)
+
+
+def test_links_are_found_when_all_shingles_are_common(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "COMMON", 2)
+    docs = drifting(7)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df).collect()}
+    assert got == plain(docs)
+
+
+def test_odd_rows(odd_docs, no_docs):
+    got = [tuple(r) for r in jaccard.near_duplicates(odd_docs).collect()]
+    assert len(got) == 10
+    assert {r for r in got if r[0] is not None} == {
+        (1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 8, 4), (5, 4, 5), (6, 4, 5), (7, 1, 7),
+    }
+    assert sorted(r[1:] for r in got if r[0] is None) == [(0, None), (1, None)]
+    assert jaccard.near_duplicates(no_docs).count() == 0
+
+
+def test_components_of_a_long_path(spark):
+    links = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 100), (7, 7), (60, 50)]
+    got = components(spark.createDataFrame(links, "a long, b long")).collect()
+    want = {k: 0 for k in range(41)} | {100: 100, 101: 100, 50: 50, 60: 50}
+    assert {r.node: r.label for r in got} == want
