@@ -18,7 +18,7 @@ from ledgerlake.operators.insights import HOURLY_LATENESS
 from ledgerlake.plans import transfer_jobs
 from ledgerlake.plans.insight_job import run_insights
 from ledgerlake.sinks import changelog
-from ledgerlake.sinks.files import overwrite_parquet
+from ledgerlake.sinks.files import overwrite_parquet, write_sized
 from ledgerlake.sinks.jdbc import overwrite_table
 from ledgerlake.sources import files, kafka
 from ledgerlake.sources.jdbc import Connection
@@ -134,10 +134,22 @@ def fraud(spark: SparkSession, given: Arguments) -> None:
         changelog.batch_writer(given.log),
         given.checkpoint,
         _trigger(given),
-        given.lateness,
+        jobs.KEEP_ALL if given.keep_all_days else given.lateness,
+        None if given.alerts is None else changelog.batch_writer(given.alerts),
     ).awaitTermination()
 
 
+def compact_log(spark: SparkSession, given: Arguments) -> None:
+    changelog.compact(spark, given.log, given.keys)
+    if given.prune:
+        changelog.prune(spark, given.log)
+
+
+def compact_lake(spark: SparkSession, given: Arguments) -> None:
+    rows = files.read_parquet(spark, given.lake)
+    write_sized(rows, given.out, given.file_megabytes << 20, "transaction_date" if given.by_day else None)
+
+
 def hourly(spark: SparkSession, given: Arguments) -> None:
     accounts = files.read_parquet(spark, given.accounts)
     customers = files.read_parquet(spark, given.customers)
@@ -157,7 +169,7 @@ def _parser() -> argparse.ArgumentParser:
     commands = parser.add_subparsers(required=True)
 
     def command(run, text: str) -> argparse.ArgumentParser:
-        added = commands.add_parser(run.__name__, help=text)
+        added = commands.add_parser(run.__name__.replace("_", "-"), help=text)
         added.set_defaults(run=run)
         return added
 
@@ -186,9 +198,23 @@ def _parser() -> argparse.ArgumentParser:
     job = command(fraud, "keep daily activity per sender from a message stream")
     _add_messages(job)
     job.add_argument("--log", required=True)
-    job.add_argument("--lateness", help="close days after this time, such as '2 days'")
+    job.add_argument("--alerts", help="log of the suspicious days among them")
+    days = job.add_mutually_exclusive_group(required=True)
+    days.add_argument("--lateness", help="close days after this time, such as '2 days'")
+    days.add_argument("--keep-all-days", action="store_true", help="never close a day")
     _add_stream(job)
 
+    job = command(compact_log, "gather the log of a stream's results, beside the stream")
+    job.add_argument("--log", required=True)
+    job.add_argument("--keys", nargs="+", required=True, help="key columns")
+    job.add_argument("--prune", action="store_true", help="remove what is not read any more")
+
+    job = command(compact_lake, "write the stored messages again in files of one size")
+    job.add_argument("--lake", required=True)
+    job.add_argument("--out", required=True, help="folder of the new table")
+    job.add_argument("--file-megabytes", type=int, default=128)
+    job.add_argument("--by-day", action="store_true", help="the lake has a folder per day")
+
     job = command(hourly, "keep hourly activity from JSON files")
     for name in ("json", "accounts", "customers", "log"):
         job.add_argument(f"--{name}", required=True)

@@ -37,6 +37,25 @@ def counted_transactions(
     return enrich_transactions(transactions, cust_accounts) if repeat else transactions
 
 
+def repeat_by_account(
+    transactions: DataFrame, cust_accounts: DataFrame, salt_buckets: int = SALT_BUCKETS
+) -> DataFrame:
+    """Every transaction as often as a left join with the accounts by its sender would give it.
+
+    Only the account ids that occur more than once are joined; without any, nothing is.
+    """
+    known = cust_accounts.where("account_id is not null").groupBy("account_id")
+    repeated = known.agg(F.count("*").alias("copies")).where("copies > 1")
+    if repeated.isEmpty():
+        return transactions
+    key = account_key(F.col("sender_account_id"))
+    joined = left_lookup(
+        transactions, repeated, key, "account_id", salt_buckets=salt_buckets
+    )
+    copies = F.sequence(F.lit(1), F.coalesce("copies", F.lit(1)).cast("int"))
+    return joined.withColumn("copies", F.explode(copies)).drop("copies", "account_id")
+
+
 def sender_totals(transactions: DataFrame, cust_accounts: DataFrame, *attributes: str) -> DataFrame:
     """Per sender amount and count, with the named attributes of the sender's account.
 

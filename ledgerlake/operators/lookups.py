@@ -12,6 +12,9 @@ BROADCAST_LIMIT = 64 * 1024 * 1024
 # Copies of the dimension in a salted join: one hot key is spread over this many tasks.
 SALT_BUCKETS = 16
 
+# Tasks that rows without a key are dealt to.
+NULL_BUCKETS = 1 << 16
+
 _SALT = "_salt"
 
 
@@ -61,7 +64,13 @@ def left_lookup(
     if broadcast_limit is not None and measured_bytes(dimension) <= broadcast_limit:
         return facts.join(F.broadcast(dimension), fact_key == key, "left")
     if not facts.isStreaming:
-        return facts.join(dimension, fact_key == key, "left")
+        # Rows without a key match nothing: dealt by a second, made-up key, they do not meet in
+        # one task.
+        spread = F.when(fact_key.isNull(), salt(facts, NULL_BUCKETS)).otherwise(0)
+        left = facts.withColumn(_SALT, spread)
+        right = dimension.withColumn(_SALT + "_copy", F.lit(0))
+        same = (fact_key == key) & (F.col(_SALT) == F.col(_SALT + "_copy"))
+        return left.join(right, same, "left").drop(_SALT, _SALT + "_copy")
 
     salts = F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
     left = facts.withColumn(_SALT, salt(facts, salt_buckets))

@@ -1,50 +1,100 @@
 """A keyed table kept as a log of changes, for streams that update their results.
 
-Each micro-batch writes its changed rows to a directory named after its id and replaces that
-directory if it is run again, so a retry changes nothing. Reading takes each key's last row.
+Each micro-batch writes its changed rows to a new directory and then sets a mark; only marked
+directories are read, so a batch that is being written, or written again, shows nothing of it. Of a
+batch that was run twice the last marked attempt counts. Reading takes each key's last row.
 One log belongs to one streaming query: batch ids must not start over.
 
-    <path>/changes/batch_id=N   changed rows of micro-batch N
-    <path>/base/upto=N          each key's last row as of micro-batch N
-    <path>/marks                one row per finished base
+    <path>/changes/batch_id=N/attempt=A   changed rows of micro-batch N, written by attempt A
+    <path>/marks/N.T.A                    empty; attempt A of micro-batch N was finished at time T
+    <path>/base/upto=N                    each key's last row as of micro-batch N
+    <path>/bases/N                        empty; this base is finished
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
+from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+class _Folder:
+    """A folder of the log, through the file system of its path."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._jvm = spark.sparkContext._jvm
+        self._path = self._jvm.org.apache.hadoop.fs.Path(path)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._system = self._path.getFileSystem(conf)
+
+    def _at(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(self._path, name)
+
+    def names(self) -> list[str]:
+        if not self._system.exists(self._path):
+            return []
+        return [status.getPath().getName() for status in self._system.listStatus(self._path)]
+
+    def touch(self, name: str) -> None:
+        self._system.create(self._at(name), True).close()
+
+    def remove(self, name: str) -> None:
+        self._system.delete(self._at(name), True)
 
 
 def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` function that logs each micro-batch. Errors are raised."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+        attempt = uuid4().hex
+        batch.write.parquet(f"{path}/changes/batch_id={batch_id}/attempt={attempt}")
+        marks = _Folder(batch.sparkSession, f"{path}/marks")
+        marks.touch(f"{batch_id}.{time.time_ns()}.{attempt}")
 
     return write
 
 
 def _finished_base(spark: SparkSession, path: str) -> int | None:
-    try:
-        marks = spark.read.parquet(f"{path}/marks")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return marks.agg(F.max("upto")).first()[0]
+    return max(map(int, _Folder(spark, f"{path}/bases").names()), default=None)
+
+
+def _finished_batches(spark: SparkSession, path: str) -> dict[int, str]:
+    """The attempt that counts of each finished micro-batch."""
+    marks = (name.split(".") for name in _Folder(spark, f"{path}/marks").names())
+    ordered = sorted((int(batch_id), int(at), attempt) for batch_id, at, attempt in marks)
+    return {batch_id: attempt for batch_id, _, attempt in ordered}
 
 
-def _log(spark: SparkSession, path: str) -> DataFrame:
-    changes = spark.read.parquet(f"{path}/changes")
+def _log(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str | None = None,
+    last: int | None = None,
+) -> DataFrame:
     upto = _finished_base(spark, path)
-    if upto is None:
-        return changes
-    base = spark.read.parquet(f"{path}/base/upto={upto}")
-    newer = changes.where(F.col("batch_id") > upto)
-    return newer.unionByName(base.withColumn("batch_id", F.lit(upto)))
+    changes = [
+        f"{path}/changes/batch_id={batch_id}/attempt={attempt}"
+        for batch_id, attempt in _finished_batches(spark, path).items()
+        if (upto is None or batch_id > upto) and (last is None or batch_id <= last)
+    ]
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    parts = []
+    if changes:
+        # The ids of the batches are told by the paths.
+        newer = reader.option("basePath", f"{path}/changes").parquet(*changes)
+        parts.append(newer.drop("attempt").withColumn("batch_id", F.col("batch_id").cast("long")))
+    if upto is not None:
+        base = spark.read.parquet(f"{path}/base/upto={upto}")
+        parts.append(base.withColumn("batch_id", F.lit(upto).cast("long")))
+    if not parts:
+        if schema is None:
+            raise ValueError(f"{path} holds no finished batch; its columns are not known")
+        return spark.createDataFrame([], schema).withColumn("batch_id", F.lit(0).cast("long"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def _last_rows(log: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -55,27 +105,55 @@ def _last_rows(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     return log.groupBy(*keys).agg(*last)
 
 
-def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Each key's last row. While a batch is being written, some keys may already show it."""
-    return _last_rows(_log(spark, path), keys)
+def latest(
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    schema: StructType | str | None = None,
+) -> DataFrame:
+    """Each key's last row as of the finished batches. With `schema`, a log without any is empty."""
+    return _last_rows(_log(spark, path, schema), keys)
 
 
 def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> int | None:
     """Gather the log into a new base, so that reading need not go back to the first batch.
 
-    The stream may go on meanwhile. Its newest batch may still be in writing, or be written
-    again after a restart, so the base covers the batches before it; and it counts only once it
-    is marked as finished. Change directories up to the returned batch id are not read any more
-    and may be removed. None means that there is nothing to gather yet.
+    The stream may go on meanwhile. Its newest batch may be written again after a restart, so the
+    base covers the batches before it; and it counts only once it is marked as finished. Change
+    directories up to the returned batch id are not read any more; `prune` removes them. None means
+    that there is nothing to gather yet.
+    """
+    newest = sorted(_finished_batches(spark, path))[-2:]
+    base = _finished_base(spark, path)
+    if len(newest) < 2 or (base is not None and newest[0] <= base):
+        return base
+    upto = newest[0]
+    rows = _last_rows(_log(spark, path, last=upto), keys)
+    rows.write.mode("overwrite").parquet(f"{path}/base/upto={upto}")
+    _Folder(spark, f"{path}/bases").touch(str(upto))
+    return upto
+
+
+def prune(spark: SparkSession, path: str) -> int | None:
+    """Remove what the newest base has made superfluous; returns its batch id, None without a base.
+
+    To be run when no reader still uses an older state. Marks go last, so that a removal which is
+    broken off can be repeated.
     """
-    ids = spark.read.parquet(f"{path}/changes").select("batch_id").distinct()
-    newest = ids.orderBy(F.col("batch_id").desc()).limit(2).collect()
-    if len(newest) < 2:
+    upto = _finished_base(spark, path)
+    if upto is None:
         return None
-    upto = newest[1]["batch_id"]
-    if upto == _finished_base(spark, path):
-        return upto
-    log = _log(spark, path).where(F.col("batch_id") <= upto)
-    _last_rows(log, keys).write.mode("overwrite").parquet(f"{path}/base/upto={upto}")
-    spark.range(1).select(F.lit(upto).alias("upto")).write.mode("append").parquet(f"{path}/marks")
+    for name, number in (("changes", "batch_id="), ("base", "upto=")):
+        folder = _Folder(spark, f"{path}/{name}")
+        for entry in folder.names():
+            found = int(entry.removeprefix(number))
+            if found < upto or (found == upto and name == "changes"):
+                folder.remove(entry)
+    bases, marks = _Folder(spark, f"{path}/bases"), _Folder(spark, f"{path}/marks")
+    for entry in bases.names():
+        if int(entry) < upto:
+            bases.remove(entry)
+    for entry in marks.names():
+        if int(entry.split(".")[0]) <= upto:
+            marks.remove(entry)
     return upto

@@ -7,15 +7,16 @@ back, `AVAILABLE_NOW` takes what has arrived and ends.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ledgerlake.operators.enrichment import enrich_transactions
-from ledgerlake.operators.fraud import daily_activity, flag_activity
+from ledgerlake.operators.enrichment import repeat_by_account
+from ledgerlake.operators.fraud import daily_activity, flag_activity, fraud_alerts
 from ledgerlake.operators.insights import HOURLY_LATENESS, hourly_activity
+from ledgerlake.operators.lookups import SALT_BUCKETS
 from ledgerlake.operators.messages import fraud_rows, lake_rows, parse_messages
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -30,6 +31,9 @@ LARGE_STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+#: `lateness` of a job that keeps every day in its state for ever, so that any late row counts.
+KEEP_ALL = None
+
 BatchFunction = Callable[[DataFrame, int], None]
 
 
@@ -78,13 +82,41 @@ def watch_fraud(
     messages: DataFrame,
     on_batch: BatchFunction,
     checkpoint: str,
-    trigger: dict | None = None,
-    lateness: str | None = None,
+    trigger: dict | None,
+    lateness: str | None,
+    on_alerts: BatchFunction | None = None,
+    state: Mapping[str, str] = LARGE_STATE,
 ) -> StreamingQuery:
-    """Hand every change of a sender's daily activity, flagged, to `on_batch`."""
+    """Hand every change of a sender's daily activity, flagged, to `on_batch`, and those of them that
+    are suspicious to `on_alerts`.
+
+    Days close after `lateness`; with `KEEP_ALL` none does, and the state grows with the days. It
+    lies on the executors' disks, with a copy of its changes in the checkpoint, unless `state` says
+    otherwise.
+    """
     flagged = flag_activity(daily_activity(fraud_rows(parse_messages(messages)), lateness))
-    writer = flagged.writeStream.outputMode("update").foreachBatch(on_batch)
-    return _start(writer, checkpoint, trigger)
+
+    def hand_on(batch: DataFrame, batch_id: int) -> None:
+        if on_alerts is None:
+            on_batch(batch, batch_id)
+            return
+        batch.persist()  # else each reader would run the micro-batch's aggregation again
+        try:
+            on_batch(batch, batch_id)
+            on_alerts(fraud_alerts(batch), batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = flagged.writeStream.outputMode("update").foreachBatch(hand_on)
+    conf = messages.sparkSession.conf
+    before = {name: conf.get(name, None) for name in state}
+    for name, value in state.items():
+        conf.set(name, value)
+    try:  # a stream takes the session's settings along when it starts
+        return _start(writer, checkpoint, trigger)
+    finally:
+        for name, value in before.items():
+            conf.unset(name) if value is None else conf.set(name, value)
 
 
 def watch_hours(
@@ -94,13 +126,15 @@ def watch_hours(
     checkpoint: str,
     trigger: dict | None = None,
     lateness: str = HOURLY_LATENESS,
+    salt_buckets: int = SALT_BUCKETS,
 ) -> StreamingQuery:
     """Hand every change of the hourly activity to `on_batch`.
 
-    The stream is enriched from the account dimension first. The report reads no attribute of
-    it, so only the account ids are joined.
+    The report reads no attribute of the account, so of the join with the dimension only one thing
+    is left: a transaction counts as often as its sender's id occurs there. The ids that occur more
+    than once, usually none, are looked up at the start and joined; how large the dimension is
+    besides does not matter.
     """
-    enriched = enrich_transactions(transactions, cust_accounts.select("account_id"))
-    hourly = hourly_activity(enriched, lateness)
+    hourly = hourly_activity(repeat_by_account(transactions, cust_accounts, salt_buckets), lateness)
     writer = hourly.writeStream.outputMode("update").foreachBatch(on_batch)
     return _start(writer, checkpoint, trigger)

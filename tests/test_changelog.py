@@ -30,7 +30,24 @@ def test_a_repeated_batch_replaces_itself(spark, path):
     write(batch(spark, ("a", 2, "y"), ("lost", 9, "z")), 1)
     write(batch(spark, ("a", 2, "y"), ("c", 3, "w")), 1)
     assert current(spark, path) == {("a", 2, "y"), ("c", 3, "w")}
-    assert spark.read.parquet(f"{path}/changes").count() == 3
+
+
+def test_a_batch_in_writing_is_not_read(spark, path):
+    write = changelog.batch_writer(path)
+    write(batch(spark, ("a", 0, "x"), ("b", 0, "x")), 0)
+    batch(spark, ("a", 1, "y")).write.parquet(f"{path}/changes/batch_id=1/attempt=half")
+    assert current(spark, path) == {("a", 0, "x"), ("b", 0, "x")}
+    write(batch(spark, ("a", 1, "y"), ("b", 1, "y")), 1)
+    batch(spark, ("a", 7, "y")).write.parquet(f"{path}/changes/batch_id=1/attempt=again")
+    assert current(spark, path) == {("a", 1, "y"), ("b", 1, "y")}
+
+
+def test_an_empty_log(spark, path):
+    empty = changelog.latest(spark, path, ["k"], "k string, n int")
+    assert empty.columns == ["k", "n"] and empty.count() == 0
+    with pytest.raises(ValueError):
+        changelog.latest(spark, path, ["k"])
+    assert changelog.prune(spark, path) is None
 
 
 def test_batch_ids_are_ordered_as_numbers(spark, path):
@@ -78,5 +95,23 @@ def test_old_changes_are_not_scanned(spark, path):
     for number in range(3):
         write(batch(spark, ("a", number, "x")), number)
     changelog.compact(spark, path, ["k"])
-    plan = changelog.latest(spark, path, ["k"])._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(batch_id" in plan
+    read = {name.split("/log/")[1].rsplit("/", 1)[0][:16] for name in changelog.latest(spark, path, ["k"]).inputFiles()}
+    assert read == {"base/upto=1", "changes/batch_id"}
+    assert not any("batch_id=0" in n or "batch_id=1" in n for n in changelog.latest(spark, path, ["k"]).inputFiles())
+
+
+def test_what_is_not_read_can_be_removed(spark, path, tmp_path):
+    write = changelog.batch_writer(path)
+    for number in range(5):
+        write(batch(spark, ("a", number, "x"), (str(number), number, "y")), number)
+        if number == 2:
+            changelog.compact(spark, path, ["k"])
+    assert changelog.compact(spark, path, ["k"]) == 3
+    before = current(spark, path)
+    assert changelog.prune(spark, path) == changelog.prune(spark, path) == 3
+    assert current(spark, path) == before
+    log = tmp_path / "log"
+    assert [p.name for p in (log / "changes").iterdir()] == ["batch_id=4"]
+    assert [p.name for p in (log / "base").iterdir()] == ["upto=3"]
+    write(batch(spark, ("a", 9, "z")), 5)
+    assert ("a", 9, "z") in current(spark, path)

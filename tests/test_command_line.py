@@ -32,11 +32,17 @@ def test_streaming_jobs(spark, place):
     run(f"ingest {source} --lake {place}/lake --checkpoint {place}/c1")
     assert files.read_parquet(spark, f"{place}/lake").count() == events.count()
 
-    run(f"fraud {source} --log {place}/days --checkpoint {place}/c2")
+    run(f"fraud {source} --log {place}/days --alerts {place}/alerts --keep-all-days --checkpoint {place}/c2")
     days = fraud.flag_activity(fraud.daily_activity(events.where("amount <> 0")))
     found = changelog.latest(spark, f"{place}/days", [*fraud.DAILY_KEYS, fraud.KEY])
     assert found.select(*days.columns).exceptAll(days).isEmpty()
     assert found.count() == days.count()
+    alerts = changelog.latest(spark, f"{place}/alerts", [*fraud.DAILY_KEYS, fraud.KEY])
+    assert 0 < alerts.count() == days.where("is_fraud").count()
+    run(f"compact-log --log {place}/days --keys sender_account_id --prune")
+    run(f"compact-lake --lake {place}/lake --out {place}/sized")
+    sized = files.read_parquet(spark, f"{place}/sized")
+    assert sized.count() == events.count() and len(sized.inputFiles()) == 1
 
     run(
         f"hourly --json {place}/json --accounts {place}/accounts --customers {place}/customers"
@@ -79,7 +85,7 @@ def test_reports_to_a_database(place, monkeypatch):
     )
     assert written == [
         (f"insight_{name}", "jdbc:none:x", False)
-        for name in ("top_customers", "monthly_type", "segmentation", "geo_product")
+        for name in ("monthly_type", "geo_product", "top_customers", "segmentation")
     ]
 
 

@@ -86,6 +86,7 @@ def test_fraud_stream_equals_batch(spark, tmp_path, events):
         changelog.batch_writer(log),
         str(tmp_path / "checkpoint"),
         jobs.AVAILABLE_NOW,
+        jobs.KEEP_ALL,
     ).awaitTermination()
     batch = fraud.flag_activity(fraud.daily_activity(events.where("amount <> 0")))
     assert equal(changelog.latest(spark, log, FRAUD_KEYS), batch)
@@ -137,7 +138,7 @@ def test_late_rows(spark, tmp_path):
             for t in times
         ]
         write_json(tmp_path / "in", number, rows)
-    stream = files.json_stream(spark, str(tmp_path / "in"))
+    stream = files.json_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1)
     ids = spark.createDataFrame([(1,)], "account_id int")
     log = str(tmp_path / "log")
     query = jobs.watch_hours(
@@ -157,7 +158,7 @@ def test_append_mode_waits_for_the_watermark(spark, tmp_path):
     for number, times in enumerate(arrivals):
         rows = [{"transaction_type": "a", "timestamp": f"2024-01-01T{t}:00"} for t in times]
         write_json(tmp_path / "in", number, rows)
-    hours = insights.hourly_activity(files.json_stream(spark, str(tmp_path / "in")))
+    hours = insights.hourly_activity(files.json_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1))
     out = str(tmp_path / "out")
     jobs.append_to_table(
         hours, out, str(tmp_path / "checkpoint"), jobs.AVAILABLE_NOW
@@ -170,7 +171,7 @@ def test_json_stream_takes_one_file_at_a_time(spark, tmp_path):
     for number in range(3):
         row = {"transaction_id": str(number), "amount": 1.5, "timestamp": "2024-01-01T00:00:00.000007"}
         write_json(tmp_path / "in", number, [row, {"transaction_id": "b", "amount": "much"}])
-    stream = files.json_stream(spark, str(tmp_path / "in"))
+    stream = files.json_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1)
     assert stream.columns == TRANSACTION_COLUMNS
     out = str(tmp_path / "out")
     query = jobs.append_to_table(stream, out, str(tmp_path / "checkpoint"), jobs.AVAILABLE_NOW)
@@ -194,7 +195,9 @@ def test_errors_stop_the_stream_and_the_batch_is_retried(spark, tmp_path, events
 
     def run():
         stream = files.message_stream(spark, landing)
-        return jobs.watch_fraud(stream, failing, str(tmp_path / "checkpoint"), jobs.AVAILABLE_NOW)
+        return jobs.watch_fraud(
+            stream, failing, str(tmp_path / "checkpoint"), jobs.AVAILABLE_NOW, jobs.KEEP_ALL
+        )
 
     with pytest.raises(Exception, match="store is away"):
         run().awaitTermination()
