@@ -46,5 +46,7 @@ def average_type(rows: DataFrame, column: str) -> T.DataType:
 
 def money(amount: Column) -> Column:
     """A double as DECIMAL(10,2). A plain cast goes through the number's text."""
-    cents = F.rint(amount * 100).cast("bigint").cast("decimal(10,0)")
+    # Halves of a cent go away from zero, of the number times a hundred.
+    size = F.floor(F.abs(amount) * 100 + 0.5)
+    cents = (F.signum(amount) * size).cast("bigint").cast("decimal(10,0)")
     return (cents * F.lit(Decimal("0.01"))).cast("decimal(10,2)")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions import average_type, sum_type, total, year_month
 from ledgerlake.operators.activity import activity
 from ledgerlake.operators.enrichment import sender_totals
-from ledgerlake.operators.pivots import pivot
+from ledgerlake.operators.pivots import NULL_LABEL, pivot, pivot_labels
 
 # Length of the ranking, and the hourly window with its allowed lateness.
 RANKING_LENGTH = 10
@@ -27,14 +27,17 @@ def top_customers(
     cust_accounts: DataFrame,
     length: int = RANKING_LENGTH,
     drop_unmatched: bool = False,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """The customers with the largest total amount, ranked from 1.
 
     Transactions without a known customer form one group that competes too, unless
     `drop_unmatched`. Equal totals are ordered by customer, so the ranking is repeatable.
-    Each task keeps its own best `length` rows; only those are merged and numbered.
+    Each task keeps its own best `length` rows; only those are merged and numbered. `totals`:
+    `sender_totals` with the named attributes, where several reports share it.
     """
-    totals = sender_totals(transactions, cust_accounts, "customer_id", "full_name")
+    if totals is None:
+        totals = sender_totals(transactions, cust_accounts, "customer_id", "full_name")
     if drop_unmatched:
         totals = totals.where(F.col("customer_id").isNotNull())
     ordering = [
@@ -57,17 +60,28 @@ def monthly_type(counted: DataFrame, types: Sequence[str] | None = None) -> Data
     daily = counted.groupBy(day, "transaction_type").agg(total(counted, "amount").alias("amount"))
     month = year_month(F.col("day")).alias("year_month")
     amount = F.sum("amount").cast(sum_type(counted, "amount"))
+    if types is None:  # from the rows: a scan of one column instead of the sums once more
+        types = pivot_labels(counted, "transaction_type")
     return pivot(daily, month, "transaction_type", amount, types)
 
 
 def segmentation(
-    transactions: DataFrame, cust_accounts: DataFrame, occupations: Sequence[str] | None = None
+    transactions: DataFrame,
+    cust_accounts: DataFrame,
+    occupations: Sequence[str] | None = None,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
-    """Average amount per customer segment, one column per occupation."""
-    totals = sender_totals(transactions, cust_accounts, "customer_segment", "occupation")
+    """Average amount per customer segment, one column per occupation.
+
+    Without given occupations there is a column for each of the dimension's and one for none.
+    """
+    if totals is None:
+        totals = sender_totals(transactions, cust_accounts, "customer_segment", "occupation")
     amount = F.sum("amount_sum").cast(sum_type(transactions, "amount"))
     average = F.try_divide(amount, F.sum("amount_count"))
     average = average.cast(average_type(transactions, "amount"))
+    if occupations is None:
+        occupations = sorted({*pivot_labels(cust_accounts, "occupation"), NULL_LABEL})
     return pivot(totals, F.col("customer_segment"), "occupation", average, occupations)
 
 

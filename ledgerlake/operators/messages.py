@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +18,23 @@ FRAUD_REQUIRED = ("transaction_id", "sender_account_id", "amount", "timestamp")
 PUBLISHED_NUMBERS = ("amount", "transaction_fee", "product_amount")
 
 
-def to_messages(transactions: DataFrame, drop_zeros: bool = True) -> DataFrame:
+def as_published(transactions: DataFrame) -> DataFrame:
+    """Transactions as they are published: without zeros in their numbers."""
+    numbers = [name for name in PUBLISHED_NUMBERS if name in transactions.columns]
+    return transactions.withColumns({name: zero_as_null(F.col(name)) for name in numbers})
+
+
+def to_messages(
+    transactions: DataFrame, drop_zeros: bool = True, absent: Sequence[str] = ()
+) -> DataFrame:
     """One binary `value` per transaction: a JSON object with explicit nulls.
 
-    A column the input lacks is published as null, so every message has all fields.
+    Every message has all fields. A column that the input lacks is an error, unless it is named in
+    `absent`: then it is published as null.
     """
+    missing = set(TRANSACTION_COLUMNS) - set(transactions.columns) - set(absent)
+    if missing:
+        raise ValueError(f"columns to publish are missing: {', '.join(sorted(missing))}")
 
     def field(name: str) -> Column:
         if name not in transactions.columns:

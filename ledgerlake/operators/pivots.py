@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 NULL_LABEL = "null"
 
 
-def pivot_labels(rows: DataFrame, column: str, at_most: int = 10000) -> list[str]:
-    """Labels that occur in `column`, sorted. More than `at_most` is an error, not a cut."""
+def pivot_labels(rows: DataFrame, column: str, at_most: int | None = None) -> list[str]:
+    """Labels that occur in `column`, sorted. More than `at_most`, if given, is an error, not a cut."""
     label = F.coalesce(F.col(column).cast("string"), F.lit(NULL_LABEL)).alias("label")
-    found = rows.select(label).distinct().limit(at_most + 1).collect()
-    if len(found) > at_most:
+    labels = rows.select(label).distinct()
+    found = (labels if at_most is None else labels.limit(at_most + 1)).collect()
+    if at_most is not None and len(found) > at_most:
         raise ValueError(f"{column} has more than {at_most} values; pass the wanted columns")
     return sorted(row["label"] for row in found)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 
 from ledgerlake.operators.dimensions import cached, customer_accounts
-from ledgerlake.operators.enrichment import counted_transactions
+from ledgerlake.operators.enrichment import counted_transactions, sender_totals
 from ledgerlake.operators.insights import (
     geo_product,
     monthly_type,
@@ -34,12 +34,16 @@ def run_insights(
 ) -> None:
     """Compute every report and hand it with its table name to `write`.
 
-    The account dimension is shared by all of them and kept in memory meanwhile. Pivots whose
-    columns are not given look them up in the data.
+    The account dimension is shared by all of them and kept in memory meanwhile, as are the totals
+    per sender that two of them read. Pivots whose columns are not given look them up in the data.
     """
+    attributes = ("customer_id", "full_name", "customer_segment", "occupation")
     with cached(customer_accounts(accounts, customers)) as dimension:
         counted = counted_transactions(transactions, dimension)
-        write(top_customers(transactions, dimension), TOP_CUSTOMERS_TABLE)
         write(monthly_type(counted, types), MONTHLY_TYPE_TABLE)
-        write(segmentation(transactions, dimension, occupations), SEGMENTATION_TABLE)
         write(geo_product(counted, products), GEO_PRODUCT_TABLE)
+        with cached(sender_totals(transactions, dimension, *attributes)) as totals:
+            ranked = top_customers(transactions, dimension, totals=totals)
+            write(ranked, TOP_CUSTOMERS_TABLE)
+            by_segment = segmentation(transactions, dimension, occupations, totals)
+            write(by_segment, SEGMENTATION_TABLE)

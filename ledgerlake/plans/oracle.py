@@ -36,14 +36,14 @@ customers as (
 
 ACCOUNTS = """
 accounts as (
-    select c_custkey as account_id,
+    select case when c_custkey % 25 <> 3 then c_custkey else -c_custkey end as account_id,
            case when c_custkey % 20 <> 7 then c_custkey - c_custkey % 2 end as customer_id,
            c_custkey % 11 <> 0 as is_active,
            cast(cast(c_acctbal as decimal(10,2)) + 100 as double) as initial_balance,
            '2020-01-01' as date_opened,
            case when c_custkey % 11 = 0 then '2024-01-01' end as date_closed,
            cast(cast(c_acctbal as decimal(10,2)) as double) as current_balance
-    from customer where c_custkey % 25 <> 3
+    from customer
 )"""
 
 CUST_ACCOUNTS = """
@@ -72,10 +72,10 @@ transactions as (
            p_type as product_name,
            cast(l_quantity as decimal(10,2)) as product_amount,
            cast(null as varchar) as transaction_message
-    from lineitem join orders on l_orderkey = o_orderkey
-                  join part on l_partkey = p_partkey
-                  join supplier on l_suppkey = s_suppkey
-                  join nation on s_nationkey = n_nationkey
+    from lineitem left join orders on l_orderkey = o_orderkey
+                  left join part on l_partkey = p_partkey
+                  left join supplier on l_suppkey = s_suppkey
+                  left join nation on s_nationkey = n_nationkey
 )"""
 
 # Transactions as they come back from a message: zero amounts are lost on the way.
@@ -152,6 +152,11 @@ _TOP = f"""{_with(*_REPORT_PARTS)}, totals as (
 select * from ranked where rank <= 10"""
 
 
+# Rows that count for the fraud job: zero amounts are lost on the way, as are rows without a field.
+_COMPLETE = """where amount <> 0 and transaction_id is not null
+    and sender_account_id is not null and "timestamp" is not null"""
+
+
 def _daily(condition: str) -> str:
     return f"""{_with(EVENT_TRANSACTIONS)}, daily as (
     select sender_account_id, cast(cast("timestamp" as date) as varchar) as transaction_date,
@@ -225,6 +230,20 @@ _SCAN_ACCOUNTS = f"{_with(ACCOUNTS)} select * from accounts"
 _PUBLISHED_ROWS = f"{_with(EVENT_TRANSACTIONS)} select {PUBLISHED} from event_transactions"
 
 
+_MONTHLY = (
+    f"{_with(*_REPORT_PARTS)} select strftime(\"timestamp\", '%Y-%m') as year_month,"
+    f" {_sum_columns('transaction_type', BATCH_TYPES)} from enriched group by 1"
+)
+_SEGMENTS = (
+    f"{_with(*_REPORT_PARTS)} select customer_segment,"
+    f" {_average_columns('occupation', OCCUPATIONS)} from enriched group by 1"
+)
+_PLACES = (
+    f"{_with(*_REPORT_PARTS)} select location,"
+    f" {_sum_columns('product_name', PRODUCTS)} from enriched group by 1"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "scan_customers": _SCAN_CUSTOMERS,
@@ -243,25 +262,17 @@ def oracle_sql() -> dict[str, str]:
         ),
         "top_customers": _TOP,
         "top_customers_stored": _TOP,
-        "monthly_type": (
-            f"{_with(*_REPORT_PARTS)} select strftime(\"timestamp\", '%Y-%m') as year_month,"
-            f" {_sum_columns('transaction_type', BATCH_TYPES)} from enriched group by 1"
-        ),
-        "segmentation": (
-            f"{_with(*_REPORT_PARTS)} select customer_segment,"
-            f" {_average_columns('occupation', OCCUPATIONS)} from enriched group by 1"
-        ),
-        "geo_product": (
-            f"{_with(*_REPORT_PARTS)} select location,"
-            f" {_sum_columns('product_name', PRODUCTS)} from enriched group by 1"
-        ),
+        **{f"monthly_type{end}": _MONTHLY for end in ("", "_given", "_stored")},
+        **{f"segmentation{end}": _SEGMENTS for end in ("", "_given", "_stored")},
+        **{f"geo_product{end}": _PLACES for end in ("", "_given", "_stored")},
         "hourly_batch": _hourly("event_transactions"),
-        "fraud_daily_batch": _daily(""),
-        "fraud_alerts": f"select * from ({_daily('')}) where is_fraud",
+        "fraud_daily_batch": _daily(_COMPLETE),
+        "fraud_alerts": f"select * from ({_daily(_COMPLETE)}) where is_fraud",
+        "fraud_alerts_stream": f"select * from ({_daily(_COMPLETE)}) where is_fraud",
         "publish_transactions": _MESSAGES,
         "parse_messages": _PUBLISHED_ROWS,
         "ingest_transactions": _PUBLISHED_ROWS,
-        "fraud_daily": _daily("where amount <> 0"),
+        "fraud_daily": _daily(_COMPLETE),
         "hourly_stream": _hourly("event_transactions"),
         "hourly_late_data": _hourly("counted", _LATE),
         "stream_json_source": f"{_with(EVENT_TRANSACTIONS)} select {STORED} from event_transactions",

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,13 @@ from ledgerlake.operators.dimensions import (
     with_income_category,
 )
 from ledgerlake.operators.enrichment import counted_transactions, enrich_transactions
-from ledgerlake.operators.messages import lake_rows, parse_messages, to_messages
+from ledgerlake.operators.messages import (
+    as_published,
+    fraud_rows,
+    lake_rows,
+    parse_messages,
+    to_messages,
+)
 from ledgerlake.plans import insight_job, tables
 from ledgerlake.plans.replay import arrive, time_ranges
 from ledgerlake.plans.workspace import new_place
@@ -119,35 +126,42 @@ def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.withColumn("rank", F.col("rank").cast("bigint"))
 
 
-def top_customers_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ranking as the batch job leaves it in its result table."""
-    place = new_place(spark, "insights")
-    insight_job.run_insights(
-        tables.transactions(spark, sf_dir),
-        tables.accounts(spark, sf_dir),
-        tables.customers(spark, sf_dir),
-        lambda report, name: overwrite_parquet(report, f"{place}/{name}"),
-        tables.BATCH_TYPES,
-        tables.OCCUPATIONS,
-        tables.PRODUCTS,
-    )
-    ranked = files.read_parquet(spark, f"{place}/{insight_job.TOP_CUSTOMERS_TABLE}")
-    return ranked.withColumn("rank", F.col("rank").cast("bigint"))
+def _stored(table: str) -> Query:
+    """A report as the batch job, which looks up the columns of its pivots, leaves it in its table."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        place = new_place(spark, "insights")
+        insight_job.run_insights(
+            tables.transactions(spark, sf_dir),
+            tables.accounts(spark, sf_dir),
+            tables.customers(spark, sf_dir),
+            lambda report, name: overwrite_parquet(report, f"{place}/{name}"),
+        )
+        found = files.read_parquet(spark, f"{place}/{table}")
+        return found.withColumns({c: F.col(c).cast("bigint") for c in found.columns if c == "rank"})
+
+    return run
 
 
-def monthly_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+def monthly_type(
+    spark: SparkSession, sf_dir: str, types: Sequence[str] | None = None
+) -> DataFrame:
     rows = _counted(spark, sf_dir, "timestamp", "transaction_type", "amount")
-    return insights.monthly_type(rows, tables.BATCH_TYPES)
+    return insights.monthly_type(rows, types)
 
 
-def segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+def segmentation(
+    spark: SparkSession, sf_dir: str, occupations: Sequence[str] | None = None
+) -> DataFrame:
     rows = tables.transactions(spark, sf_dir, SENDER_AMOUNT)
-    return insights.segmentation(rows, _report_dimension(spark, sf_dir), tables.OCCUPATIONS)
+    return insights.segmentation(rows, _report_dimension(spark, sf_dir), occupations)
 
 
-def geo_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+def geo_product(
+    spark: SparkSession, sf_dir: str, products: Sequence[str] | None = None
+) -> DataFrame:
     rows = _counted(spark, sf_dir, "location", "product_name", "amount")
-    return insights.geo_product(rows, tables.PRODUCTS)
+    return insights.geo_product(rows, products)
 
 
 def _counted(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
@@ -167,7 +181,7 @@ def hourly_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fraud_daily_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tables.event_transactions(tables.events(spark, sf_dir))
-    return fraud.flag_activity(fraud.daily_activity(rows))
+    return fraud.flag_activity(fraud.daily_activity(fraud_rows(as_published(rows))))
 
 
 def fraud_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,7 +213,7 @@ def _event_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 def _late_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     rows = tables.events(spark, sf_dir)
     ranges = time_ranges(rows, "ts", ARRIVALS)
-    late = F.col("event_type") == LATE_TYPE
+    late = F.col("event_type").eqNullSafe(LATE_TYPE)
     nothing = F.lit(False)
     return [
         tables.event_transactions(rows.where((on_time & ~late) | (delayed & late)))
@@ -220,20 +234,30 @@ def ingest_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_parquet(spark, lake)
 
 
-def fraud_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _watched(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     place = new_place(spark, "fraud")
-    landing, log = f"{place}/messages", f"{place}/activity"
+    landing = f"{place}/messages"
     arrive(
         _event_parts(spark, sf_dir),
         lambda part: to_messages(part).write.mode("append").parquet(landing),
         lambda: jobs.watch_fraud(
             files.message_stream(spark, landing),
-            changelog.batch_writer(log),
+            changelog.batch_writer(f"{place}/activity"),
             f"{place}/checkpoint",
             jobs.AVAILABLE_NOW,
+            jobs.KEEP_ALL,
+            changelog.batch_writer(f"{place}/alerts"),
         ),
     )
-    return changelog.latest(spark, log, (*fraud.DAILY_KEYS, fraud.KEY))
+    return changelog.latest(spark, f"{place}/{table}", (*fraud.DAILY_KEYS, fraud.KEY))
+
+
+def fraud_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _watched(spark, sf_dir, "activity")
+
+
+def fraud_alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _watched(spark, sf_dir, "alerts")
 
 
 def _hourly(spark: SparkSession, sf_dir: str, parts: list[DataFrame], name: str) -> DataFrame:
@@ -286,10 +310,16 @@ REGISTERED: dict[str, Query] = {
     "income_category": income_category,
     "enriched_transactions": enriched_transactions,
     "top_customers": top_customers,
-    "top_customers_stored": top_customers_stored,
+    "top_customers_stored": _stored(insight_job.TOP_CUSTOMERS_TABLE),
     "monthly_type": monthly_type,
+    "monthly_type_given": partial(monthly_type, types=tables.BATCH_TYPES),
+    "monthly_type_stored": _stored(insight_job.MONTHLY_TYPE_TABLE),
     "segmentation": segmentation,
+    "segmentation_given": partial(segmentation, occupations=tables.OCCUPATIONS),
+    "segmentation_stored": _stored(insight_job.SEGMENTATION_TABLE),
     "geo_product": geo_product,
+    "geo_product_given": partial(geo_product, products=tables.PRODUCTS),
+    "geo_product_stored": _stored(insight_job.GEO_PRODUCT_TABLE),
     "hourly_batch": hourly_batch,
     "fraud_daily_batch": fraud_daily_batch,
     "fraud_alerts": fraud_alerts,
@@ -297,6 +327,7 @@ REGISTERED: dict[str, Query] = {
     "parse_messages": parse_published,
     "ingest_transactions": ingest_transactions,
     "fraud_daily": fraud_daily,
+    "fraud_alerts_stream": fraud_alerts_stream,
     "hourly_stream": hourly_stream,
     "hourly_late_data": hourly_late_data,
     "stream_json_source": stream_json_source,

@@ -26,7 +26,7 @@ def time_cuts(rows: DataFrame, column: str, parts: int) -> list[Column]:
 
 
 def time_ranges(rows: DataFrame, column: str, parts: int) -> list[Column]:
-    """One condition per equal range of time; each row meets exactly one."""
+    """One condition per equal range of time; each row meets exactly one, without a time the last."""
     cuts = time_cuts(rows, column, parts)
     moment = F.col(column)
     conditions = []
@@ -36,6 +36,8 @@ def time_ranges(rows: DataFrame, column: str, parts: int) -> list[Column]:
             condition = condition & (moment >= low)
         if high is not None:
             condition = condition & (moment < high)
+        elif low is not None:
+            condition = condition | moment.isNull()
         conditions.append(condition)
     return conditions
 

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.schemas import MESSAGE, STORED_TRANSACTION
 
+# Fixed value: a rate limit (files per micro-batch) to choose.
+FILES_PER_BATCH = 1
+
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -35,9 +38,9 @@ def json_stream(
     spark: SparkSession,
     path: str,
     schema: str = STORED_TRANSACTION,
-    max_files_per_trigger: int | None = 1,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Transactions arriving as JSON files, so many files per micro-batch."""
+    """Transactions arriving as JSON files, all that are there or so many per micro-batch."""
     reader = spark.readStream.format("json").schema(schema)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Where a new stream starts, and how many records one micro-batch takes.
+# Where a new stream starts, and a rate limit (records per micro-batch) to choose.
 STARTING_OFFSETS = "latest"
 RECORDS_PER_BATCH = 100
 
@@ -28,9 +28,10 @@ def stream_options(
     servers: str,
     topic: str,
     starting_offsets: str = STARTING_OFFSETS,
-    records_per_batch: int | None = RECORDS_PER_BATCH,
+    records_per_batch: int | None = None,
     login: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
+    """Options of `message_stream`; without `records_per_batch` a micro-batch takes what is there."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,

@@ -84,8 +84,8 @@ def test_total_of_other_types_is_the_plain_sum(spark):
 
 
 def test_money(spark):
-    numbers = [0.0, 6.55, -2547.4, 99999999.99, 0.07, 1e-9, None]
+    numbers = [0.0, 6.55, -2547.4, 99999999.99, 0.07, 1e-9, None, 0.125, -0.125, 0.375]
     found = values(spark, [(n,) for n in numbers], "n double", functions.money(F.col("n")))
     assert [None if f is None else str(f) for f in found] == [
-        "0.00", "6.55", "-2547.40", "99999999.99", "0.07", "0.00", None
+        "0.00", "6.55", "-2547.40", "99999999.99", "0.07", "0.00", None, "0.13", "-0.13", "0.38"
     ]

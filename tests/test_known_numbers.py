@@ -16,7 +16,7 @@ def run(spark):
 def test_dimension(run):
     assert run("scan_customers").count() == 1500
     assert run("scan_customers").where("income is null").count() == 150
-    assert run("cust_accounts").count() == 1440
+    assert run("cust_accounts").count() == 1500
     categories = run("income_category").select("income_category").distinct().collect()
     assert {row[0] for row in categories} == {"Unknown", "Low", "Medium", "High"}
 

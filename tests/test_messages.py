@@ -2,6 +2,7 @@ import json
 from datetime import datetime
 from decimal import Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -95,9 +96,12 @@ def test_message_text(spark):
     assert kept["amount"] == 0
 
 
-def test_missing_columns_are_published_as_null(spark):
+def test_only_named_columns_may_be_missing(spark):
     df = spark.createDataFrame([(5, 2.0)], "transaction_id int, amount double")
-    message = json.loads(bytes(to_messages(df).first()["value"]).decode())
+    with pytest.raises(ValueError, match="timestamp"):
+        to_messages(df, absent=["sender_account_id"])
+    absent = [name for name in TRANSACTION_COLUMNS if name not in df.columns]
+    message = json.loads(bytes(to_messages(df, absent=absent).first()["value"]).decode())
     assert message == {**dict.fromkeys(TRANSACTION_COLUMNS), "transaction_id": 5, "amount": 2.0}
 
 

@@ -116,7 +116,9 @@ def test_jdbc_reaches_the_driver_lookup(spark):
 
 def test_kafka_options():
     login = kafka_source.login_options("SCRAM-SHA-256", "SASL_PLAINTEXT", "the.Module", "me", "secret")
-    assert kafka_source.stream_options("broker:9092", "payments", login=login) == {
+    assert kafka_source.stream_options(
+        "broker:9092", "payments", records_per_batch=kafka_source.RECORDS_PER_BATCH, login=login
+    ) == {
         "kafka.bootstrap.servers": "broker:9092",
         "subscribe": "payments",
         "startingOffsets": "latest",
