@@ -11,18 +11,25 @@ from pyspark.sql import functions as F
 BITS_PER_VALUE = 16
 FEWEST, MOST = 20, 30
 _PART = 1 << 15  # bits of one value of bitmap_construct_agg
+_SHIFT = 17  # bits between the parts of a value that its probes look at
 
 
-def collect_bitmap(df: DataFrame, column: str, most: int = MOST) -> np.ndarray:
-    """A bit for each value of a long column, by its low bits; merged on the executors.
+def collect_bitmap(
+    df: DataFrame, column: str, most: int = MOST, probes: int = 1
+) -> np.ndarray:
+    """Some bits (`probes`) for each value of a long column of hash values, by parts of the value;
+    merged on the executors.
 
     What reaches the driver has at most 2 ** `most` bits, whatever the number of rows. Nulls are
-    left out.
+    left out. More probes, up to three, let fewer values through that were not put in.
     """
     rows = df.where(F.col(column).isNotNull())
     count = rows.count()
-    bits = min(most, max(FEWEST, (count * BITS_PER_VALUE - 1).bit_length() if count else 0))
-    low = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
+    wanted = count * BITS_PER_VALUE * (1 if probes == 1 else 2)
+    bits = min(most, max(FEWEST, (wanted - 1).bit_length() if count else 0))
+    looked = [F.shiftrightunsigned(F.col(column), _SHIFT * k) for k in range(probes)]
+    rows = rows.select(F.explode(F.array(*looked)).alias("_part")) if probes > 1 else rows.select(F.col(column).alias("_part"))
+    low = F.col("_part").bitwiseAND(F.lit((1 << bits) - 1))
     parts = rows.groupBy((F.shiftright(low, 15)).alias("part")).agg(
         F.bitmap_construct_agg(low.bitwiseAND(F.lit(_PART - 1))).alias("set")
     )
@@ -33,11 +40,14 @@ def collect_bitmap(df: DataFrame, column: str, most: int = MOST) -> np.ndarray:
     return out
 
 
-def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+def in_bitmap(bitmap: np.ndarray, values: np.ndarray, probes: int = 1) -> np.ndarray:
     """Whether each value (uint64) may be in the set."""
-    at = values & np.uint64(len(bitmap) * 8 - 1)
-    found = bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)
-    return (found & 1).astype(bool)
+    out = np.ones(len(values), bool)
+    for k in range(probes):
+        at = (values >> np.uint64(_SHIFT * k)) & np.uint64(len(bitmap) * 8 - 1)
+        bits = bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)
+        out &= (bits & 1).astype(bool)
+    return out
 
 
 def without(df: DataFrame, others: DataFrame, column: str) -> DataFrame:

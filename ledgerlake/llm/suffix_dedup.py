@@ -18,6 +18,8 @@ from ledgerlake.llm.tables import carried, drop_stored, release, stored
 #: Bytes that are ranked together, and bytes of one long text in one step: their ranks stay in a
 #: processor's cache.
 STEP = 1 << 16
+#: Bits that are looked at to tell the rows that stand for their class.
+LEAD_PROBES = 3
 #: Rows that a task gathers before it hands them on.
 ROWS = 100_000
 
@@ -74,7 +76,7 @@ def steps(batch: pa.RecordBatch, leads: np.ndarray, margin: int) -> Iterator[Ste
     held, size = [], 0
     cls = batch.column(0).to_numpy(zero_copy_only=False)
     mark = batch.column(1).to_numpy(zero_copy_only=False)
-    for k in np.flatnonzero(in_bitmap(leads, (cls ^ mark).view(np.uint64))):
+    for k in np.flatnonzero(in_bitmap(leads, (cls ^ mark).view(np.uint64), LEAD_PROBES)):
         text = np.frombuffer(batch.column(2)[k].as_buffer(), np.uint8)
         for at in range(0, len(text), STEP):
             first, last = max(0, at - margin), min(len(text), at + STEP + margin)
@@ -346,16 +348,37 @@ def repeated_spans(texts: Texts, length: int) -> DataFrame:
     return spans
 
 
-def _merged(blocks: list[dict] | None, places: list[int] | None, length: int) -> list[tuple[int, int]]:
-    spans = [(b["first"], b["end"]) for b in blocks or ()]
-    spans += [(place, place + length) for place in places or ()]
-    out: list[tuple[int, int]] = []
-    for first, end in sorted(spans):
-        if out and out[-1][1] >= first:
-            out[-1] = (out[-1][0], max(out[-1][1], end))
+def _lists(column: pa.ListArray) -> Iterator[tuple[int, int]]:
+    """Where the list of each row lies in the column's values; nowhere for a null."""
+    ends = column.offsets.to_numpy()
+    there = column.is_valid().to_numpy(zero_copy_only=False)
+    for first, end, valid in zip(ends, ends[1:], there, strict=False):
+        yield (first, end) if valid else (0, 0)
+
+
+def _merged(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs that spans cover together, in order."""
+    order = np.argsort(first, kind="stable")
+    first, end = first[order], np.maximum.accumulate(end[order])
+    begins = np.flatnonzero(np.append(True, first[1:] > end[:-1]))
+    return first[begins], end[np.append(begins[1:], len(first)) - 1]
+
+
+def _runs(batch: pa.RecordBatch, sizes: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(first, end) of the removed runs of each row (blocks, places, copied)."""
+    blocks, places, copied = (batch.column(c) for c in ("blocks", "places", "copied"))
+    firsts, ends = (f.to_numpy(zero_copy_only=False) for f in blocks.values.flatten())
+    starts = places.values.to_numpy(zero_copy_only=False)
+    whole = copied.is_valid().to_numpy(zero_copy_only=False)
+    rows = zip(whole, sizes, _lists(blocks), _lists(places), strict=True)
+    for all_of_it, size, (a, b), (c, d) in rows:
+        if all_of_it:
+            yield np.zeros(1, np.int64), np.array([size])
+        elif b == a and d == c:
+            yield np.zeros(0, np.int64), np.zeros(0, np.int64)
         else:
-            out.append((first, end))
-    return out
+            first = np.concatenate([firsts[a:b], starts[c:d]]).astype(np.int64)
+            yield _merged(first, np.concatenate([ends[a:b], starts[c:d] + length]).astype(np.int64))
 
 
 def text_class(text: Column) -> Column:
@@ -395,7 +418,7 @@ def remove_repeats(
     classes = long_rows.groupBy("cls").agg(F.min(mark).alias("mark"), F.count("cls").alias("n"))
     classes = stored(classes, "repeats-classes")
     leads = classes.select(F.col("cls").bitwiseXOR(F.col("mark")).alias("lead"))
-    leads = spark.sparkContext.broadcast(collect_bitmap(leads, "lead"))
+    leads = spark.sparkContext.broadcast(collect_bitmap(leads, "lead", probes=LEAD_PROBES))
     texts = Texts(long_rows.select("cls", mark.alias("mark"), raw), leads)
     spans = repeated_spans(texts, length)
     copies = classes.where("n > 1").select("cls")
@@ -419,23 +442,22 @@ def remove_repeats(
     out = StructType([schema["key"], *out, *also])
 
     def cut(batches):
-        pair = pa.struct([("first", pa.int32()), ("end", pa.int32())])
         for batch in batches:
-            runs, kept, sizes = [], [], []
-            told = (c.to_pylist() for c in batch.columns[1:5])
-            for raw, blocks, places, copied in zip(*told, strict=True):
-                gone = [(0, len(raw))] if copied else _merged(blocks, places, length)
-                bounds = [0, *(x for span in gone for x in span), len(raw)]
-                pieces = zip(bounds[::2], bounds[1::2], strict=True)
+            texts = [raw.as_buffer().to_pybytes() for raw in batch.column("raw")]
+            sizes = np.array([len(raw) for raw in texts], np.int64)
+            kept, runs = [], list(_runs(batch, sizes, length))
+            for raw, (first, end) in zip(texts, runs, strict=True):
+                pieces = zip([0, *end.tolist()], [*first.tolist(), len(raw)], strict=True)
                 left = b"".join([raw[a:b] for a, b in pieces])
                 kept.append(left.decode("utf-8", "ignore") if as_text else left)
-                runs.append([{"first": a, "end": b} for a, b in gone])
-                sizes.append(len(raw))
+            column = lambda k: np.concatenate([r[k] for r in runs]).astype(np.int32)
+            pairs = pa.StructArray.from_arrays([column(0), column(1)], ["first", "end"])
+            offsets = np.cumsum([0, *(len(first) for first, _ in runs)])
             yield pa.record_batch(
                 [
                     batch.column(0),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(runs, pa.list_(pair)),
+                    pa.array(sizes),
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs),
                     pa.array(kept, pa.string() if as_text else pa.binary()),
                     *batch.columns[5:],
                 ],
