@@ -16,16 +16,18 @@ from ledgerlake.llm.tables import carried
 
 #: Labelled rows of each class that the tagger learns from, at most about so many, chosen by a hash
 #: of their ids, and the longest text among them in bytes. Scoring covers all rows and whole texts.
-TOXIC_ROWS, CLEAN_ROWS, LONGEST = 2_000, 4_000, 1 << 16
+TOXIC_ROWS, CLEAN_ROWS, LONGEST = 1_200, 4_000, 1 << 15
 #: Weights of the features, which are hashed.
-WEIGHTS = 1 << 22
+WEIGHTS = 1 << 21
 #: Lengths of a word's beginnings and ends that are features beside the word itself.
-HEADS, TAILS = (2, 3, 4, 5, 6, 7), (3, 4, 5)
+HEADS, TAILS = (3, 4, 5, 6, 7), (3, 4, 5)
 #: Words whose emission a task keeps.
 KEPT_WORDS = 500_000
 #: Tokens of one sequence in training.
 TRAINING_TOKENS = 128
 ROUNDS = 60
+#: Sequences that are walked side by side in training.
+_PIECES = 1024
 
 _WORDS = bytes(b if 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _CAP = 30.0
@@ -127,30 +129,42 @@ class _Sample:
     def __init__(self, texts: list[bytes], toxic: list[int]):
         number: dict[bytes, int] = {}
         self.docs = [
-            np.array([number.setdefault(w, len(number)) for w in tokens(t)], np.int64) for t in texts
+            np.array([number.setdefault(w, len(number)) for w in tokens(t)], np.int32) for t in texts
         ]
         self.toxic = np.array(toxic, bool)
-        lists = [features(w) for w in number]
-        self.sizes = np.array([len(x) for x in lists], np.int64)
-        self.flat = np.array([f for x in lists for f in x], np.int64)
-        self.owner = np.repeat(np.arange(len(lists)), self.sizes)
+        sizes: list[int] = []
+
+        def flat() -> Iterator[int]:
+            for word in number:
+                found = features(word)
+                sizes.append(len(found))
+                yield from found
+
+        #: The features that occur, and by word type, one behind the other, which of them it has.
+        self.used, place = np.unique(np.fromiter(flat(), np.int32), return_inverse=True)
+        self.place = place.astype(np.int32)
+        self.sizes = np.array(sizes, np.int64)
+        self.owner = np.repeat(np.arange(len(sizes), dtype=np.int32), self.sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
 
     def telling(self, least: int = 5, share: float = 0.01, pure: float = 0.99) -> np.ndarray:
         """Whether a word type has a feature that toxic documents have and clean ones hardly."""
-        counts = np.zeros((2, WEIGHTS))
+        counts = np.zeros((2, len(self.used)))
         for words, toxic in zip(self.docs, self.toxic, strict=True):
-            own = np.zeros(len(self.sizes), bool)
-            own[words] = True
-            found = np.unique(self.flat[own[self.owner]])
-            counts[int(toxic), found] += 1
+            types = np.unique(words)
+            if not len(types):
+                continue
+            sizes = self.sizes[types]
+            ends = np.cumsum(sizes)
+            at = np.arange(ends[-1]) + np.repeat(self.starts[types] - ends + sizes, sizes)
+            counts[int(toxic), np.unique(self.place[at])] += 1
         n_toxic = max(1, int(self.toxic.sum()))
         n_clean = max(1, len(self.docs) - n_toxic)
         enough = counts[1] >= max(least, share * n_toxic)
         rate = counts[1] / n_toxic
         strong = enough & (rate >= pure * (rate + counts[0] / n_clean))
         out = np.zeros(len(self.sizes), bool)
-        out[self.owner[strong[self.flat]]] = True
+        out[self.owner[strong[self.place]]] = True
         return out
 
 
@@ -180,13 +194,15 @@ def fit(texts: list[bytes], toxic: list[int]) -> SpanTagger:
             pieces.append(piece)
             marks.append(telling[piece] & is_toxic)
     most = max(map(len, pieces))
-    word = np.zeros((most, len(pieces)), np.int64)
+    word = np.zeros((most, len(pieces)), np.int32)
     live, mark = np.zeros(word.shape, bool), np.zeros(word.shape, bool)
     for k, (piece, m) in enumerate(zip(pieces, marks, strict=True)):
         word[: len(piece), k], live[: len(piece), k], mark[: len(piece), k] = piece, True, m
     weights, moves = _fit_field(sample, word, live, mark)
-    tagger = SpanTagger(weights.astype(np.float32), moves, flat)
-    emission = np.add.reduceat(weights[sample.flat], sample.starts)
+    emission = np.add.reduceat(weights[sample.place], sample.starts)
+    full = np.zeros(WEIGHTS, np.float32)
+    full[sample.used] = weights
+    tagger = SpanTagger(full, moves, flat)
     evidence = np.array(
         [
             document_evidence(m)
@@ -197,43 +213,48 @@ def fit(texts: list[bytes], toxic: list[int]) -> SpanTagger:
 
 
 def _fit_field(sample: _Sample, word, live, mark) -> tuple[np.ndarray, np.ndarray]:
-    used, place = np.unique(sample.flat, return_inverse=True)
-    weights, moves = np.zeros(len(used)), np.zeros((2, 2))
-    total, total_moves = np.full(len(used), 1e-6), np.full((2, 2), 1e-6)
+    """Weights of the features that occur, and moves, by gradient steps over all pieces."""
+    place, n_used, n_types = sample.place, len(sample.used), len(sample.sizes)
+    weights, moves = np.zeros(n_used), np.zeros((2, 2))
+    total, total_moves = np.full(n_used, 1e-6), np.full((2, 2), 1e-6)
     n = float(live.sum())
+    seen = np.bincount(word[mark], minlength=n_types).astype(float)
     both = live[1:] & live[:-1]
-    states = mark.astype(np.int64)
     seen_moves = np.array(
-        [[((states[:-1] == a) & (states[1:] == b) & both).sum() for b in (0, 1)] for a in (0, 1)]
+        [[((mark[:-1] == a) & (mark[1:] == b) & both).sum() for b in (False, True)] for a in (False, True)]
     )
-    types = word[live]
-    seen = np.bincount(types, mark[live], len(sample.sizes))
-    full = np.zeros(WEIGHTS)
     for _ in range(ROUNDS):
-        emission = np.add.reduceat(weights[place], sample.starts)
-        odds = np.where(live, np.exp(np.clip(emission[word], -_CAP, _CAP)), 1.0)
-        full_tagger = SpanTagger(full, moves, np.zeros(3))
-        ahead, back = full_tagger.marginals(Chain(odds, live))
-        joint = ahead * back
-        marginal = joint / (1 + joint)
-        expected = np.bincount(types, marginal[live], len(sample.sizes))
-        step = np.repeat(seen - expected, sample.sizes)
-        gradient = np.bincount(place, step, len(used)) - 0.05 * weights
-        # Of a pair of neighbours: P(b | a) by the odds of what follows b.
-        follow = odds[1:] * back[1:]
-        p1 = marginal[:-1]
-        a = np.exp(moves)
-        to1 = a[:, 1, None, None] * follow
-        to1 = to1 / (a[:, 0, None, None] + to1)
-        here = np.stack([1 - p1, p1])
-        counts = np.array([[((1 - to1[k]) * here[k])[both].sum(), (to1[k] * here[k])[both].sum()] for k in (0, 1)])
-        move_gradient = (seen_moves - counts) - 0.05 * moves
+        emission = np.exp(np.clip(np.add.reduceat(weights[place], sample.starts), -_CAP, _CAP))
+        expected, counts = np.zeros(n_types), np.zeros((2, 2))
+        for at in range(0, word.shape[1], _PIECES):
+            part = slice(at, at + _PIECES)
+            found = _expected(emission, moves, word[:, part], live[:, part])
+            expected += found[0]
+            counts += found[1]
+        gradient = np.bincount(place, np.repeat(seen - expected, sample.sizes), n_used) - 0.05 * weights
+        move_gradient = (seen_moves - counts - 0.05 * moves) / n
         total += gradient**2
-        total_moves += (move_gradient / n) ** 2
+        total_moves += move_gradient**2
         weights += 0.5 * gradient / np.sqrt(total)
-        moves = moves + 0.2 * (move_gradient / n) / np.sqrt(total_moves)
-    full[used] = weights
-    return full, moves
+        moves = moves + 0.2 * move_gradient / np.sqrt(total_moves)
+    return weights, moves
+
+
+def _expected(emission, moves, word, live) -> tuple[np.ndarray, np.ndarray]:
+    """How many toxic tokens of each word type, and moves, the field expects in some pieces."""
+    odds = np.where(live, emission[word], 1.0)
+    none = np.zeros(1)
+    ahead, back = SpanTagger(none, moves, none).marginals(Chain(odds, live))
+    joint = ahead * back
+    marginal = joint / (1 + joint)
+    # Of a pair of neighbours: P(b | a) by the odds of what follows b.
+    follow, a = odds[1:] * back[1:], np.exp(moves)
+    here, both = (1 - marginal[:-1], marginal[:-1]), live[1:] & live[:-1]
+    counts = np.zeros((2, 2))
+    for k in (0, 1):
+        toxic = a[k, 1] * follow / (a[k, 0] + a[k, 1] * follow)
+        counts[k] = ((1 - toxic) * here[k])[both].sum(), (toxic * here[k])[both].sum()
+    return np.bincount(word[live], marginal[live], len(emission)), counts
 
 
 def _fit_scale(evidence: np.ndarray, toxic: np.ndarray) -> np.ndarray:
