@@ -2,26 +2,32 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerlake.llm.bitmaps import collect_bitmap, in_bitmap
 from ledgerlake.llm.components import components
-from ledgerlake.llm.tables import stored
-from ledgerlake.llm.words import ODD, WordHashes, mixed
-from ledgerlake.llm.words import hashes as word_hashes
+from ledgerlake.llm.tables import drop_stored, release, stored
+from ledgerlake.llm.words import ODD, groups, mixed
 
 #: A shingle that so many sets have among their first ones is put behind the others.
 COMMON = 64
 #: Longs of the parity sketch that each set takes along.
 SKETCH = 4
+#: How often classes that are in different components meet one other, before all meet.
+TURNS = 2
+#: Bits that are looked at to tell the rows that stand for their class.
+LEAD_PROBES = 3
+#: Rows that a task gathers before it hands them on.
+ROWS = 200_000
 
 
 class Likeness(NamedTuple):
@@ -35,131 +41,148 @@ class Likeness(NamedTuple):
         """How many of n shingles, in the common order, must hold one that a like set has too."""
         return n - -(-self.num * n // self.den) + 1
 
+    def leading(self, n: Column) -> Column:
+        return n - F.floor((n * self.num + (self.den - 1)) / self.den) + 1
+
     def overlap(self, sizes: Column) -> Column:
         """The least intersection of like sets whose sizes have this sum."""
         both = self.num + self.den
         return F.floor((sizes * self.num + (both - 1)) / both)
 
 
-def shingles(text: bytes, known: WordHashes, words: int) -> np.ndarray:
-    """The distinct hashes (uint64, ascending) of a text's runs of `words` words; of all its words,
-    if it has fewer; none, if it has none. A-Z are lower-cased; words end at ASCII white space."""
-    codes = word_hashes(text, known)
-    if not len(codes):
-        return codes
-    width = min(words, len(codes))
-    total = codes[: len(codes) - width + 1].copy()
+def _sorted_set(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])]
+
+
+def shingle_sets(words: np.ndarray, counts: np.ndarray, width: int) -> Iterator[np.ndarray]:
+    """The distinct hashes (uint64, ascending) of each text's runs of `width` words; of all its
+    words, if it has fewer; none, if it has none. `words`: one text behind the other."""
+    runs = _shingles(words, width) if len(words) >= width else words[:0]
+    end = 0
+    for n in counts.tolist():
+        first, end = end, end + n
+        if n >= width:
+            yield _sorted_set(runs[first : end - width + 1])
+        else:
+            yield _shingles(words[first:end], n) if n else words[:0]
+
+
+def _shingles(words: np.ndarray, width: int) -> np.ndarray:
+    total = words[: len(words) - width + 1].copy()
     for k in range(1, width):
-        total = total * ODD + codes[k : len(codes) - width + 1 + k]
-    return np.unique(mixed(total + np.uint64(width)))
+        total = total * ODD + words[k : len(words) - width + 1 + k]
+    return mixed(total + np.uint64(width))
 
 
-def _sketch(hashes: np.ndarray) -> list[int]:
+def _sketch(hashes: np.ndarray) -> np.ndarray:
     """A bit for each of many classes of hashes: whether the set has an odd number of them."""
     bits = np.bincount((hashes >> np.uint64(40)) & np.uint64(64 * SKETCH - 1), minlength=64 * SKETCH)
-    return np.packbits((bits & 1).astype(np.uint8)).view(np.int64).tolist()
+    return np.packbits((bits & 1).astype(np.uint8)).view(np.int64)
 
 
 def _class(hashes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
 
 
-def _sets(batches, rule: Likeness, once: bool) -> Iterator[tuple[int, object, int, np.ndarray]]:
-    """(row of its batch, key, class, shingles) of the texts; `once`: of each class one in a task."""
-    known, seen = WordHashes(), set()
-    for batch in batches:
-        keys = batch.column(0).to_pylist()
-        for k, raw in enumerate(batch.column(1)):
-            hashes = shingles(raw.as_buffer().to_pybytes(), known, rule.words)
-            cls = _class(hashes)
-            if once:
-                if cls in seen or not len(hashes):
-                    continue
-                seen.add(cls)
-            yield k, keys[k], cls, hashes
-
+class Texts(NamedTuple):
+    """Texts (mark long, raw binary), the mark of the row that stands for each class of equal sets
+    (cls, mark), and a bitmap of class XOR mark. Other rows are passed over."""
 
-def _emit(columns: list[list[np.ndarray]], names: list[str]) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(np.concatenate(c)) for c in columns], names=names)
+    rows: DataFrame
+    classes: DataFrame
+    leads: Broadcast
 
 
-#: Rows that a task gathers before it hands them on.
-_BATCH = 200_000
+def _each_set(batches, width: int, leads: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(class, shingles) of the texts that stand for their class. (The bitmap may let a copy more
+    through here and there; within a task each class comes once.)"""
+    seen: set[int] = set()
+    for part, words, counts in groups(batches, "raw"):
+        marks = part.column("mark").to_numpy(zero_copy_only=False)
+        sets = list(shingle_sets(words, counts, width))
+        classes = np.array([_class(s) for s in sets], np.int64)
+        for k in np.flatnonzero(in_bitmap(leads, (classes ^ marks).view(np.uint64), LEAD_PROBES)):
+            if len(sets[k]) and int(classes[k]) not in seen:
+                seen.add(int(classes[k]))
+                yield int(classes[k]), sets[k]
 
 
-def _flat(texts: DataFrame, rule: Likeness, schema: str, rows) -> DataFrame:
-    """rows(class, shingles): numpy columns of `schema`, of each class once in a task."""
+def _flat(texts: Texts, rule: Likeness, schema: str, rows) -> DataFrame:
+    """rows(class, shingles): numpy columns of `schema`, for each class."""
     names = [field.split()[0] for field in schema.split(", ")]
+    leads, width = texts.leads, rule.words
 
     def run(batches):
-        held: list[list[np.ndarray]] = [[] for _ in names]
+        held: list[tuple] = []
         size = 0
-        for _, _, cls, hashes in _sets(batches, rule, once=True):
-            found = rows(cls, hashes)
-            size += len(found[0])
-            for column, values in zip(held, found, strict=True):
-                column.append(values)
-            if size >= _BATCH:
-                yield _emit(held, names)
-                held, size = [[] for _ in names], 0
+        for cls, hashes in _each_set(batches, width, leads.value):
+            held.append(rows(cls, hashes))
+            size += len(held[-1][0])
+            if size >= ROWS:
+                yield _gathered(held, names)
+                held, size = [], 0
         if size:
-            yield _emit(held, names)
+            yield _gathered(held, names)
+
+    return texts.rows.mapInArrow(run, schema)
 
-    return texts.mapInArrow(run, schema)
 
+def _gathered(held: list[tuple], names: list[str]) -> pa.RecordBatch:
+    columns = [pa.array(np.concatenate(c)) for c in zip(*held, strict=True)]
+    return pa.record_batch(columns, names=names)
 
-def _in_order(hashes: np.ndarray, common) -> np.ndarray:
+
+def _in_order(hashes: np.ndarray, common: Broadcast) -> np.ndarray:
     """Shingles that few sets have first, in an order that is the same for all sets."""
     behind = in_bitmap(common.value, hashes)
     return np.concatenate([hashes[~behind], hashes[behind]])
 
 
-def _postings(texts: DataFrame, rule: Likeness) -> DataFrame:
-    """The part of the incidence matrix that can tell like sets: rank (of the shingle), cls, n (size
-    of the set), at (the shingle's place in the set's order) and sketch_0, ...
+def _postings(texts: Texts, rule: Likeness) -> DataFrame:
+    """The part of the incidence matrix that can tell like sets: rank (of the shingle), shared (which
+    part of the set's leading shingles is in other sets too), cls, n (size of the set) and sketch_0, ...
 
     Like sets share one of their `rule.first` shingles in any common order. Shingles that many sets
     have first by hash go behind, and those that only one set has are left out; both are told by
     bitmaps of bounded size, which may put too many behind or leave too few out, at no loss.
     """
-    sc = texts.sparkSession.sparkContext
+    spark = texts.rows.sparkSession
 
-    def first(cls: int, hashes: np.ndarray):
-        return (hashes[: rule.first(len(hashes))].view(np.int64),)
+    def counted(rows, least: int) -> Broadcast:
+        ranks = _flat(texts, rule, "rank long", rows).groupBy("rank").count()
+        ranks = stored(ranks.where(F.col("count") >= least).select("rank"), "jaccard-ranks")
+        found = spark.sparkContext.broadcast(collect_bitmap(ranks, "rank"))
+        drop_stored(ranks)
+        release(spark)
+        return found
 
-    counts = _flat(texts, rule, "rank long", first).groupBy("rank").count()
-    common = counts.where(F.col("count") >= COMMON).select("rank")
-    common = sc.broadcast(collect_bitmap(stored(common, "jaccard-common"), "rank"))
+    first = lambda cls, hashes: (hashes[: rule.first(len(hashes))].view(np.int64),)
+    common = counted(first, COMMON)
 
-    def leading(cls: int, hashes: np.ndarray):
-        return (_in_order(hashes, common)[: rule.first(len(hashes))].view(np.int64),)
+    def leading(hashes: np.ndarray) -> np.ndarray:
+        return _in_order(hashes, common)[: rule.first(len(hashes))]
 
-    counts = _flat(texts, rule, "rank long", leading).groupBy("rank").count()
-    shared = stored(counts.where("count > 1").select("rank"), "jaccard-shared")
-    shared = sc.broadcast(collect_bitmap(shared, "rank"))
+    shared = counted(lambda cls, hashes: (leading(hashes).view(np.int64),), 2)
 
     def posting(cls: int, hashes: np.ndarray):
-        front = _in_order(hashes, common)[: rule.first(len(hashes))]
-        at = np.flatnonzero(in_bitmap(shared.value, front))
-        same = lambda value, kind: np.full(len(at), value, kind)
-        sketch = _sketch(hashes) if len(at) else [0] * SKETCH
-        return (
-            front[at].view(np.int64),
-            same(cls, np.int64),
-            same(len(hashes), np.int32),
-            at.astype(np.int32),
-            *[same(part, np.int64) for part in sketch],
-        )
+        front = leading(hashes)
+        ranks = front[in_bitmap(shared.value, front)]
+        part = np.full(len(ranks), len(ranks) / len(front), np.float32)
+        same = lambda value, kind: np.full(len(ranks), value, kind)
+        sketch = _sketch(hashes) if len(ranks) else [0] * SKETCH
+        sizes = same(len(hashes), np.int32)
+        sketches = [same(s, np.int64) for s in sketch]
+        return ranks.view(np.int64), part, same(cls, np.int64), sizes, *sketches
 
     sketch = ", ".join(f"sketch_{k} long" for k in range(SKETCH))
-    return _flat(texts, rule, f"rank long, cls long, n int, at int, {sketch}", posting)
+    return _flat(texts, rule, f"rank long, shared float, cls long, n int, {sketch}", posting)
 
 
 def _may_link(rule: Likeness, x: str, y: str) -> Column:
-    """The bounds that the sizes of two sets give, for the first shingle that they share."""
+    """Whether the sizes and sketches of two sets leave room for a link."""
     col = lambda side, name: F.col(f"{side}.{name}")
     n, m = col(x, "n"), col(y, "n")
-    need = rule.overlap(n + m)
     differ = sum(
         (F.bit_count(col(x, f"sketch_{k}").bitwiseXOR(col(y, f"sketch_{k}"))) for k in range(SKETCH)),
         F.lit(0),
@@ -167,38 +190,101 @@ def _may_link(rule: Likeness, x: str, y: str) -> Column:
     return (
         (n * rule.den >= m * rule.num)
         & (m * rule.den >= n * rule.num)
-        & (F.least(n - col(x, "at"), m - col(y, "at")) >= need)
-        & (differ <= n + m - 2 * need)
+        & (differ <= n + m - 2 * rule.overlap(n + m))
+    )
+
+
+def _met(
+    rows: DataFrame, others: DataFrame, on: list[str], rule: Likeness, also: Column
+) -> DataFrame:
+    """a, b, both, least: pairs of classes that share leading shingles, how many, and how many like
+    sets of their sizes share at least: of two sets, what one has behind its leading shingles is all
+    that can be common besides."""
+    n, m = F.col("x.n"), F.col("y.n")
+    behind = F.greatest(n - rule.leading(n), m - rule.leading(m))
+    return (
+        rows.alias("x")
+        .join(others.alias("y"), on)
+        .where(also & _may_link(rule, "x", "y"))
+        .groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
+        .agg(F.count("rank").alias("both"), F.first(rule.overlap(n + m) - behind).alias("least"))
+    )
+
+
+def _open_rows(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """The postings of shingles whose classes are not all in one component, with their labels."""
+    part = postings.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
+        "label", F.coalesce("label", "cls")
+    )
+    parts = part.groupBy("rank").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    open_ranks = parts.where("low != high").select("rank")
+    return stored(part.join(open_ranks, "rank", "left_semi"), "jaccard-open")
+
+
+def _star(rows: DataFrame, rule: Likeness, order: Column, also: Column) -> DataFrame:
+    """a, b: each class with one other, of those that are largest by `order` among the classes of a
+    shingle and of about one size the one that it meets most often, if that may be enough."""
+    # Sets of which one is at most the rule's share smaller are of one size class or the next.
+    size = F.floor(F.log(F.col("n").cast("double")) / math.log(rule.den / rule.num) + 0.5)
+    sized = rows.withColumn("size", size)
+    carried = F.struct(order.alias("order"), *rows.drop("rank").columns)
+    most = sized.groupBy("rank", "size").agg(F.max(carried).alias("most")).select("rank", "size", "most.*")
+    met = _met(sized, most.drop("order"), ["rank", "size"], rule, also)
+    best = met.where(2 * F.col("both") >= F.col("least")).groupBy("a").agg(F.max_by("b", "both").alias("b"))
+    return stored(best, "jaccard-pairs")
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """node, label of the components that further links join."""
+    own = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"{side}_label"))
+    between = links.join(own("a"), "a", "left").join(own("b"), "b", "left").select(
+        F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b")
     )
+    wide = components(between).select(F.col("node").alias("label"), F.col("label").alias("wide"))
+    known = labels.join(wide, "label", "left").select("node", F.coalesce("wide", "label").alias("label"))
+    alone = wide.join(labels, F.col("node") == wide["label"], "left_anti").select(
+        F.col("label").alias("node"), F.col("wide").alias("label")
+    )
+    return stored(known.unionByName(alone), "jaccard-labels")
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, rule: Likeness) -> DataFrame:
+def _linked(pairs: DataFrame, texts: Texts, rule: Likeness) -> DataFrame:
     """The pairs (a, b: classes) whose sets are like, by their whole overlap."""
-    sc = texts.sparkSession.sparkContext
+    spark = texts.rows.sparkSession
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    bitmap = sc.broadcast(collect_bitmap(wanted, "cls"))
+    marks = texts.classes.join(wanted, "cls").select("mark")
+    bitmap = spark.sparkContext.broadcast(collect_bitmap(marks, "mark"))
+    leads, width = texts.leads, rule.words
 
     def run(batches):
-        for _, _, cls, hashes in _sets(batches, rule, once=True):
-            if in_bitmap(bitmap.value, np.array([cls], np.int64).view(np.uint64))[0]:
+        def chosen():
+            for batch in batches:
+                mark = batch.column("mark").to_numpy(zero_copy_only=False).view(np.uint64)
+                yield batch.filter(pa.array(in_bitmap(bitmap.value, mark)))
+
+        for cls, hashes in _each_set(chosen(), width, leads.value):
+            if len(hashes):
                 yield pa.record_batch(
                     [pa.array([cls], pa.int64()), pa.array([hashes.view(np.int64)])],
                     names=["cls", "hashes"],
                 )
 
-    sets = texts.mapInArrow(run, "cls long, hashes array<long>").dropDuplicates(["cls"])
-    sets = stored(sets, "jaccard-sets")
+    sets = stored(texts.rows.mapInArrow(run, "cls long, hashes array<long>"), "jaccard-sets")
     left = sets.select(F.col("cls").alias("a"), F.col("hashes").alias("left"))
     right = sets.select(F.col("cls").alias("b"), F.col("hashes").alias("right"))
     both = F.size(F.array_intersect("left", "right")).cast("long")
     union = F.size("left") + F.size("right") - F.col("both")
-    return (
+    found = (
         pairs.join(left, "a")
         .join(right, "b")
         .withColumn("both", both)
         .where(rule.den * F.col("both") >= rule.num * union)
         .select("a", "b")
     )
+    found = stored(found, "jaccard-links")
+    drop_stored(sets)
+    release(spark)
+    return found
 
 
 def near_duplicates(
@@ -217,12 +303,16 @@ def near_duplicates(
     and equal texts share a component. Other columns are not read.
 
     Equal sets become one class. The product of the incidence matrix with its transpose is taken
-    over the rows of a shingle: first each class meets one other of the shingle's classes; then, of
-    each shingle, the classes that are not yet in one component meet. So a group of near copies
-    makes about as many pairs as it has members, while no link between components is lost: pairs
-    are left out only by bounds that like sets cannot miss, and what remains is decided by the
-    overlap of the whole sets.
+    over the rows of a shingle. First each class meets one other of those of the shingle's classes
+    that are about as large: the one of which most is shared, as what others were copied from; and
+    the one that it meets most often is compared with it. This is repeated some times, with others
+    in turn, for classes that are in different components. At last, of each shingle, all classes
+    that are not yet in one component meet. So a group of near copies makes
+    about as many pairs as it has members, while no link between components is lost: pairs are left
+    out only by bounds that like sets cannot miss, and what remains is decided by the overlap of the
+    whole sets.
     """
+    spark = docs.sparkSession
     rows = docs.select(
         F.col(doc_id).alias("key"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("raw"),
@@ -230,56 +320,41 @@ def near_duplicates(
     kind = rows.schema["key"].dataType.simpleString()
 
     def sizes(batches):
-        held: list[tuple] = []
-        for _, key, cls, hashes in _sets(batches, rule, once=False):
-            held.append((key, cls, len(hashes)))
-            if len(held) == 10_000:
-                yield _rows(held)
-                held = []
-        yield _rows(held)
-
-    arrow_kind = to_arrow_type(rows.schema["key"].dataType)
-
-    def _rows(held: list[tuple]) -> pa.RecordBatch:
-        kinds = (arrow_kind, pa.int64(), pa.int64())
-        columns = [pa.array([row[k] for row in held], t) for k, t in enumerate(kinds)]
-        return pa.record_batch(columns, names=["key", "cls", "n_shingles"])
-
-    members = stored(rows.mapInArrow(sizes, f"key {kind}, cls long, n_shingles long"), "jaccard-sizes")
-    texts = rows.where(F.length("raw") > 0)
+        for part, words, counts in groups(batches, "raw"):
+            sets = list(shingle_sets(words, counts, rule.words))
+            classes = pa.array([_class(s) for s in sets], pa.int64())
+            n = pa.array([len(s) for s in sets], pa.int64())
+            yield pa.record_batch([part.column("key"), classes, n], names=["key", "cls", "n_shingles"])
+
+    members = rows.mapInArrow(sizes, f"key {kind}, cls long, n_shingles long")
+    members = stored(members, "jaccard-sizes")
+    mark = F.xxhash64("key")
+    classes = stored(members.groupBy("cls").agg(F.min(mark).alias("mark")), "jaccard-classes")
+    leads = classes.select(F.col("cls").bitwiseXOR(F.col("mark")).alias("lead"))
+    leads = spark.sparkContext.broadcast(collect_bitmap(leads, "lead", probes=LEAD_PROBES))
+    raw_rows = rows.where(F.length("raw") > 0).select(mark.alias("mark"), "raw")
+    texts = Texts(raw_rows, classes, leads)
     postings = stored(_postings(texts, rule), "jaccard-postings")
 
-    fields = [c for c in postings.columns if c != "rank"]
-    pivots = postings.groupBy("rank").agg(F.min(F.struct("cls", *fields[1:])).alias("pivot"))
-    pivots = pivots.select("rank", "pivot.*")
-    met = postings.alias("x").join(pivots.alias("y"), "rank")
-    met = met.where((F.col("x.cls") != F.col("y.cls")) & _may_link(rule, "x", "y"))
-    pairs = stored(met.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct(), "jaccard-pairs")
-    near = stored(components(_linked(pairs, texts, rule)), "jaccard-near")
-
-    part = postings.join(near.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-        "label", F.coalesce("label", "cls")
-    )
-    parts = part.groupBy("rank").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    open_ranks = parts.where("low != high").select("rank")
-    open_rows = stored(part.join(open_ranks, "rank", "left_semi"), "jaccard-open")
-    met = open_rows.alias("x").join(open_rows.alias("y"), "rank")
-    met = met.where((F.col("x.cls") < F.col("y.cls")) & (F.col("x.label") != F.col("y.label")) & _may_link(rule, "x", "y"))
-    more = met.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
-    more = _linked(stored(more.join(pairs, ["a", "b"], "left_anti"), "jaccard-more"), texts, rule)
-
-    label = lambda side: near.select(F.col("node").alias(side), F.col("label").alias(f"{side}_label"))
-    joined = more.join(label("a"), "a", "left").join(label("b"), "b", "left").select(
-        F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b")
-    )
-    wide = components(joined).select(F.col("node").alias("label"), F.col("label").alias("wide"))
-    labels = near.join(wide, "label", "left").select(
-        F.col("node").alias("cls"), F.coalesce("wide", "label").alias("part")
-    )
-    alone = wide.join(near, F.col("node") == wide["label"], "left_anti").select(
-        F.col("label").alias("cls"), F.col("wide").alias("part")
-    )
-    labels = labels.unionByName(alone)
+    pairs = _star(postings, rule, F.col("shared"), F.col("x.cls") != F.col("y.cls"))
+    labels = stored(components(_linked(pairs, texts, rule)), "jaccard-labels")
+    apart = F.col("x.label") != F.col("y.label")
+    open_rows = _open_rows(postings, labels)
+    drop_stored(postings)
+    for turn in range(TURNS):
+        release(spark)
+        pairs = _star(open_rows, rule, F.xxhash64("cls", F.lit(turn)), apart)
+        labels = _joined(labels, _linked(pairs, texts, rule))
+        before, open_rows = open_rows, _open_rows(open_rows.drop("label"), labels)
+        drop_stored(before)
+    release(spark)
+    once = (F.col("x.cls") < F.col("y.cls")) & apart
+    more = _met(open_rows, open_rows, ["rank"], rule, once).where(F.col("both") >= F.col("least"))
+    more = stored(more.select("a", "b"), "jaccard-more")
+    drop_stored(open_rows)
+    release(spark)
+    labels = _joined(labels, _linked(more, texts, rule))
+    labels = labels.select(F.col("node").alias("cls"), F.col("label").alias("part"))
     placed = members.join(labels, "cls", "left").withColumn("part", F.coalesce("part", "cls"))
     least = placed.groupBy("part").agg(F.min("key").alias("least"))
     return placed.join(least, "part").select(
@@ -287,4 +362,3 @@ def near_duplicates(
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("key")).alias("component_id"),
     )
-
