@@ -252,8 +252,9 @@ def _linked(pairs: DataFrame, texts: Texts, rule: Likeness) -> DataFrame:
     """The pairs (a, b: classes) whose sets are like, by their whole overlap."""
     spark = texts.rows.sparkSession
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    marks = texts.classes.join(wanted, "cls").select("mark")
+    marks = stored(texts.classes.join(wanted, "cls").select("mark"), "jaccard-wanted")
     bitmap = spark.sparkContext.broadcast(collect_bitmap(marks, "mark"))
+    drop_stored(marks)
     leads, width = texts.leads, rule.words
 
     def run(batches):
