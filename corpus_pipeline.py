@@ -27,10 +27,14 @@ def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of smallest id. Rows without an id stay."""
-    found = stored(jaccard.near_duplicates(docs), "pipeline-components")
-    copies = found.where(F.col("doc_id") != F.col("component_id"))
-    return without(docs, copies, "doc_id").select(*COLUMNS)
+    """Of each group of near copies the document of smallest id, of equal or no ids the first row."""
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
+    found = jaccard.near_duplicates(rows, doc_id="_row").select("_row", "component_id")
+    found = stored(found.join(rows.select("_row", "doc_id"), "_row"), "pipeline-components")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
+    kept = found.groupBy("component_id").agg(first.alias("first")).select(F.col("first._row").alias("_row"))
+    copies = stored(found.select("_row").join(kept, "_row", "left_anti"), "pipeline-copies")
+    return without(rows, copies, "_row").select(*COLUMNS)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

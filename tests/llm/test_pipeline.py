@@ -32,6 +32,17 @@ def test_odd_rows(spark, odd_docs, no_docs):
         assert docs.count() >= least
 
 
+def test_of_copies_with_equal_or_no_ids_one_keeps_its_text(spark):
+    told = {k: " ".join(f"{k}{j * j % 97} word{j}" for j in range(80)) for k in "abcd"}
+    rows = [(1, told["a"])] * 3 + [(None, told["b"])] * 3 + [(2, told["c"]), (None, told["c"] + " end")]
+    rows += [(1, told["d"])]  # shares its id with copies
+    docs = spark.createDataFrame([(*r, "en", "x", len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = stored(corpus_pipeline.apart(spark, docs.repartition(3), SF), "test-apart")
+    found = corpus_pipeline.unrepeated(spark, docs, SF).collect()
+    want = [(1, told["a"]), (None, told["b"]), (2, told["c"]), (1, told["d"])]
+    assert sorted(((r.doc_id, r.text) for r in found), key=str) == sorted(want, key=str)
+
+
 def test_registered():
     names = __spark_entry__.queries()
     assert {n.split("_")[0] for n in queries.queries()} == {f"op{k}" for k in range(1, 11)}
