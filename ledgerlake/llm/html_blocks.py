@@ -49,6 +49,8 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+#: A class or id that begins so says what the page has around the element, not what the element is.
+_ABOUT = re.compile(r"(?:has|no|with|without)(?=[-_A-Z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
@@ -68,30 +70,50 @@ class _Element(NamedTuple):
     path: str
     article: bool
     noise: bool
+    named: tuple[int, ...]  # the elements around it, itself included, that are noise by their names
 
 
 def _names(value: str) -> set[str]:
-    return {w.lower() for w in _NAME.findall(value)}
+    return {w.lower() for name in value.split() if not _ABOUT.match(name) for w in _NAME.findall(name)}
 
 
-def _opened(tag: str, attributes: str, parent: _Element) -> _Element:
+def _opened(tag: str, attributes: str, parent: _Element, number: int) -> _Element:
     found = {}
     if len(attributes) > 1:
         for m in _ATTRIBUTE.finditer(attributes):
             found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
     label = "".join(sorted(f".{w}" for w in found.get("class", "").lower().split() if not w[-1].isdigit()))
     article = parent.article or tag in ARTICLE_TAGS
+    named = parent.named
     noise = parent.noise or tag in NOISE_TAGS or (tag == "header" and not article)
     if not noise and found and tag not in ("html", "body"):
         said = _names(" ".join(found.get(k, "") for k in ("class", "id", "role")))
         holds = tag in ARTICLE_TAGS and not parent.article
+        if said & NOISE_WORDS and not holds:
+            # Below zero: within an article, of which it can only be a part.
+            named = (*parent.named, -number if parent.article else number)
         noise = (
-            (bool(said & NOISE_WORDS) and not holds)
-            or "hidden" in found
+            "hidden" in found
             or found.get("aria-hidden", "").lower() == "true"
             or bool(_HIDDEN.search(found.get("style", "").lower()))
         )
-    return _Element(tag, f"{parent.path}/{tag}{label}", article, noise)
+    return _Element(tag, f"{parent.path}/{tag}{label}", article, noise, named)
+
+
+def _spared(found: list[tuple[Block, tuple[int, ...]]]) -> set[int]:
+    """The elements that are noise by their names, but hold the page's article: if no marked article
+    stands outside of such elements, those that hold one or more than half of the text."""
+    seen = [(b, named) for b, named in found if not b.noise]
+    if any(b.article and not named for b, named in seen):
+        return set()
+    size, marked = {}, set()
+    for block, named in seen:
+        for k in named:
+            size[k] = size.get(k, 0) + len(block.text)
+            if block.article and k > 0:
+                marked.add(k)
+    half = sum(len(b.text) for b, _ in seen) / 2
+    return {k for k, n in size.items() if n > half} | marked
 
 
 def blocks(html: str) -> list[Block]:
@@ -101,8 +123,9 @@ def blocks(html: str) -> list[Block]:
     styles and the like are passed over whole; a tag or comment that the page's end cuts off is
     no text. Elements that are not closed end with what is around them.
     """
-    out: list[Block] = []
-    stack = [_Element("", "", False, False)]
+    out: list[tuple[Block, tuple[int, ...]]] = []
+    stack = [_Element("", "", False, False, ())]
+    number = 0
     text: list[str] = []
     tags: list[str] = []
     at, raw = 0, None
@@ -116,7 +139,7 @@ def blocks(html: str) -> list[Block]:
                 while k and stack[k].tag in INLINE:
                     k -= 1
                 last = stack[-1]
-                out.append(Block(stack[k].path, last.article, last.noise, " ".join(tags), found))
+                out.append((Block(stack[k].path, last.article, last.noise, " ".join(tags), found), last.named))
         text, tags = [], []
 
     while m := (raw or _TAG).search(html, at):
@@ -141,7 +164,7 @@ def blocks(html: str) -> list[Block]:
         elif closing:
             if not any(e.tag == tag for e in stack):
                 continue
-            if tag not in INLINE or stack[-1].noise:
+            if tag not in INLINE or stack[-1].noise or stack[-1].named:
                 flush()
             while stack.pop().tag != tag:
                 pass
@@ -150,18 +173,21 @@ def blocks(html: str) -> list[Block]:
                 raw = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)|\Z", re.IGNORECASE)
         elif tag in INLINE:
             tags.append(tag)
-            element = _opened(tag, m[3], stack[-1])
-            if element.noise and not stack[-1].noise:
+            number += 1
+            element = _opened(tag, m[3], stack[-1], number)
+            if (element.noise and not stack[-1].noise) or element.named != stack[-1].named:
                 flush()
             stack.append(element)
         else:
             flush()
             _end_before(tag, stack)
-            stack.append(_opened(tag, m[3], stack[-1]))
+            number += 1
+            stack.append(_opened(tag, m[3], stack[-1], number))
     if raw is None and at < len(html):
         text.append(html[at:])
     flush()
-    return out
+    spared = _spared(out)
+    return [b if b.noise or spared.issuperset(named) else b._replace(noise=True) for b, named in out]
 
 
 def _end_before(tag: str, stack: list[_Element]) -> None:

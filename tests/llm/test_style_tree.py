@@ -67,3 +67,18 @@ def test_query(spark):
 def test_unclosed_elements():
     found = [(b.path, b.text) for b in blocks("<div><p><b>a<br><p>b</p><table><tr><td>1<td>2<tr><td>3</table>c</div>d")]
     assert [t for _, t in found] == ["a", "b", "1", "2", "3", "c", "d"]
+
+
+def test_a_name_around_the_article_does_not_drop_it(spark):
+    told = "<p>The story of the day, told at length</p>"
+    rows = [
+        (1, None, f"<div class='site no-sidebar has-menu with-banner'>{told}</div><div class='sidebar'>More</div>"),
+        (2, None, f"<div id='nav-content'><main class='x'>{told}<div class='share'>Share</div></main></div>"),
+        (3, None, f"<div class='page-header'><article>{told}</article></div><p>Other"),
+        (4, None, f"<div class='search-results'>{told}</div><p>Other"),
+        (5, None, f"<article>{told}</article><div class='related'><article><p>Another one, to be read by all who like to read much</p></article></div>"),
+        (6, None, f"<div class='login'>Sign in</div><div>{told}</div>"),
+    ]
+    got = text_of(spark, rows)
+    want = "The story of the day, told at length"
+    assert got == {1: want, 2: want, 3: want, 4: want + " Other", 5: want, 6: want}
