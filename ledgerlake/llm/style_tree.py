@@ -16,6 +16,8 @@ from ledgerlake.llm.tables import stored
 
 #: Nodes of less importance (0 to 1) are removed, if at least so many pages of a site show them.
 IMPORTANCE, PAGES = 0.3, 5
+#: What a page's mark of its article adds to the importance of what is in it.
+MARKED = 0.1
 #: The part that the tags within a node have in its importance; its content has the rest.
 PRESENTATION = 0.3
 
@@ -37,76 +39,137 @@ def node_of(host: str, block: Block) -> int:
     return _hash(host, block.path)
 
 
-def _styles(pages: DataFrame) -> DataFrame:
-    """node, host, kind (0: presentation, 1: content), style and n: how often a site shows a node with
-    this style, counted in the tasks first. Pages without a host are no site."""
+def style_of(host: str, block: Block) -> int:
+    """A content that a node of a site's style tree shows."""
+    return _hash(host, block.path, block.text)
+
+
+def _page(host: str, found: list[Block]) -> int:
+    """Equal for pages of a site that say the same: in their article, if one is marked, else in all."""
+    seen = [b for b in found if not b.noise]
+    return _hash(host, *[f"{b.path}\0{b.text}" for b in [b for b in seen if b.article] or seen or found])
+
+
+def _pages_of(batches):
+    """Batches of url and html as (site, page, url, html, blocks) of the pages with a host."""
+    for batch in batches:
+        for url, html in zip(batch.column("url").to_pylist(), batch.column("html"), strict=True):
+            if (host := host_of(url)) and html.is_valid:
+                text = html.as_py()
+                found = blocks(text)
+                yield host, _page(host, found), url, text, found
+
+
+def _distinct(pages: DataFrame) -> tuple[DataFrame, object]:
+    """url and html of one page of each group of pages that may say the same; and a broadcast bitmap
+    of what these say: a page that is not in it has no copy."""
+
+    def said(batches):
+        for batch in batches:
+            found = pa.array([page for _, page, *_ in _pages_of([batch])], pa.int64())
+            yield pa.record_batch([found], names=["page"])
+
+    often = pages.mapInArrow(said, "page long").groupBy("page").count().where("count > 1")
+    bitmap = collect_bitmap(stored(often, "style-pages"), "page")
+    bitmap = pages.sparkSession.sparkContext.broadcast(bitmap)
 
-    def run(batches):
-        counts: dict[tuple[int, int, int, int], int] = {}
+    def copied(batches):
         for batch in batches:
-            urls, htmls = batch.column(0).to_pylist(), batch.column(1)
-            for url, html in zip(urls, htmls, strict=True):
-                if not (host := host_of(url)) or not html.is_valid:
+            rows = [(page, url, html) for _, page, url, html, _ in _pages_of([batch])]
+            known = in_bitmap(bitmap.value, np.array([r[0] for r in rows], np.int64).view(np.uint64))
+            rows = [r for r, k in zip(rows, known, strict=True) if k]
+            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string()))]
+            yield pa.record_batch(columns, names=["page", "url", "html"])
+
+    rows = pages.mapInArrow(copied, "page long, url string, html string")
+    one = rows.groupBy("page").agg(F.min(F.struct("url", "html")).alias("one"))
+    return one.select("one.url", "one.html"), bitmap
+
+
+def _styles(pages: DataFrame) -> DataFrame:
+    """node, host, marked, kind (0: presentation, 1: content, 2: the node itself), style, n: how often a
+    site shows a node with this style, and on how many pages (shown), counted in the tasks first.
+
+    Pages without a host are no site; pages of a site that say the same count once.
+    """
+    copies, bitmap = _distinct(pages)
+
+    def counted(alone: bool):
+        def run(batches):
+            counts: dict[tuple[int, ...], list[int]] = {}
+            for host, page, _, _, found in _pages_of(batches):
+                if alone and in_bitmap(bitmap.value, np.array([page], np.int64).view(np.uint64))[0]:
                     continue
-                site = _hash(host)
-                for block in blocks(html.as_py()):
-                    if block.noise:
-                        continue
+                site, seen = _hash(host), set()
+                for block in found:
                     node = node_of(host, block)
-                    for kind, style in ((0, block.tags), (1, block.text)):
-                        key = (node, site, kind, _hash(style))
-                        counts[key] = counts.get(key, 0) + 1
+                    styles = ((0, _hash(block.tags)), (1, style_of(host, block)), (2, 0))
+                    for kind, style in styles:
+                        key = (node, site, int(block.article), kind, style)
+                        n = counts.setdefault(key, [0, 0])
+                        n[0] += 1
+                        if key not in seen:
+                            seen.add(key)
+                            n[1] += 1
                 if len(counts) >= _COUNTED:
                     yield _counted(counts)
                     counts = {}
-        yield _counted(counts)
+            yield _counted(counts)
+
+        return run
 
-    rows = pages.mapInArrow(run, "node long, host long, kind int, style long, n long")
-    return rows.groupBy("node", "host", "kind", "style").agg(F.sum("n").alias("n"))
+    schema = "node long, host long, marked long, kind long, style long, n long, shown long"
+    rows = pages.mapInArrow(counted(True), schema).unionByName(copies.mapInArrow(counted(False), schema))
+    keys = ["node", "host", "marked", "kind", "style"]
+    return rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("shown").alias("shown"))
 
 
-def _counted(counts: dict[tuple[int, int, int, int], int]) -> pa.RecordBatch:
-    keys = np.array(list(counts), np.int64).reshape(-1, 4)
-    columns = [pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(keys[:, 2].astype(np.int32))]
-    columns += [pa.array(keys[:, 3]), pa.array(list(counts.values()), pa.int64())]
-    return pa.record_batch(columns, names=["node", "host", "kind", "style", "n"])
+def _counted(counts: dict[tuple[int, ...], list[int]]) -> pa.RecordBatch:
+    rows = np.array([(*key, *n) for key, n in counts.items()], np.int64).reshape(-1, 7)
+    names = ["node", "host", "marked", "kind", "style", "n", "shown"]
+    return pa.record_batch(list(map(pa.array, rows.T.copy())), names=names)
 
 
 def low_nodes(pages: DataFrame, importance: float, least: int, presentation: float) -> DataFrame:
-    """host, nodes: the nodes of small importance of each site that has any.
+    """host, nodes: the nodes of small importance, and the contents of small importance in a node, of
+    each site that has any.
 
     A node's importance is the entropy of its styles over the times it is shown, as a share of the
     largest possible: 0 if it always looks the same, 1 if never twice; that of the tags in it and
-    that of its content, weighted.
+    that of its content, weighted. A content's is 0 if it is on all pages that show its node, and 1
+    if on one: what is left of the entropy of its pages. What is in a marked article has `MARKED` more.
     """
-    styles = _styles(pages)
+    styles = stored(_styles(pages), "styles")
+    site = ["node", "host", "marked"]
+    shift = F.col("marked") * MARKED
+    sizes = styles.where("kind = 2").select("node", F.col("n").alias("times"), F.col("shown").alias("pages"))
+    sizes = sizes.where(F.col("pages") >= least)
     by_kind = (
-        styles.groupBy("node", "host", "kind")
-        .agg(
-            F.sum("n").cast("double").alias("shown"),
-            F.sum(F.col("n") * F.log("n")).alias("repeats"),
-        )
-        .where(F.col("shown") >= least)
-        .withColumn("entropy", (F.log("shown") - F.col("repeats") / F.col("shown")) / F.log("shown"))
+        styles.where("kind < 2")
+        .groupBy(*site, "kind")
+        .agg(F.sum(F.col("n") * F.log("n")).alias("repeats"))
+        .join(sizes, "node")
+        .withColumn("entropy", (F.log("times") - F.col("repeats") / F.col("times")) / F.log("times"))
     )
     weight = F.when(F.col("kind") == 0, F.lit(presentation)).otherwise(F.lit(1 - presentation))
-    nodes = by_kind.groupBy("node", "host").agg(F.sum(weight * F.col("entropy")).alias("importance"))
-    low = nodes.where(F.col("importance") < importance)
-    return low.groupBy("host").agg(F.collect_list("node").alias("nodes"))
+    nodes = by_kind.groupBy(*site).agg(F.sum(weight * F.col("entropy")).alias("importance"))
+    low = nodes.where(F.col("importance") + shift < importance).select("host", "node")
+    contents = styles.where((F.col("kind") == 1) & (F.col("shown") >= least)).join(sizes, "node")
+    alike = F.log("shown") / F.log("pages")
+    contents = contents.where(1 - alike + shift < importance).select("host", F.col("style").alias("node"))
+    return low.unionByName(contents).groupBy("host").agg(F.collect_list("node").alias("nodes"))
 
 
 def main_text(url: str | None, html: str | None, low: frozenset[int]) -> str:
     """The blocks of a page's article, joined by one space.
 
-    If the page marks an article, its blocks but noise; else all blocks but noise and those whose
-    node is of small importance on the page's site.
+    Of the blocks that are not of small importance on the page's site: those that the page marks as
+    its article, if it marks any, else all; without what names tell to be noise.
     """
     found = [b for b in blocks(html or "") if not b.noise]
-    marked = [b.text for b in found if b.article]
-    if marked:
-        return " ".join(marked)
+    found = [b for b in found if b.article] or found
     host = host_of(url) if low else ""
-    return " ".join(b.text for b in found if not low or node_of(host, b) not in low)
+    return " ".join(b.text for b in found if not low or not {node_of(host, b), style_of(host, b)} & low)
 
 
 def extract_text(
@@ -121,15 +184,17 @@ def extract_text(
 ) -> DataFrame:
     """`page_id`, `url` and text: the main text of every page's whole html; one row per input row.
 
-    The pages of a host make a style tree: the nodes are the places of blocks in their trees, with
-    the tags and contents that they show. Nodes that show nearly always the same are taken out, as
-    are elements that by name are no article (menus, headers, footers, sidebars, notices, adverts,
-    forms, comments). What a page marks as its article is never judged by the tree, so that copies
-    of a page don't remove each other. Character references are decoded, white space in a block
-    becomes one space, blocks are joined by one space.
+    The pages of a host make a style tree of all their blocks: the nodes are the places of blocks in
+    their trees, with the tags and contents that they show. Nodes that show nearly always the same
+    are taken out, as are contents that a node shows on most pages, also in what a page marks as its
+    article, which only counts as somewhat more important (`MARKED`). Pages of a host that say the
+    same count once, so that copies of a page don't remove each other. Checked afterwards: elements
+    that by name are no article (menus, headers, footers, sidebars, notices, adverts, forms,
+    comments) go, and what is outside a marked article. Character references are decoded, white
+    space in a block becomes one space, blocks are joined by one space.
 
     Null and empty html give an empty text; pages without a host (null or odd urls) have no tree;
-    repeated rows count and are extracted each. The tree is counted in the tasks first, so a host
+    repeated rows are extracted each. The tree is counted in the tasks first, so a host
     with very many pages is no hot key; only pages of hosts that have nodes to remove are shuffled.
     """
     sc = pages.sparkSession.sparkContext

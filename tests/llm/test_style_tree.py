@@ -82,3 +82,13 @@ def test_a_name_around_the_article_does_not_drop_it(spark):
     got = text_of(spark, rows)
     want = "The story of the day, told at length"
     assert got == {1: want, 2: want, 3: want, 4: want + " Other", 5: want, 6: want}
+
+
+def test_what_repeats_inside_articles_goes(spark):
+    rows = []
+    for k in range(12):
+        told = f"<h1>Title {k}</h1><p>Story {k} of today</p><p>It went on {k * k}</p>"
+        page = f"<body><article>{told}<p>Read more on our site</p><div class='x'>By our staff</div></article></body>"
+        rows += [(k, f"http://a.example/{k}", page)] * (6 if k == 3 else 1)
+    got = text_of(spark, rows)
+    assert got == {k: f"Title {k} Story {k} of today It went on {k * k}" for k in range(12)}
