@@ -12,6 +12,7 @@ from ledgerlake.llm import (
     bpe,
     decontamination,
     jaccard,
+    merkle,
     sharding,
     style_tree,
     suffix_dedup,
@@ -20,6 +21,7 @@ from ledgerlake.llm import (
     warc,
     winnowing,
 )
+from ledgerlake.llm.merkle_sql import merkle_sql
 from ledgerlake.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,8 +132,37 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    longer = [F.col(f) + 1 if f == "n_chars" else F.col(f) for f in merkle.FIELDS]
+    docs = docs.withColumn("changed", F.when(tampered, merkle.leaf_digest(longer)))
+    found = merkle.manifest(docs, carry=["changed"])
+    folded = merkle.fold(F.coalesce("row.changed", "leaf"), F.col("path"))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Query]:
-    found = [op1_winnowing, op2_jaccard, op3_bpe, op4_sharding, op5_style_tree, op6_warc, op7_suffix_dedup, op8_decontamination, op9_suffix_tree, op10_toxicity]
+    found = [
+        op1_winnowing,
+        op2_jaccard,
+        op3_bpe,
+        op4_sharding,
+        op5_style_tree,
+        op6_warc,
+        op7_suffix_dedup,
+        op8_decontamination,
+        op9_suffix_tree,
+        op10_toxicity,
+        op13_merkle,
+    ]
     return {f.__name__: f for f in found}
 
 
@@ -237,4 +268,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_sharding": _sharding_sql(),
         "op6_warc": _WARC_SQL,
         "op8_decontamination": _decontamination_sql(),
+        "op13_merkle": merkle_sql(),
     }
