@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.ranges import in_order, part_of
 from ledgerlake.llm.tables import stored
 
 #: Levels that one window builds: it holds 2 ** LEVELS rows, however large a group is.
@@ -18,8 +19,6 @@ LEVELS = 10
 #: What a leaf is made of, in this order.
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
-_PART = 33  # bits of monotonically_increasing_id below the number of the partition
-
 
 def leaf_digest(values: Sequence[Column]) -> Column:
     """SHA-256 (lowercase hex) of values, each as its bytes' number, a colon and itself; null as `-`."""
@@ -35,16 +34,7 @@ def numbered(rows: DataFrame, group: str, order: Sequence[str], name: str) -> Da
     row's slot is its place in the part of its group that is in its range, and the sizes of the parts
     before it.
     """
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by = [group, *order, "_tie"]
-    dealt = (
-        rows.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(tasks, *by)
-        .sortWithinPartitions(*by)
-        .drop("_tie")
-    )
-    placed = stored(dealt.withColumn("_at", F.monotonically_increasing_id()), name)
-    placed = placed.withColumn("_part", F.shiftright("_at", _PART))
+    placed = in_order(rows, [group, *order], name).withColumn("_part", part_of())
     parts = placed.groupBy(group, "_part").agg(
         F.min("_at").alias("_first"), F.count("*").alias("_rows")
     )
