@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
     bpe,
+    conversations,
     decontamination,
     jaccard,
     merkle,
@@ -21,6 +22,7 @@ from ledgerlake.llm import (
     warc,
     winnowing,
 )
+from ledgerlake.llm.conversations_sql import conversations_sql
 from ledgerlake.llm.merkle_sql import merkle_sql
 from ledgerlake.llm.tables import table
 
@@ -132,6 +134,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_turn_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    edits = conversations.repaired(conversations.damage(given), known=given.select("conv_id"))
+    return conversations.digests(edits)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
@@ -161,6 +169,7 @@ def queries() -> dict[str, Query]:
         op8_decontamination,
         op9_suffix_tree,
         op10_toxicity,
+        op11_turn_blocks,
         op13_merkle,
     ]
     return {f.__name__: f for f in found}
@@ -268,5 +277,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_sharding": _sharding_sql(),
         "op6_warc": _WARC_SQL,
         "op8_decontamination": _decontamination_sql(),
+        "op11_turn_blocks": conversations_sql(),
         "op13_merkle": merkle_sql(),
     }
