@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
+    bottom_k,
     bpe,
     conversations,
     decontamination,
@@ -140,6 +141,10 @@ def op11_turn_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.digests(edits)
 
 
+def op12_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottom_k.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
@@ -170,6 +175,7 @@ def queries() -> dict[str, Query]:
         op9_suffix_tree,
         op10_toxicity,
         op11_turn_blocks,
+        op12_bottom_k,
         op13_merkle,
     ]
     return {f.__name__: f for f in found}
@@ -250,33 +256,34 @@ FROM p LEFT JOIN f USING (digest)
 """
 
 
-def _jaccard_sql() -> str:
+def _jaccard_sql(words: int, num: int, more: str = "") -> str:
     return f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all({_folded("text")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
 ), s AS (
-  SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g
-  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS p FROM d)
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + {words - 1}], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {words - 1}, least(len(w), 1)) + 1)) AS p FROM d)
 ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
 o AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
   GROUP BY 1, 2
 ), link AS (
-  SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)
+  SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= {num} * (x.n + y.n - o)
 ), reach(a, b) AS (
   SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
 ), least_of AS (SELECT a, min(b) AS m FROM reach GROUP BY 1)
-SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id{more}
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_of ON a = d.doc_id
 """
 
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op2_jaccard": _jaccard_sql(),
+        "op2_jaccard": _jaccard_sql(5, 80),
         "op4_sharding": _sharding_sql(),
         "op6_warc": _WARC_SQL,
         "op8_decontamination": _decontamination_sql(),
         "op11_turn_blocks": conversations_sql(),
+        "op12_bottom_k": _jaccard_sql(3, 85, ", d.doc_id <= coalesce(m, d.doc_id) AS kept"),
         "op13_merkle": merkle_sql(),
     }
