@@ -17,7 +17,7 @@ from ledgerlake.operators.dimensions import cached, customer_accounts
 from ledgerlake.operators.insights import HOURLY_LATENESS
 from ledgerlake.plans import transfer_jobs
 from ledgerlake.plans.insight_job import run_insights
-from ledgerlake.sinks import changelog
+from ledgerlake.sinks import changelog, lake, snapshots
 from ledgerlake.sinks.files import overwrite_parquet, write_sized
 from ledgerlake.sinks.jdbc import overwrite_table
 from ledgerlake.sources import files, kafka
@@ -150,6 +150,34 @@ def compact_lake(spark: SparkSession, given: Arguments) -> None:
     write_sized(rows, given.out, given.file_megabytes << 20, "transaction_date" if given.by_day else None)
 
 
+def gather_lake(spark: SparkSession, given: Arguments) -> None:
+    by_day = files.DAY if given.by_day else None
+    lake.compact(spark, given.lake, given.place, given.file_megabytes << 20, by_day)
+
+
+def set_aside(spark: SparkSession, given: Arguments) -> None:
+    jobs.set_aside(
+        _messages(spark, given), given.out, given.checkpoint, _trigger(given)
+    ).awaitTermination()
+
+
+def add_dimension(spark: SparkSession, given: Arguments) -> None:
+    accounts = files.read_parquet(spark, given.accounts)
+    customers = files.read_parquet(spark, given.customers)
+    snapshots.add(customer_accounts(accounts, customers), given.dimension)
+    snapshots.prune(spark, given.dimension, given.keep)
+
+
+def enrich(spark: SparkSession, given: Arguments) -> None:
+    jobs.enrich(
+        files.json_stream(spark, given.json, max_files_per_trigger=given.per_batch),
+        given.dimension,
+        changelog.batch_writer(given.log),
+        given.checkpoint,
+        _trigger(given),
+    ).awaitTermination()
+
+
 def hourly(spark: SparkSession, given: Arguments) -> None:
     accounts = files.read_parquet(spark, given.accounts)
     customers = files.read_parquet(spark, given.customers)
@@ -215,6 +243,28 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--file-megabytes", type=int, default=128)
     job.add_argument("--by-day", action="store_true", help="the lake has a folder per day")
 
+    job = command(gather_lake, "gather what a stream has stored since the last time, beside the stream")
+    job.add_argument("--lake", required=True)
+    job.add_argument("--place", required=True, help="folder of the gathered files and what they cover")
+    job.add_argument("--file-megabytes", type=int, default=128)
+    job.add_argument("--by-day", action="store_true", help="the lake has a folder per day")
+
+    job = command(set_aside, "store the messages that ingest rejects, with the reason")
+    _add_messages(job)
+    job.add_argument("--out", required=True)
+    _add_stream(job)
+
+    job = command(add_dimension, "add a snapshot of the account dimension for running streams")
+    for name in ("accounts", "customers", "dimension"):
+        job.add_argument(f"--{name}", required=True)
+    job.add_argument("--keep", type=int, default=2, help="snapshots that stay")
+
+    job = command(enrich, "join JSON files with the newest snapshot of the account dimension")
+    for name in ("json", "dimension", "log"):
+        job.add_argument(f"--{name}", required=True)
+    job.add_argument("--per-batch", type=int, help="files of a micro-batch")
+    _add_stream(job)
+
     job = command(hourly, "keep hourly activity from JSON files")
     for name in ("json", "accounts", "customers", "log"):
         job.add_argument(f"--{name}", required=True)
@@ -229,7 +279,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     given = parser.parse_args(arguments)
     if given.run is insights and given.out is None and None in (given.url, given.driver):
         parser.error("insights needs --out, or --url and --driver")
-    if given.run in (ingest, fraud) and given.messages is None:
+    if given.run in (ingest, fraud, set_aside) and given.messages is None:
         if None in (given.servers, given.topic):
             parser.error("a message stream needs --messages, or --servers and --topic")
     given.run(SparkSession.builder.getOrCreate(), given)

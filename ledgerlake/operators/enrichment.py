@@ -15,11 +15,12 @@ def enrich_transactions(
     cust_accounts: DataFrame,
     broadcast_limit: int | None = BROADCAST_LIMIT,
     salt_buckets: int = SALT_BUCKETS,
+    known_bytes: int | None = None,
 ) -> DataFrame:
     """Every transaction, with its sender's account and customer where known."""
     key = account_key(F.col("sender_account_id"))
     return left_lookup(
-        transactions, cust_accounts, key, "account_id", broadcast_limit, salt_buckets
+        transactions, cust_accounts, key, "account_id", broadcast_limit, salt_buckets, known_bytes
     )
 
 

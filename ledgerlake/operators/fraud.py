@@ -51,3 +51,12 @@ def flag_activity(daily: DataFrame) -> DataFrame:
 def fraud_alerts(flagged: DataFrame) -> DataFrame:
     """The flagged days, to be alerted on."""
     return flagged.where("is_fraud")
+
+
+def suspicious_transactions(lake: DataFrame, alerts: DataFrame) -> DataFrame:
+    """The transactions of the flagged senders' days, from a table with a directory per day.
+
+    Alerts that are small enough to be broadcast also tell which directories are read at all.
+    """
+    flagged = fraud_alerts(alerts).select(*DAILY_KEYS).distinct()
+    return lake.join(flagged, list(DAILY_KEYS), "left_semi")

@@ -50,20 +50,25 @@ def left_lookup(
     dimension_key: str,
     broadcast_limit: int | None = BROADCAST_LIMIT,
     salt_buckets: int = SALT_BUCKETS,
+    known_bytes: int | None = None,
 ) -> DataFrame:
     """`facts` left joined with `dimension`; facts without a match keep null columns.
 
     - A dimension measured within `broadcast_limit` is broadcast: the facts do not move.
       `broadcast_limit=None` skips the measurement and leaves the choice to the planner's
-      own threshold, which suits facts that are small themselves.
+      own threshold, which suits facts that are small themselves. `known_bytes` is a
+      measurement that the caller has already made.
     - A larger one is joined by shuffle. For batch input, adaptive execution splits the
-      partition of a hot key. It does not run for stateful streams, so there each fact gets
-      a salt and the dimension is repeated per salt.
+      partition of a hot key. It does not run for stateful streams and their micro-batches,
+      so there each fact gets a salt and the dimension is repeated per salt.
     """
     key = F.col(dimension_key)
-    if broadcast_limit is not None and measured_bytes(dimension) <= broadcast_limit:
-        return facts.join(F.broadcast(dimension), fact_key == key, "left")
-    if not facts.isStreaming:
+    if broadcast_limit is not None:
+        size = measured_bytes(dimension) if known_bytes is None else known_bytes
+        if size <= broadcast_limit:
+            return facts.join(F.broadcast(dimension), fact_key == key, "left")
+    adaptive = facts.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    if adaptive and not facts.isStreaming:
         # Rows without a key match nothing: dealt by a second, made-up key, they do not meet in
         # one task.
         spread = F.when(fact_key.isNull(), salt(facts, NULL_BUCKETS)).otherwise(0)

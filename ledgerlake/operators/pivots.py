@@ -11,11 +11,16 @@ NULL_LABEL = "null"
 
 
 def pivot_labels(rows: DataFrame, column: str, at_most: int | None = None) -> list[str]:
-    """Labels that occur in `column`, sorted. More than `at_most`, if given, is an error, not a cut."""
+    """Labels that occur in `column`, sorted; they become columns, so they are few.
+
+    More than `at_most` is an error, not a cut, and no more than that come to the driver. Without
+    it, the session's bound on the columns of a pivot holds (`spark.sql.pivotMaxValues`).
+    """
+    if at_most is None:
+        at_most = int(rows.sparkSession.conf.get("spark.sql.pivotMaxValues"))
     label = F.coalesce(F.col(column).cast("string"), F.lit(NULL_LABEL)).alias("label")
-    labels = rows.select(label).distinct()
-    found = (labels if at_most is None else labels.limit(at_most + 1)).collect()
-    if at_most is not None and len(found) > at_most:
+    found = rows.select(label).distinct().limit(at_most + 1).collect()
+    if len(found) > at_most:
         raise ValueError(f"{column} has more than {at_most} values; pass the wanted columns")
     return sorted(row["label"] for row in found)
 
@@ -30,7 +35,7 @@ def pivot(
     """One row per `group`, one column per value of `column`; cells without rows are null.
 
     With `labels` the input is read once and a value outside of them raises an error. Without,
-    the labels are looked up first, which reads `column` once more.
+    the labels are looked up first, which reads `column` once more and is bounded (`pivot_labels`).
     """
     if labels is None:
         labels = pivot_labels(rows, column)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.plans.queries import ARRIVALS, LATE_TYPE
+from ledgerlake.plans.queries import ARRIVALS, FIRST_DAY, FLAWS, LAST_DAY, LATE_TYPE
 from ledgerlake.plans.tables import BATCH_TYPES, OCCUPATIONS, PRODUCTS
 
 CUSTOMERS = """
@@ -205,8 +205,7 @@ def _json_text(column: str) -> str:
     return f"""coalesce('"' || replace({column}, '"', '\\"') || '"', 'null')"""
 
 
-_MESSAGES = f"""{_with(EVENT_TRANSACTIONS)}
-select '{{"transaction_id":' || {_json_text("transaction_id")}
+_MESSAGE_TEXT = f"""'{{"transaction_id":' || {_json_text("transaction_id")}
     || ',"timestamp":"' || regexp_replace(
            strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f'), '\\.000000$', '')
     || '","transaction_type":' || {_json_text("transaction_type")}
@@ -216,8 +215,9 @@ select '{{"transaction_id":' || {_json_text("transaction_id")}
     || ',"transaction_fee":' || coalesce(cast(nullif(transaction_fee, 0) as varchar), 'null')
     || ',"subtype":null,"device_type":null,"location":null,"product_name":null'
     || ',"product_amount":null'
-    || ',"transaction_message":' || {_json_text("transaction_message")} || '}}' as value
-from event_transactions"""
+    || ',"transaction_message":' || {_json_text("transaction_message")} || '}}'"""
+
+_MESSAGES = f"{_with(EVENT_TRANSACTIONS)} select {_MESSAGE_TEXT} as value from event_transactions"
 
 _TRANSACTION_ROWS = """
        transaction_id, "timestamp", transaction_type, sender_account_id, receiver_account_id,
@@ -244,6 +244,90 @@ _PLACES = (
 )
 
 
+# A row's part of the arrivals, from 0.
+_PART = f"least((epoch_us(\"timestamp\") - low) * {ARRIVALS} // (high - low), {ARRIVALS} - 1)"
+_BOUNDS = """bounds as (
+    select epoch_us(min("timestamp")) as low, epoch_us(max("timestamp")) as high
+    from event_transactions
+)"""
+
+# Days are judged like hours, but of complete rows, and they close two days after their end.
+_LATE_DAYS = f""", {_BOUNDS}, placed as (
+    select e.*, {_PART} + case when transaction_type = '{LATE_TYPE}' then 1 else 0 end as arrival
+    from event_transactions e, bounds {_COMPLETE}
+), parts as (
+    select arrival, max("timestamp") as last from placed group by all
+), marks as (
+    select arrival, date_trunc('millisecond',
+               max(last) over (order by arrival rows between unbounded preceding and 1 preceding))
+               - interval 2 days as mark
+    from parts
+), counted as (
+    select placed.* from placed join marks using (arrival)
+    where mark is null or date_trunc('day', "timestamp") + interval 1 day > mark
+), final as (select date_trunc('millisecond', max(last)) - interval 2 days as mark from parts)"""
+
+_BOUNDED = _daily("").replace("from event_transactions", "from counted").replace(
+    f"{EVENT_TRANSACTIONS}", f"{EVENT_TRANSACTIONS}{_LATE_DAYS}"
+)
+
+# Not evicted yet: the last run of the stream had a row of every part before it.
+_OPEN_DAYS = f"""{_with(EVENT_TRANSACTIONS)}{_LATE_DAYS}
+select sender_account_id, cast(cast("timestamp" as date) as varchar) as transaction_date,
+       count(*) as daily_transaction_count
+from counted, final where date_trunc('day', "timestamp") + interval 1 day > final.mark group by all"""
+
+_ENRICHED_STREAM = f"""{_with(CUSTOMERS, ACCOUNTS, CUST_ACCOUNTS, EVENT_TRANSACTIONS, _BOUNDS)}, dims as (
+    select 1 as dimension_snapshot, * from cust_accounts where account_id % 5 <> 1
+    union all
+    select 2, * replace (case when customer_id % 3 = 0 and customer_segment is not null
+                              then 'moved ' || customer_segment else customer_segment end as customer_segment)
+    from cust_accounts
+), placed as (
+    select e.*, case when {_PART} = 0 then 1 else 2 end as snapshot from event_transactions e, bounds
+)
+select {STORED}, account_id, customer_id, full_name, income, customer_segment, occupation, is_active,
+       current_balance, date_opened, is_vip, cast(snapshot as bigint) as dimension_snapshot
+from placed left join dims
+     on dims.dimension_snapshot = snapshot and try_cast(sender_account_id as bigint) = account_id"""
+
+
+def _every(flaw: str) -> str:
+    step, rest = FLAWS[flaw]
+    return f"number % {step} = {rest}"
+
+
+def _replaced(text: str, flaw: str, field: str, value: str) -> str:
+    changed = f"""regexp_replace({text}, '"{field}":"[^"]*"', '"{field}":{value}')"""
+    return f"case when {_every(flaw)} then {changed} else {text} end"
+
+
+_FLAWED = f"""{_with(EVENT_TRANSACTIONS)}, texts as (
+    select *, cast(transaction_id as bigint) as number, {_MESSAGE_TEXT} as m0 from event_transactions
+), flaw_1 as (select *, {_replaced("m0", "no_id", "transaction_id", "null")} as m1 from texts
+), flaw_2 as (select *, {_replaced("m1", "no_time", "timestamp", '"yesterday"')} as m2 from flaw_1
+), flaw_3 as (select *, {_replaced("m2", "no_type", "transaction_type", "null")} as m3 from flaw_2
+), flawed as (
+    select *, case when {_every("not_json")} then '<' || m3 else m3 end as value,
+           case when {_every("not_json")} then 'unreadable'
+                when {_every("no_id")} then 'no transaction_id'
+                when {_every("no_time")} then 'no timestamp'
+                when {_every("no_type")} or transaction_type is null then 'no transaction_type' end as reason
+    from flaw_3
+)"""
+
+_COUNTS = """count(*) as read, count(*) filter (reason is null) as kept,
+       count(reason) as rejected, count(*) filter (reason = 'unreadable') as unreadable,
+       count(*) filter (reason = 'no transaction_id') as no_transaction_id,
+       count(*) filter (reason = 'no timestamp') as no_timestamp,
+       count(*) filter (reason = 'no transaction_type') as no_transaction_type"""
+
+_SUSPICIOUS = f"""{_daily("where amount <> 0").replace("select sender_account_id, transaction_date, daily", ", flagged as (select sender_account_id, transaction_date, daily", 1)} )
+select transaction_id, sender_account_id, transaction_date, cast(nullif(amount, 0) as double) as amount
+from event_transactions join flagged using (sender_account_id)
+where is_fraud and transaction_date = cast(cast("timestamp" as date) as varchar)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "scan_customers": _SCAN_CUSTOMERS,
@@ -275,5 +359,20 @@ def oracle_sql() -> dict[str, str]:
         "fraud_daily": _daily(_COMPLETE),
         "hourly_stream": _hourly("event_transactions"),
         "hourly_late_data": _hourly("counted", _LATE),
+        "fraud_daily_bounded": _BOUNDED,
+        "fraud_open_days": _OPEN_DAYS,
+        "enriched_stream": _ENRICHED_STREAM,
+        "message_counts": f"{_FLAWED} select {_COUNTS} from flawed",
+        "rejected_messages": f"{_FLAWED} select value, reason from flawed where reason is not null",
+        "rejected_stream": f"{_FLAWED} select value, reason from flawed where reason is not null",
+        "ingest_limited": f"{_FLAWED} select {PUBLISHED} from flawed where reason is null",
+        "ingest_counts": f"{_FLAWED} select {_COUNTS}, true as several_batches from flawed",
+        "hourly_days": _hourly("event_transactions").replace(
+            "group by all",
+            f"where cast(\"timestamp\" as date) between date '{FIRST_DAY}' and date '{LAST_DAY}' group by all",
+        ),
+        "suspicious_transactions": _SUSPICIOUS,
+        "lake_compacted": _PUBLISHED_ROWS,
+        "ingest_running": _PUBLISHED_ROWS,
         "stream_json_source": f"{_with(EVENT_TRANSACTIONS)} select {STORED} from event_transactions",
     }

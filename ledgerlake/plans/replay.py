@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from datetime import datetime
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,9 +43,12 @@ def time_ranges(rows: DataFrame, column: str, parts: int) -> list[Column]:
     return conditions
 
 
+Arrival = TypeVar("Arrival")
+
+
 def arrive(
-    arrivals: Iterable[DataFrame],
-    land: Callable[[DataFrame], None],
+    arrivals: Iterable[Arrival],
+    land: Callable[[Arrival], None],
     run: Callable[[], StreamingQuery],
 ) -> None:
     """Land one arrival after the other; after each, run the stream until it has caught up.

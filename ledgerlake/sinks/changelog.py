@@ -2,71 +2,47 @@
 
 Each micro-batch writes its changed rows to a new directory and then sets a mark; only marked
 directories are read, so a batch that is being written, or written again, shows nothing of it. Of a
-batch that was run twice the last marked attempt counts. Reading takes each key's last row.
+batch that was run twice the last attempt that was finished counts; attempts are numbered by who
+could claim a number first, not by a clock. Reading takes each key's last row.
 One log belongs to one streaming query: batch ids must not start over.
 
-    <path>/changes/batch_id=N/attempt=A   changed rows of micro-batch N, written by attempt A
-    <path>/marks/N.T.A                    empty; attempt A of micro-batch N was finished at time T
+    <path>/changes/batch_id=N/attempt=A   changed rows of micro-batch N, of its attempt A = 0, 1, ...
+    <path>/claims/N.A                     empty; attempt A of micro-batch N has begun
+    <path>/marks/N.A                      empty; attempt A of micro-batch N was finished
     <path>/base/upto=N                    each key's last row as of micro-batch N
     <path>/bases/N                        empty; this base is finished
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Sequence
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-
-class _Folder:
-    """A folder of the log, through the file system of its path."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self._jvm = spark.sparkContext._jvm
-        self._path = self._jvm.org.apache.hadoop.fs.Path(path)
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._system = self._path.getFileSystem(conf)
-
-    def _at(self, name: str):
-        return self._jvm.org.apache.hadoop.fs.Path(self._path, name)
-
-    def names(self) -> list[str]:
-        if not self._system.exists(self._path):
-            return []
-        return [status.getPath().getName() for status in self._system.listStatus(self._path)]
-
-    def touch(self, name: str) -> None:
-        self._system.create(self._at(name), True).close()
-
-    def remove(self, name: str) -> None:
-        self._system.delete(self._at(name), True)
-
+from ledgerlake.sinks.folders import Folder, numbers
 
 def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` function that logs each micro-batch. Errors are raised."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        attempt = uuid4().hex
+        spark = batch.sparkSession
+        attempt = Folder(spark, f"{path}/claims").claim_next(f"{batch_id}.")
         batch.write.parquet(f"{path}/changes/batch_id={batch_id}/attempt={attempt}")
-        marks = _Folder(batch.sparkSession, f"{path}/marks")
-        marks.touch(f"{batch_id}.{time.time_ns()}.{attempt}")
+        Folder(spark, f"{path}/marks").touch(f"{batch_id}.{attempt}")
 
     return write
 
 
 def _finished_base(spark: SparkSession, path: str) -> int | None:
-    return max(map(int, _Folder(spark, f"{path}/bases").names()), default=None)
+    return max(numbers(spark, f"{path}/bases"), default=None)
 
 
-def _finished_batches(spark: SparkSession, path: str) -> dict[int, str]:
-    """The attempt that counts of each finished micro-batch."""
-    marks = (name.split(".") for name in _Folder(spark, f"{path}/marks").names())
-    ordered = sorted((int(batch_id), int(at), attempt) for batch_id, at, attempt in marks)
-    return {batch_id: attempt for batch_id, _, attempt in ordered}
+def _finished_batches(spark: SparkSession, path: str) -> dict[int, int]:
+    """The attempt that counts of each finished micro-batch: the one that began last."""
+    marks = (name.split(".") for name in Folder(spark, f"{path}/marks").names())
+    return dict(sorted((int(batch_id), int(attempt)) for batch_id, attempt in marks))
 
 
 def _log(
@@ -115,6 +91,13 @@ def latest(
     return _last_rows(_log(spark, path, schema), keys)
 
 
+def rows(
+    spark: SparkSession, path: str, schema: StructType | str | None = None
+) -> DataFrame:
+    """All rows of the finished batches, of a log that is only appended to and not compacted."""
+    return _log(spark, path, schema).drop("batch_id")
+
+
 def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> int | None:
     """Gather the log into a new base, so that reading need not go back to the first batch.
 
@@ -128,9 +111,9 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> int | None:
     if len(newest) < 2 or (base is not None and newest[0] <= base):
         return base
     upto = newest[0]
-    rows = _last_rows(_log(spark, path, last=upto), keys)
-    rows.write.mode("overwrite").parquet(f"{path}/base/upto={upto}")
-    _Folder(spark, f"{path}/bases").touch(str(upto))
+    gathered = _last_rows(_log(spark, path, last=upto), keys)
+    gathered.write.mode("overwrite").parquet(f"{path}/base/upto={upto}")
+    Folder(spark, f"{path}/bases").touch(str(upto))
     return upto
 
 
@@ -144,16 +127,18 @@ def prune(spark: SparkSession, path: str) -> int | None:
     if upto is None:
         return None
     for name, number in (("changes", "batch_id="), ("base", "upto=")):
-        folder = _Folder(spark, f"{path}/{name}")
+        folder = Folder(spark, f"{path}/{name}")
         for entry in folder.names():
             found = int(entry.removeprefix(number))
             if found < upto or (found == upto and name == "changes"):
                 folder.remove(entry)
-    bases, marks = _Folder(spark, f"{path}/bases"), _Folder(spark, f"{path}/marks")
+    bases = Folder(spark, f"{path}/bases")
     for entry in bases.names():
         if int(entry) < upto:
             bases.remove(entry)
-    for entry in marks.names():
-        if int(entry.split(".")[0]) <= upto:
-            marks.remove(entry)
+    for kind in ("claims", "marks"):
+        folder = Folder(spark, f"{path}/{kind}")
+        for entry in folder.names():
+            if int(entry.split(".")[0]) <= upto:
+                folder.remove(entry)
     return upto

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.schemas import MESSAGE, STORED_TRANSACTION
 
 # Fixed value: a rate limit (files per micro-batch) to choose.
 FILES_PER_BATCH = 1
 
+# The column of a table with a directory per day.
+DAY = "transaction_date"
+
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -17,6 +23,18 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_days(
+    spark: SparkSession, path: str, first: date | None = None, last: date | None = None
+) -> DataFrame:
+    """The days from `first` to `last` of a table with a directory per day; no other is read."""
+    rows, day = read_parquet(spark, path), F.col(DAY)
+    if first is not None:
+        rows = rows.where(day >= F.lit(first))
+    if last is not None:
+        rows = rows.where(day <= F.lit(last))
+    return rows
+
+
 def load(spark: SparkSession, path: str) -> DataFrame:
     """A directory in the session's default format."""
     return spark.read.load(path)

@@ -7,17 +7,26 @@ back, `AVAILABLE_NOW` takes what has arrived and ends.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ledgerlake.operators.enrichment import repeat_by_account
+from ledgerlake.operators.enrichment import enrich_transactions, repeat_by_account
 from ledgerlake.operators.fraud import daily_activity, flag_activity, fraud_alerts
 from ledgerlake.operators.insights import HOURLY_LATENESS, hourly_activity
-from ledgerlake.operators.lookups import SALT_BUCKETS
-from ledgerlake.operators.messages import fraud_rows, lake_rows, parse_messages
+from ledgerlake.operators.lookups import BROADCAST_LIMIT, SALT_BUCKETS, measured_bytes
+from ledgerlake.operators.messages import (
+    counted,
+    fraud_rows,
+    lake_rows,
+    parse_messages,
+    rejected_messages,
+)
+from ledgerlake.sinks import snapshots
+from ledgerlake.sources.files import DAY
 
 AVAILABLE_NOW = {"availableNow": True}
 EVERY_MINUTE = {"processingTime": "1 minute"}
@@ -36,6 +45,32 @@ KEEP_ALL = None
 
 BatchFunction = Callable[[DataFrame, int], None]
 
+#: The name under which a stream's progress tells how many messages were read, kept and rejected.
+MESSAGES = "messages"
+#: The column that tells which snapshot of the dimension a transaction was joined with.
+SNAPSHOT = "dimension_snapshot"
+
+
+@contextmanager
+def set_for(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Session settings that hold for a while."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def drain(query: StreamingQuery) -> None:
+    """Let a running stream take all that has arrived, then stop it between two micro-batches."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
 
 def _start(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
@@ -67,15 +102,53 @@ def ingest(
 ) -> StreamingQuery:
     """Store the complete transactions of a message stream.
 
-    `by_day` adds `transaction_date` and a directory per day, so that reports on some days
-    read only those.
+    How many messages were read, kept and rejected, and why, is observed under `MESSAGES` in the
+    progress of each micro-batch. `by_day` adds `transaction_date` and a directory per day, so that
+    reports on some days read only those.
     """
-    rows = lake_rows(parse_messages(messages))
+    rows = lake_rows(counted(parse_messages(messages), MESSAGES))
     if by_day:
-        rows = rows.withColumn("transaction_date", F.to_date("timestamp"))
-    return append_to_table(
-        rows, path, checkpoint, trigger, "transaction_date" if by_day else None
-    )
+        rows = rows.withColumn(DAY, F.to_date("timestamp"))
+    return append_to_table(rows, path, checkpoint, trigger, DAY if by_day else None)
+
+
+def set_aside(
+    messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Store the messages that `ingest` rejects, as they came, with the reason of each."""
+    return append_to_table(rejected_messages(messages), path, checkpoint, trigger)
+
+
+def enrich(
+    transactions: DataFrame,
+    dimension: str,
+    on_batch: BatchFunction,
+    checkpoint: str,
+    trigger: dict | None = None,
+    broadcast_limit: int = BROADCAST_LIMIT,
+    salt_buckets: int = SALT_BUCKETS,
+) -> StreamingQuery:
+    """Hand every transaction to `on_batch` with its sender's account and customer, where known, and
+    the number of the dimension's snapshot that told them.
+
+    The static side is the newest finished one of the `snapshots` at `dimension` when a micro-batch
+    begins, so a snapshot that is added while the stream goes on counts from the next micro-batch on.
+    Each snapshot is measured once, and broadcast only if it is small; else the micro-batch is joined
+    by shuffle. A micro-batch that is run again after a failure takes the snapshot that is newest then.
+    """
+    spark = transactions.sparkSession
+    measured: dict[int, int] = {}
+
+    def hand_on(batch: DataFrame, batch_id: int) -> None:
+        version = snapshots.newest(spark, dimension)
+        rows = snapshots.read(batch.sparkSession, dimension, version)
+        if version not in measured:
+            measured.clear()
+            measured[version] = measured_bytes(rows)
+        found = enrich_transactions(batch, rows, broadcast_limit, salt_buckets, measured[version])
+        on_batch(found.withColumn(SNAPSHOT, F.lit(version).cast("long")), batch_id)
+
+    return _start(transactions.writeStream.foreachBatch(hand_on), checkpoint, trigger)
 
 
 def watch_fraud(
@@ -108,15 +181,8 @@ def watch_fraud(
             batch.unpersist()
 
     writer = flagged.writeStream.outputMode("update").foreachBatch(hand_on)
-    conf = messages.sparkSession.conf
-    before = {name: conf.get(name, None) for name in state}
-    for name, value in state.items():
-        conf.set(name, value)
-    try:  # a stream takes the session's settings along when it starts
+    with set_for(messages.sparkSession, state):  # a stream takes them along when it starts
         return _start(writer, checkpoint, trigger)
-    finally:
-        for name, value in before.items():
-            conf.unset(name) if value is None else conf.set(name, value)
 
 
 def watch_hours(

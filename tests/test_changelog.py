@@ -1,6 +1,9 @@
+import time
+
 import pytest
 
 from ledgerlake.sinks import changelog
+from ledgerlake.sinks.folders import Folder
 
 
 @pytest.fixture()
@@ -115,3 +118,42 @@ def test_what_is_not_read_can_be_removed(spark, path, tmp_path):
     assert [p.name for p in (log / "base").iterdir()] == ["upto=3"]
     write(batch(spark, ("a", 9, "z")), 5)
     assert ("a", 9, "z") in current(spark, path)
+
+
+def test_attempts_are_ordered_without_a_clock(spark, path, monkeypatch):
+    """The restarted driver's clock is behind; its attempt counts nevertheless."""
+    moments = iter(range(1_000, 0, -1))
+    monkeypatch.setattr(time, "time", lambda: next(moments))
+    monkeypatch.setattr(time, "time_ns", lambda: next(moments) * 1_000_000_000)
+    write = changelog.batch_writer(path)
+    write(batch(spark, ("a", 1, "old")), 0)
+    write(batch(spark, ("a", 2, "new")), 0)
+    monkeypatch.undo()
+    assert current(spark, path) == {("a", 2, "new")}
+
+
+def test_an_attempt_that_was_overtaken_does_not_count(spark, path, monkeypatch):
+    """It began before the restart, and finishes after the restarted one."""
+    write, late = changelog.batch_writer(path), []
+    touch = Folder.touch
+
+    def held(self, name):
+        if name == "0.0":
+            late.append((self, name))
+        else:
+            touch(self, name)
+
+    monkeypatch.setattr(Folder, "touch", held)
+    write(batch(spark, ("a", 1, "old")), 0)
+    write(batch(spark, ("a", 2, "new")), 0)
+    assert current(spark, path) == {("a", 2, "new")}
+    touch(*late[0])
+    assert current(spark, path) == {("a", 2, "new")}
+
+
+def test_all_rows_of_the_batches_that_count(spark, path):
+    write = changelog.batch_writer(path)
+    write(batch(spark, ("a", 1, "x"), ("a", 1, "x")), 0)
+    write(batch(spark, ("a", 9, "lost")), 1)
+    write(batch(spark, ("a", 1, "x")), 1)
+    assert sorted(map(tuple, changelog.rows(spark, path).collect())) == [("a", 1, "x")] * 3

@@ -4,7 +4,7 @@ from ledgerlake import __main__ as command_line
 from ledgerlake.operators import fraud, insights
 from ledgerlake.operators.messages import to_messages
 from ledgerlake.plans import tables, transfer_jobs
-from ledgerlake.sinks import changelog
+from ledgerlake.sinks import changelog, lake
 from ledgerlake.sources import files
 from ledgerlake.sources.jdbc import Connection
 
@@ -56,6 +56,24 @@ def test_streaming_jobs(spark, place):
     assert found.count() == hours.count()
 
 
+def test_a_dimension_for_a_stream_and_a_gathered_lake(spark, place):
+    events = tables.event_transactions(tables.events(spark, SF_DIR))
+    sources = f"--accounts {place}/accounts --customers {place}/customers"
+    for _ in range(3):
+        run(f"add-dimension {sources} --dimension {place}/dimension --keep 1")
+    run(f"enrich --json {place}/json --dimension {place}/dimension --log {place}/rich --checkpoint {place}/c1 --once")
+    rich = changelog.rows(spark, f"{place}/rich")
+    assert rich.count() == events.count()
+    assert [tuple(r) for r in rich.select("dimension_snapshot").distinct().collect()] == [(3,)]
+
+    source = f"--messages {place}/messages --once"
+    run(f"set-aside {source} --out {place}/rejected --checkpoint {place}/c2")
+    assert files.read_parquet(spark, f"{place}/rejected").count() == 0
+    run(f"ingest {source} --lake {place}/lake --by-day --checkpoint {place}/c3")
+    run(f"gather-lake --lake {place}/lake --place {place}/gathered --by-day")
+    assert lake.read(spark, f"{place}/lake", f"{place}/gathered").count() == events.count()
+
+
 def test_reports(spark, place):
     run(
         f"insights --transactions {place}/transactions --accounts {place}/accounts"
