@@ -92,3 +92,48 @@ def test_what_repeats_inside_articles_goes(spark):
         rows += [(k, f"http://a.example/{k}", page)] * (6 if k == 3 else 1)
     got = text_of(spark, rows)
     assert got == {k: f"Title {k} Story {k} of today It went on {k * k}" for k in range(12)}
+
+
+def site(pages, marked):
+    """Cells, answers and items of few values, beside what all pages of the site show."""
+    words = ("yes", "no", "maybe")
+    rows = []
+    for k in range(pages):
+        cells = "".join(f"<td>{words[(k * 7 + c * (k % 5)) % 3]}</td>" for c in range(6))
+        items = "".join(f"<li>{words[(k + c) % 3]}</li>" for c in range(k % 4))
+        told = (
+            f"<h1>Question {k}</h1><p>Answer: {words[k % 3]}</p><table><tr>{cells}</tr></table>"
+            f"<ul>{items}</ul><p class='verdict'>{words[k * k % 3]}</p>"
+        )
+        own = f"<article>{told}</article>" if marked else f"<div class='c{'x' if marked else 'y'}'>{told}</div>"
+        rows.append((k, f"http://s{pages}.example/{k}", f"<body>{own}</body>"))
+    return rows
+
+
+def test_few_values_stay_at_any_size_of_the_site(spark):
+    for marked in (True, False):
+        for pages in (3, 5, 50, 500):
+            rows = site(pages, marked)
+            got = text_of(spark, rows)
+            assert got == {k: " ".join(b.text for b in blocks(html)) for k, _, html in rows}, (marked, pages)
+
+
+def test_what_all_pages_show_goes_at_any_size_of_the_site(spark):
+    """Menus and footers without names or marks, some of them left out on a page here and there."""
+    for pages in (8, 60, 300):
+        rows, want = [], {}
+        for k, url, html in site(pages, False):
+            menu = "<div class='m'><span>Home</span><div>News</div><div>Sports</div><div>Contact</div></div>"
+            foot = "" if k % 50 == 49 else "<div class='f'>All rights are ours</div>"
+            rows.append((k, url, html.replace("<body>", f"<body>{menu}").replace("</body>", f"{foot}</body>")))
+            want[k] = " ".join(b.text for b in blocks(html))
+        assert text_of(spark, rows) == want
+
+
+def test_what_a_minority_shows_instead_stays(spark):
+    rows = []
+    for k in range(100):
+        note = "Told by our staff" if k % 40 else f"Told by guest {k}"
+        rows.append((k, f"http://a.example/{k}", f"<body><p>Story {k} here</p><div class='by'>{note}</div></body>"))
+    got = text_of(spark, rows)
+    assert got == {k: f"Story {k} here" + ("" if k % 40 else f" Told by guest {k}") for k in range(100)}
