@@ -141,7 +141,9 @@ def _in_order(hashes: np.ndarray, common: Broadcast) -> np.ndarray:
 
 def _postings(texts: Texts, rule: Likeness) -> DataFrame:
     """The part of the incidence matrix that can tell like sets: rank (of the shingle), shared (which
-    part of the set's leading shingles is in other sets too), cls, n (size of the set) and sketch_0, ...
+    part of the set's leading shingles is in other sets too), cls, n (size of the set), alone (how many
+    of its leading shingles no other set leads with), behind and last (where in the common order its
+    leading shingles end) and sketch_0, ...
 
     Like sets share one of their `rule.first` shingles in any common order. Shingles that many sets
     have first by hash go behind, and those that only one set has are left out; both are told by
@@ -172,24 +174,34 @@ def _postings(texts: Texts, rule: Likeness) -> DataFrame:
         same = lambda value, kind: np.full(len(ranks), value, kind)
         sketch = _sketch(hashes) if len(ranks) else [0] * SKETCH
         sizes = same(len(hashes), np.int32)
+        alone = same(len(front) - len(ranks), np.int32)
+        behind = same(bool(in_bitmap(common.value, front[-1:])[0]), bool)
+        last = same((front[-1:] ^ np.uint64(1 << 63)).view(np.int64)[0], np.int64)  # signed, in order
         sketches = [same(s, np.int64) for s in sketch]
-        return ranks.view(np.int64), part, same(cls, np.int64), sizes, *sketches
+        return ranks.view(np.int64), part, same(cls, np.int64), sizes, alone, behind, last, *sketches
 
     sketch = ", ".join(f"sketch_{k} long" for k in range(SKETCH))
-    return _flat(texts, rule, f"rank long, shared float, cls long, n int, {sketch}", posting)
+    return _flat(texts, rule, f"rank long, shared float, cls long, n int, alone int, behind boolean, last long, {sketch}", posting)
 
 
 def _may_link(rule: Likeness, x: str, y: str) -> Column:
-    """Whether the sizes and sketches of two sets leave room for a link."""
+    """Whether the sizes, sketches and leading shingles of two sets leave room for a link.
+
+    What the set whose leading shingles end first has alone among these, the other one lacks: it
+    would be one of its leading shingles too.
+    """
     col = lambda side, name: F.col(f"{side}.{name}")
     n, m = col(x, "n"), col(y, "n")
     differ = sum(
         (F.bit_count(col(x, f"sketch_{k}").bitwiseXOR(col(y, f"sketch_{k}"))) for k in range(SKETCH)),
         F.lit(0),
     )
+    end = lambda side: F.struct(col(side, "behind"), col(side, "last"))
+    most = F.when(end(x) <= end(y), n - col(x, "alone")).otherwise(m - col(y, "alone"))
     return (
         (n * rule.den >= m * rule.num)
         & (m * rule.den >= n * rule.num)
+        & (most >= rule.overlap(n + m))
         & (differ <= n + m - 2 * rule.overlap(n + m))
     )
 
