@@ -1,3 +1,5 @@
+import random
+
 import __spark_entry__
 import corpus_pipeline
 from ledgerlake.llm import queries
@@ -32,6 +34,18 @@ def test_odd_rows(spark, odd_docs, no_docs):
         assert docs.count() >= least
 
 
+def test_very_long_texts(spark):
+    """Megabytes in one row, beside small ones: nothing is lost but what the stages are to take."""
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(100_000)}" for _ in range(400_000)]
+    rows = [(1, " ".join(words)), (2, "short and alone"), (3, " ".join(words[::-1])), (4, None), (5, "")]
+    docs = spark.createDataFrame([(k, t, "en", "x", len(t or "")) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, SF), "test-long")
+    found = {r.doc_id: r.text for r in docs.collect()}
+    assert found == dict(rows)
+
+
 def test_of_copies_with_equal_or_no_ids_one_keeps_its_text(spark):
     told = {k: " ".join(f"{k}{j * j % 97} word{j}" for j in range(80)) for k in "abcd"}
     rows = [(1, told["a"])] * 3 + [(None, told["b"])] * 3 + [(2, told["c"]), (None, told["c"] + " end")]
@@ -45,6 +59,6 @@ def test_of_copies_with_equal_or_no_ids_one_keeps_its_text(spark):
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in queries.queries()} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.queries()} == {f"op{k}" for k in range(1, 14)}
     assert set(queries.queries()) | {"pipeline"} <= set(names)
     assert set(queries.oracle_sql()) <= set(queries.queries())
