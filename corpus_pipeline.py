@@ -11,39 +11,59 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import bpe, decontamination, jaccard, suffix_dedup, toxicity
-from ledgerlake.llm.bitmaps import without
 from ledgerlake.llm.tables import stored, table
+from ledgerlake.operators.lookups import BROADCAST_LIMIT, measured_bytes
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Documents of this score and more are rejected.
 TOXIC = 0.7
+#: Rows that a Python worker gets at a time.
+BATCH_ROWS = 2_000
+
+
+def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The rows with a number of their own, so that Python needs to hand back only numbers.
+
+    Whole rows stay in the JVM, and Python gets few rows at a time.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
+
+
+def _without(rows: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows whose number is not among the rejected ones, which are broadcast if they are few."""
+    rejected = stored(rejected.select("_row"), "pipeline-rejected")
+    if measured_bytes(rejected) <= BROADCAST_LIMIT:
+        rejected = F.broadcast(rejected)
+    return rows.join(rejected, "_row", "left_anti").select(*COLUMNS)
 
 
 def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the tagger, learned from the labelled ones among them, does not reject."""
-    tagger = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score_documents(docs, tagger, carry=COLUMNS)
-    return scored.where(F.col("score") < TOXIC).select("row.*")
+    rows = _numbered(spark, docs)
+    tagger = toxicity.learn(rows, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(rows, tagger, doc_id="_row")
+    return _without(rows, scored.where(F.col("score") >= TOXIC))
 
 
 def apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document of smallest id, of equal or no ids the first row."""
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
+    rows = _numbered(spark, docs)
     found = jaccard.near_duplicates(rows, doc_id="_row").select("_row", "component_id")
     found = stored(found.join(rows.select("_row", "doc_id"), "_row"), "pipeline-components")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
     kept = found.groupBy("component_id").agg(first.alias("first")).select(F.col("first._row").alias("_row"))
-    copies = stored(found.select("_row").join(kept, "_row", "left_anti"), "pipeline-copies")
-    return without(rows, copies, "_row").select(*COLUMNS)
+    return _without(rows, found.select("_row").join(kept, "_row", "left_anti"))
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages of 200 bytes and more that occur again among them."""
-    found = suffix_dedup.remove_repeats(docs, carry=COLUMNS, as_text=True)
-    text = F.when(F.col("row.text").isNotNull(), F.col("kept"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    docs = docs.withColumn("_has_text", F.col("text").isNotNull())
+    found = suffix_dedup.remove_repeats(docs, carry=("lang", "source", "n_chars", "_has_text"), as_text=True)
     return found.select(
-        "row.doc_id",
-        text.alias("text"),
+        "doc_id",
+        F.when(F.col("row._has_text"), F.col("kept")).alias("text"),
         "row.lang",
         "row.source",
         F.when(F.size("spans") > 0, F.length("kept").cast("long")).otherwise(F.col("row.n_chars")).alias("n_chars"),
@@ -52,13 +72,14 @@ def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words is in benchmark items."""
-    items = table(spark, sf_dir, "benchmark")
-    found = decontamination.decontaminate(docs, items, carry=COLUMNS)
-    return found.where(~F.col("contaminated")).select("row.*")
+    rows = _numbered(spark, docs)
+    found = decontamination.decontaminate(rows, table(spark, sf_dir, "benchmark"), doc_id="_row")
+    return _without(rows, found.where("contaminated"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and ids: the whole texts as tokens."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
     return bpe.encode(docs, vocabulary).select("doc_id", F.size("ids").alias("n_tokens"), "ids")
 
