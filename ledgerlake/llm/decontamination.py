@@ -21,8 +21,11 @@ _FOLD = bytes(
 )
 #: Bytes of a text that are split into words at once.
 PIECE = 1 << 20
-#: Bytes of benchmark text in one automaton, which each task holds.
-BLOCK_BYTES = 8 << 20
+#: Bytes of benchmark text in one automaton, which each task holds: some 330 MB of memory.
+BLOCK_BYTES = 2 << 20
+#: Windows of an item that are looked for together; a longer item is cut, at no loss of a window.
+ITEM_WINDOWS = 20_000
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _COLUMNS = ("key", "text", "n_words", "spans", "item_ids")
 
@@ -91,6 +94,21 @@ def _scan(df: DataFrame, automaton) -> DataFrame:
     return df.mapInArrow(run, df.schema)
 
 
+def _pieces(items: DataFrame, window: int) -> DataFrame:
+    """id and text of items, long ones as pieces of which each begins with other windows."""
+    folded = F.translate("text", _UPPER, _LOWER)
+    found = F.regexp_extract_all(folded, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0))
+    n = F.size("words")
+    starts = F.sequence(F.lit(0), F.greatest(n - window, F.lit(0)), F.lit(ITEM_WINDOWS))
+    piece = F.slice("words", F.col("start") + 1, ITEM_WINDOWS + window - 1)
+    return (
+        items.select("id", found.alias("words"))
+        .where(n > 0)
+        .select("id", "words", F.explode(starts).alias("start"))
+        .select("id", F.array_join(piece, " ").alias("text"))
+    )
+
+
 def decontaminate(
     docs: DataFrame,
     items: DataFrame,
@@ -119,14 +137,16 @@ def decontaminate(
     named in `carry`, which come along in a struct named row.
 
     Documents stream through the tasks and are not shuffled. An automaton is built from at most
-    `block_bytes` of item text (measured first, or one item), so what is broadcast is bounded; more
-    items make more automatons, which the documents meet one after the other.
+    `block_bytes` of item text (measured first; long items are cut into pieces that overlap by less
+    than a window), so what is broadcast is bounded; more items make more automatons, which the
+    documents meet one after the other.
     """
     spark = docs.sparkSession
     items = items.select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("id"),
         F.col(item_text).alias("text"),
-    ).where(F.length("text") > 0)
+    )
+    items = _pieces(items, window)
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // block_bytes) or 1
     found = docs.select(

@@ -50,6 +50,20 @@ def test_equals_plain_search(spark):
         assert got == plain(docs, items, window)
 
 
+def test_long_items_are_cut_without_losing_windows(spark, monkeypatch):
+    """Pieces of few windows, many automatons, and items just as long as a piece or a window."""
+    docs, items = sample(7)
+    items += [(f"n{n}", " ".join(f"q{k}" for k in range(n))) for n in (4, 5, 6, 7, 8, 9, 10, 23)]
+    docs += [(200, items[-1][1]), (201, "x " + " ".join(f"q{k}" for k in range(9, 16)) + " y")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    for windows, block in ((1, 1 << 20), (3, 1 << 20), (3, 200)):
+        monkeypatch.setattr(decontamination, "ITEM_WINDOWS", windows)
+        rows = decontamination.decontaminate(df, bench, window=5, block_bytes=block).collect()
+        got = {r.doc_id: (r.n_words, r.n_hit, r.item_ids, r.contaminated) for r in rows}
+        assert got == plain(docs, items, 5)
+
+
 def test_automaton_knows_all_substrings():
     rng = random.Random(4)
     lists = [[bytes([rng.choice(b"abc")]) for _ in range(rng.randrange(1, 20))] for _ in range(10)]
