@@ -21,7 +21,7 @@ _FOLD = bytes(
 )
 #: Bytes of a text that are split into words at once.
 PIECE = 1 << 20
-#: Bytes of benchmark text in one automaton, which each task holds: some 330 MB of memory.
+#: Bytes of benchmark text in one automaton, which each task holds: 220 MB of memory and more.
 BLOCK_BYTES = 2 << 20
 #: Windows of an item that are looked for together; a longer item is cut, at no loss of a window.
 ITEM_WINDOWS = 20_000
