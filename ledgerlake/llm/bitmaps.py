@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,25 +47,3 @@ def in_bitmap(bitmap: np.ndarray, values: np.ndarray, probes: int = 1) -> np.nda
         bits = bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)
         out &= (bits & 1).astype(bool)
     return out
-
-
-def without(df: DataFrame, others: DataFrame, column: str) -> DataFrame:
-    """The rows of `df` whose `column` is in no row of `others`; rows without a value stay.
-
-    Only rows that the bitmap of the others' values lets through are shuffled and compared.
-    """
-    hashed = "_hashed"
-    sc = df.sparkSession.sparkContext
-    bitmap = sc.broadcast(collect_bitmap(others.select(F.xxhash64(column).alias(hashed)), hashed))
-    rows = df.withColumn(hashed, F.xxhash64(column))
-
-    def split(wanted: bool):
-        def run(batches):
-            for batch in batches:
-                values = batch.column(hashed).to_numpy(zero_copy_only=False).view(np.uint64)
-                yield batch.filter(pa.array(in_bitmap(bitmap.value, values) == wanted))
-
-        return rows.mapInArrow(run, rows.schema).drop(hashed)
-
-    compared = split(True).join(others.select(column), column, "left_anti").select(*df.columns)
-    return split(False).unionByName(compared)
