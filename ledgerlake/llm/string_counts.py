@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 TOKENS = 1 << 22
 #: Strings for which there is a slice of the hash space.
 SLICE = 1 << 21
+#: Slices that a task sends at once.
+AT_ONCE = 4
 #: Bits that tell which strings repeat: as many as there are tokens, at most 2 ** 30 (128 MB).
 FEWEST, MOST = 20, 30
 
@@ -43,6 +45,13 @@ def slice_bits(tokens: int) -> int:
     return max(0, (tokens // SLICE).bit_length())
 
 
+def in_order(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the values in ascending order, and where a new value begins among these."""
+    order = np.argsort(values)
+    values = values[order]
+    return order, np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+
+
 def _edges(sorted_values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The slices that some values lie in, and the bounds of each among the values."""
     part = (sorted_values >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(sorted_values), np.int64)
@@ -60,6 +69,10 @@ def _unpacked(column: pa.ChunkedArray, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(v.as_buffer() for v in column), kind)
 
 
+def _few_at_once(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(at, AT_ONCE) for at in range(0, batch.num_rows, AT_ONCE))
+
+
 def _gathered(found: Iterator, tokens: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Some groups taken together, until they have so many strings."""
     held, size = [], 0
@@ -92,10 +105,8 @@ def repeated(texts: DataFrame, strings: Strings, tokens: int) -> Repeated:
             part, edges = _edges(whole, low)
             inside = ((whole << np.uint64(low)) >> np.uint64(32)).astype(np.uint32)
             twice = np.append(0, np.cumsum(again))[edges]
-            yield pa.record_batch(
-                [pa.array(part), _packed(inside, edges), _packed(inside[again], twice)],
-                names=["slice", "seen", "twice"],
-            )
+            columns = [pa.array(part), _packed(inside, edges), _packed(inside[again], twice)]
+            yield from _few_at_once(pa.record_batch(columns, names=["slice", "seen", "twice"]))
 
     def meet(rows: pa.Table) -> pa.Table:
         seen = np.sort(_unpacked(rows["seen"], np.uint32))
@@ -120,20 +131,16 @@ def counts(texts: DataFrame, strings: Strings, tokens: int, whole_of: Callable,
 
     def added(whole, front, back, n):
         """Each string once, by ascending hash, with its number."""
-        order = np.argsort(whole)
-        whole = whole[order]
-        first = np.flatnonzero(np.append(True, whole[1:] != whole[:-1]))
+        order, first = in_order(whole)
         to = order[first]
-        return whole[first], front[to], back[to], np.add.reduceat(n[order], first)
+        return whole[to], front[to], back[to], np.add.reduceat(n[order], first)
 
     def send(batches):
         for front, back, whole in _gathered(strings(batches), TOKENS):
             whole, front, back, n = added(whole, front, back, np.ones(len(whole), np.int64))
             part, edges = _edges(whole, low)
-            yield pa.record_batch(
-                [pa.array(part), _packed(front, edges), _packed(back, edges), _packed(n.astype(np.uint32), edges)],
-                names=["slice", "front", "back", "n"],
-            )
+            columns = [_packed(v, edges) for v in (front, back, n.astype(np.uint32))]
+            yield from _few_at_once(pa.record_batch([pa.array(part), *columns], names=["slice", "front", "back", "n"]))
 
     def meet(rows: pa.Table) -> pa.Table:
         front, back = _unpacked(rows["front"], np.uint64), _unpacked(rows["back"], np.uint64)
