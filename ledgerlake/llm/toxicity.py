@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from ledgerlake.llm.tables import carried
 
-#: Labelled rows of each class that the tagger learns from, at most about so many, chosen by a hash
+#: Labelled rows of each class that the tagger learns from, at most so many, those of smallest hash
 #: of their ids, and the longest text among them in bytes. Scoring covers all rows and whole texts.
 TOXIC_ROWS, CLEAN_ROWS, LONGEST = 1_200, 4_000, 1 << 15
 #: Weights of the features, which are hashed.
@@ -110,8 +110,8 @@ def document_evidence(marginals: np.ndarray) -> tuple[float, float]:
     return np.log(top / (1 - top)), max(-8.0, float(np.log(marginals.sum() + 1e-9)))
 
 
-def _documents_apart(texts: Iterable[bytes], rows: int = 4) -> list[int]:
-    """Positions of texts of which no earlier one has the same smallest hashes of word pairs."""
+def _documents_apart(texts: Iterable[bytes]) -> list[int]:
+    """Positions of texts of which no earlier one has the same smallest hash of word pairs."""
     seen, kept = set(), []
     for k, text in enumerate(texts):
         words = tokens(text)
@@ -406,29 +406,36 @@ def learn(
 ) -> SpanTagger:
     """A tagger from labelled rows that are not held out.
 
-    It learns from about `toxic_rows` and `clean_rows` of them at most, texts of up to `longest`
-    bytes, chosen by a hash of their ids: what reaches the driver is bounded. An id with several
-    labels counts as toxic if one says so; null labels are left out.
+    It learns from `toxic_rows` and `clean_rows` of them at most, texts of up to `longest` bytes,
+    those of smallest hash of their ids: what reaches the driver has at most toxic_rows + clean_rows
+    rows of `longest` bytes, and is the same when the job runs again. An id with several labels counts
+    as toxic if one says so; null labels are left out; of an id with several texts the one of
+    smallest hash is taken. Of texts that share their smallest hash of word pairs, as copies do, the
+    first is learned from.
     """
     known = (
         labels.select(F.col(doc_id).alias("key"), F.col(label).cast("int").alias("toxic"))
-        .where(F.col("toxic").isNotNull() & ~held_out(F.col("key")))
+        .where(F.col("key").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("key")))
         .groupBy("key")
         .agg(F.max("toxic").alias("toxic"))
+        .withColumn("toxic", (F.col("toxic") == 1).cast("int"))
     )
-    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    share = {k: rows / max(1, counts.get(k, 0)) for k, rows in ((1, toxic_rows), (0, clean_rows))}
-    place = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / (1 << 30)
-    wanted = F.when(F.col("toxic") == 1, F.lit(share[1])).otherwise(F.lit(share[0]))
-    chosen = known.where(place < wanted).limit(2 * (toxic_rows + clean_rows))
+    first = [F.xxhash64("key"), F.col("key")]
+    some = {
+        toxic: known.where(F.col("toxic") == toxic).orderBy(*first).limit(rows)
+        for toxic, rows in ((1, toxic_rows), (0, clean_rows))
+    }
     rows = (
         docs.select(F.col(doc_id).alias("key"), F.col(text).cast("string").alias("text"))
         .where(F.octet_length("text").between(1, longest))
-        .join(F.broadcast(chosen), "key")
-        .orderBy("key", "text")
+        .join(F.broadcast(some[1].unionByName(some[0])), "key")
+        .groupBy("key", "toxic")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
+        .select("key", "toxic", "first.text")
+        .orderBy("key")
     )
     texts, toxic = [], []
     for row in rows.collect():
         texts.append(row["text"].encode())
-        toxic.append(int(row["toxic"] == 1))
+        toxic.append(row["toxic"])
     return fit(texts, toxic)
