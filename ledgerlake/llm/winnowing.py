@@ -7,9 +7,10 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Tokens: what stands between white space, cut into pieces of at most so many characters, so that
-#: texts without white space have tokens too.
-PIECE = 8
+#: Tokens: what stands between white space, if it has at most so many characters. Of longer runs, as in
+#: texts without white space, each character is one, so grams are found again wherever a run begins.
+LONGEST_WORD = 24
+_TOKEN = rf"(?<!\S)\S{{1,{LONGEST_WORD}}}+(?!\S)|\S"
 #: Tokens of a gram, and grams of a window. Runs of GRAM + WINDOW - 1 equal tokens share a fingerprint.
 GRAM, WINDOW = 3, 4
 #: Bits of a fingerprint that hold its place; the others hold its hash.
@@ -33,7 +34,7 @@ def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
     `gram` tokens has one gram of all of them, one of fewer grams than a window one window; null and
     empty texts and those of white space have no fingerprint. (Places begin anew after 2 ** 22.)
     """
-    tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(rf"\S{{1,{PIECE}}}"), F.lit(0))
+    tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(_TOKEN), F.lit(0))
 
     def grams(t: Column) -> Column:
         def at(i: Column) -> Column:

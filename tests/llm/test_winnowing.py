@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,6 +36,28 @@ def test_runs_of_equal_tokens_share_a_fingerprint(spark):
     assert a & b
 
 
+@pytest.mark.parametrize("before", ["", "一", "一二三四五", "x" * 31, "ein Satz "])
+def test_text_without_white_space_is_found_at_any_offset(spark, before):
+    rng = random.Random(7)
+    run = "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(400))
+    other = "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(400))
+    rows = [(1, run), (2, before + run), (3, other)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    a, b, c = (
+        {p["hash"] for p in r.fingerprint} for r in winnowing.fingerprints(df).orderBy("doc_id").collect()
+    )
+    # All windows within the run are the same; a few at its start may differ.
+    assert len(a) > 100 and len(a & b) >= len(a) - winnowing.WINDOW and not a & c
+
+
+def test_tokens(spark):
+    word, run = "w" * winnowing.LONGEST_WORD, "r" * winnowing.LONGEST_WORD + "s"
+    cases = {"a bc\td\n": 3, word: 1, f"{word} {word}": 2, run: len(run), f"a {run} b": len(run) + 2, " ": 0, "": 0}
+    df = spark.createDataFrame([(t,) for t in cases], "text string")
+    n = F.size(F.regexp_extract_all("text", F.lit(winnowing._TOKEN), F.lit(0)))
+    assert {r[0]: r[1] for r in df.select("text", n).collect()} == cases
+
+
 @pytest.mark.parametrize("partitions", ["1", "8"])
 def test_next_row_in_descending_order(spark, odd_docs, texts, partitions):
     before = spark.conf.get("spark.sql.shuffle.partitions")
@@ -71,6 +94,12 @@ def test_query(spark, texts):
         assert got[doc].n_chars == len(text)
         assert got[doc].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert 0 <= got[doc].near_next <= 1 and 0 <= got[doc].near_edited <= 1
+        own, changed, following = ({int(v, 16) >> winnowing.PLACE_BITS for v in f.split()} for f in (
+            got[doc].fingerprint, got[doc].edited_fingerprint, got[ids[(k + 1) % len(ids)]].fingerprint
+        ))
+        like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+        assert got[doc].near_edited == pytest.approx(like(own, changed))
+        assert got[doc].near_next == pytest.approx(like(own, following))
     same: dict = {}
     for doc in ids:
         assert same.setdefault(texts[doc], got[doc].fingerprint) == got[doc].fingerprint
