@@ -261,6 +261,7 @@ def _watched(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
             jobs.AVAILABLE_NOW,
             jobs.KEEP_ALL,
             changelog.batch_writer(f"{place}/alerts"),
+            jobs.RESTARTED_STATE | jobs.UNCOUNTED,
         ),
     )
     return changelog.latest(spark, f"{place}/{table}", (*fraud.DAILY_KEYS, fraud.KEY))
@@ -336,6 +337,7 @@ def _watch_bounded(spark: SparkSession, sf_dir: str) -> str:
             f"{place}/checkpoint",
             jobs.AVAILABLE_NOW,
             DAYS_LATENESS,
+            state=jobs.RESTARTED_STATE | jobs.UNCOUNTED,
         ),
     )
     return place

@@ -129,6 +129,27 @@ def test_lateness_bounds_the_state_of_days(spark, tmp_path, events):
     assert few < everything / 4
 
 
+def test_a_restarted_job_need_not_apply_all_changes_again(spark, tmp_path, events):
+    """A start takes a snapshot of the state, whatever came before; a job that goes on logs its changes."""
+
+    def kept(name, trigger):
+        query = jobs.watch_fraud(
+            files.message_stream(spark, str(tmp_path / "in")),
+            changelog.batch_writer(str(tmp_path / name)),
+            str(tmp_path / f"{name}-checkpoint"),
+            trigger,
+            "2 days",
+        )
+        query.awaitTermination() if trigger == jobs.AVAILABLE_NOW else jobs.drain(query)
+        return [file.suffix for file in (tmp_path / f"{name}-checkpoint" / "state").rglob("*")]
+
+    for part in (events.where("amount < 50"), events.where("amount >= 50")):
+        to_messages(part).write.mode("append").parquet(str(tmp_path / "in"))
+        ended = kept("ended", jobs.AVAILABLE_NOW)
+        assert ".zip" in ended and ".changelog" not in ended
+    assert ".changelog" in kept("running", None)
+
+
 def test_late_rows(spark, tmp_path):
     """Late rows are judged by the end of their hour and the watermark of the batch before."""
     arrivals = [["12:00"], ["12:05", "10:05"], ["10:10", "11:40", "12:50"], ["13:00"]]
