@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import account_key, total
@@ -45,16 +45,25 @@ def repeat_by_account(
 
     Only the account ids that occur more than once are joined; without any, nothing is.
     """
-    known = cust_accounts.where("account_id is not null").groupBy("account_id")
+    key = account_key(F.col("sender_account_id"))
+    return repeat_by_key(transactions, key, cust_accounts, "account_id", salt_buckets)
+
+
+def repeat_by_key(
+    facts: DataFrame,
+    fact_key: Column,
+    dimension: DataFrame,
+    dimension_key: str,
+    salt_buckets: int = SALT_BUCKETS,
+) -> DataFrame:
+    """Every fact as often as a left join with the dimension would give it, without its columns."""
+    known = dimension.where(F.col(dimension_key).isNotNull()).groupBy(dimension_key)
     repeated = known.agg(F.count("*").alias("copies")).where("copies > 1")
     if repeated.isEmpty():
-        return transactions
-    key = account_key(F.col("sender_account_id"))
-    joined = left_lookup(
-        transactions, repeated, key, "account_id", salt_buckets=salt_buckets
-    )
+        return facts
+    joined = left_lookup(facts, repeated, fact_key, dimension_key, salt_buckets=salt_buckets)
     copies = F.sequence(F.lit(1), F.coalesce("copies", F.lit(1)).cast("int"))
-    return joined.withColumn("copies", F.explode(copies)).drop("copies", "account_id")
+    return joined.withColumn("copies", F.explode(copies)).drop("copies", dimension_key)
 
 
 def sender_totals(transactions: DataFrame, cust_accounts: DataFrame, *attributes: str) -> DataFrame:

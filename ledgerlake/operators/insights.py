@@ -85,9 +85,22 @@ def segmentation(
     return pivot(totals, F.col("customer_segment"), "occupation", average, occupations)
 
 
-def geo_product(counted: DataFrame, products: Sequence[str] | None = None) -> DataFrame:
-    """Amount per location, one column per product."""
-    return pivot(counted, F.col("location"), "product_name", total(counted, "amount"), products)
+def place_amounts(counted: DataFrame) -> DataFrame:
+    """Amount per location and product, one row each."""
+    return counted.groupBy("location", "product_name").agg(total(counted, "amount").alias("amount"))
+
+
+def geo_product(
+    counted: DataFrame, products: Sequence[str] | None = None, amounts: DataFrame | None = None
+) -> DataFrame:
+    """Amount per location, one column per product.
+
+    `amounts`: `place_amounts`, where they are kept, so that looking up the products reads only them.
+    """
+    if amounts is None:
+        return pivot(counted, F.col("location"), "product_name", total(counted, "amount"), products)
+    amount = F.sum("amount").cast(sum_type(counted, "amount"))
+    return pivot(amounts, F.col("location"), "product_name", amount, products)
 
 
 def hourly_activity(transactions: DataFrame, lateness: str | None = HOURLY_LATENESS) -> DataFrame:

@@ -146,7 +146,7 @@ def _stored(table: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         place = new_place(spark, "insights")
         insight_job.run_insights(
-            tables.transactions(spark, sf_dir),
+            partial(tables.whole_transactions, spark, sf_dir),
             tables.accounts(spark, sf_dir),
             tables.customers(spark, sf_dir),
             lambda report, name: overwrite_parquet(report, f"{place}/{name}"),

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import money
+from ledgerlake.operators.enrichment import repeat_by_key
 from ledgerlake.schemas import (
     ACCOUNT_COLUMNS,
     CUSTOMER_COLUMNS,
@@ -27,6 +28,10 @@ OCCUPATIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST", "null"]
 PRODUCTS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
+# The keys by which transactions look up their sender, product and location.
+LOOKUP_KEYS = ("l_orderkey", "l_partkey", "l_suppkey")
+
+
 def _path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
@@ -133,7 +138,31 @@ def transactions(
         "product_amount": lambda: money(F.col("l_quantity")),
         "transaction_message": lambda: F.lit(None).cast("string"),
     }
-    return rows.select(*[stored[name]().alias(name) for name in columns])
+    keys = {name: lambda name=name: F.col(name) for name in LOOKUP_KEYS}
+    return rows.select(*[(stored | keys)[name]().alias(name) for name in columns])
+
+
+def whole_transactions(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The wanted columns of the transactions with all columns, row for row.
+
+    A key that occurs twice in a table that is looked up repeats the rows of its transactions, also
+    where nothing of that table is wanted; then only such keys are joined, and usually there are none.
+    """
+    rows = transactions(spark, sf_dir, columns + LOOKUP_KEYS)
+    suppliers, nations = _table(spark, sf_dir, "supplier"), _table(spark, sf_dir, "nation")
+    lookups = {
+        "sender_account_id": (_table(spark, sf_dir, "orders"), "o_orderkey", "l_orderkey"),
+        "product_name": (_table(spark, sf_dir, "part"), "p_partkey", "l_partkey"),
+        "location": (
+            suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left"),
+            "s_suppkey",
+            "l_suppkey",
+        ),
+    }
+    for column, (table, table_key, row_key) in lookups.items():
+        if column not in columns:
+            rows = repeat_by_key(rows, F.col(row_key), table, table_key)
+    return rows.select(*columns)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

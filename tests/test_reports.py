@@ -214,6 +214,63 @@ def test_insight_job(spark, accounts, customers, tmp_path):
     }
 
 
+def test_insight_job_asks_for_the_columns_of_each_report(spark, accounts, customers):
+    rows = transactions(spark, ("10", "1.00", "a", 1, "x", "p"), ("20", "2.00", "b", 2, "y", "q"))
+    asked, written = [], {}
+
+    def wanted(*columns):
+        asked.append(set(columns))
+        return rows.select(*columns)
+
+    def write(df, name):
+        written[name] = df.collect()
+
+    run_insights(wanted, accounts, customers, write)
+    assert asked == [
+        {"timestamp", "transaction_type", "amount"},
+        {"location", "product_name", "amount"},
+        {"sender_account_id", "amount"},
+    ]
+    by_place = {row["location"]: (row["p"], row["q"]) for row in written["insight_geo_product"]}
+    assert by_place == {"x": (Decimal("1.00"), None), "y": (None, Decimal("2.00"))}
+
+
+@pytest.mark.parametrize("twice", [False, True])
+def test_transactions_of_some_columns_are_those_of_all(spark, tmp_path, twice):
+    """Keys that occur twice repeat rows also where their table is not wanted; else it is not joined."""
+    given = {
+        "lineitem": (
+            "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double,"
+            " l_tax double, l_quantity double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+            [
+                (order, 1, part, place, 5.0, 0.1, 1.0, "A", "F", datetime(2024, 1, 1))
+                for order, part, place in [(1, 1, 1), (2, 1, 2), (3, 2, None), (None, 9, 1), (9, None, 9)]
+            ],
+        ),
+        "orders": ("o_orderkey long, o_custkey long", [(1, 7), (2, 8), (3, 9), (None, 6)]),
+        "part": ("p_partkey long, p_type string", [(1, "SMALL"), (2, None)]),
+        "supplier": ("s_suppkey long, s_nationkey long", [(1, 1), (2, 2)]),
+        "nation": ("n_nationkey long, n_name string", [(1, "x"), (2, "y")]),
+    }
+    for name, (schema, rows) in given.items():
+        again = [(*rows[0][:1], *rows[1][1:]), rows[0], rows[-1]] if twice and name != "lineitem" else []
+        spark.createDataFrame([*rows, *again], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    full = tables.transactions(spark, str(tmp_path))
+    for columns in (
+        ("timestamp", "transaction_type", "amount"),
+        ("location", "product_name", "amount"),
+        ("sender_account_id", "amount"),
+        ("transaction_id",),
+        tuple(full.columns),
+    ):
+        found = tables.whole_transactions(spark, str(tmp_path), *columns)
+        assert found.columns == list(columns)
+        count = lambda df: sorted(map(repr, df.collect()))
+        assert count(found) == count(full.select(*columns))
+    plain = tables.whole_transactions(spark, str(tmp_path), "timestamp", "amount")
+    assert ("Join" in plan(plain)) == twice
+
+
 def test_plans_on_the_given_tables(spark):
     sf_dir = "/root/testdata/sf0.01"
     top = plan(queries.top_customers(spark, sf_dir))
