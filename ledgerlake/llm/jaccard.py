@@ -22,6 +22,8 @@ from ledgerlake.llm.words import ODD, groups, mixed
 COMMON = 64
 #: Longs of the parity sketch that each set takes along.
 SKETCH = 4
+#: Longs of the parity sketch of the classes that meet all others at last.
+WIDE = 16
 #: How often classes that are in different components meet one other, before all meet.
 TURNS = 2
 #: Bits that are looked at to tell the rows that stand for their class.
@@ -75,9 +77,9 @@ def _shingles(words: np.ndarray, width: int) -> np.ndarray:
     return mixed(total + np.uint64(width))
 
 
-def _sketch(hashes: np.ndarray) -> np.ndarray:
+def _sketch(hashes: np.ndarray, longs: int = SKETCH) -> np.ndarray:
     """A bit for each of many classes of hashes: whether the set has an odd number of them."""
-    bits = np.bincount((hashes >> np.uint64(40)) & np.uint64(64 * SKETCH - 1), minlength=64 * SKETCH)
+    bits = np.bincount((hashes >> np.uint64(40)) & np.uint64(64 * longs - 1), minlength=64 * longs)
     return np.packbits((bits & 1).astype(np.uint8)).view(np.int64)
 
 
@@ -207,7 +209,7 @@ def _may_link(rule: Likeness, x: str, y: str) -> Column:
 
 
 def _met(
-    rows: DataFrame, others: DataFrame, on: list[str], rule: Likeness, also: Column
+    rows: DataFrame, others: DataFrame, on: list[str], rule: Likeness, also: Column, may=_may_link
 ) -> DataFrame:
     """a, b, both, least: pairs of classes that share leading shingles, how many, and how many like
     sets of their sizes share at least: of two sets, what one has behind its leading shingles is all
@@ -217,7 +219,7 @@ def _met(
     return (
         rows.alias("x")
         .join(others.alias("y"), on)
-        .where(also & _may_link(rule, "x", "y"))
+        .where(also & may(rule, "x", "y"))
         .groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
         .agg(F.count("rank").alias("both"), F.first(rule.overlap(n + m) - behind).alias("least"))
     )
@@ -260,10 +262,9 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(known.unionByName(alone), "jaccard-labels")
 
 
-def _linked(pairs: DataFrame, texts: Texts, rule: Likeness) -> DataFrame:
-    """The pairs (a, b: classes) whose sets are like, by their whole overlap."""
+def _whole_sets(wanted: DataFrame, texts: Texts, rule: Likeness) -> DataFrame:
+    """cls and hashes (the whole set) of the wanted classes (cls); of others too, here and there."""
     spark = texts.rows.sparkSession
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     marks = stored(texts.classes.join(wanted, "cls").select("mark"), "jaccard-wanted")
     bitmap = spark.sparkContext.broadcast(collect_bitmap(marks, "mark"))
     drop_stored(marks)
@@ -282,7 +283,67 @@ def _linked(pairs: DataFrame, texts: Texts, rule: Likeness) -> DataFrame:
                     names=["cls", "hashes"],
                 )
 
-    sets = stored(texts.rows.mapInArrow(run, "cls long, hashes array<long>"), "jaccard-sets")
+    return stored(texts.rows.mapInArrow(run, "cls long, hashes array<long>"), "jaccard-sets")
+
+
+def _told_apart(open_rows: DataFrame, texts: Texts, rule: Likeness) -> DataFrame:
+    """The open rows (rank, cls, n, label), with own (how many shingles of the whole set no other open
+    class has) and wide_0, ... (the parity sketch of the others). Classes that have more of their own
+    than any like set leaves them are left out.
+
+    Both sets of a pair are open, so what they share is never counted as one's own; the bitmap may
+    count too few, at no loss.
+    """
+    spark = texts.rows.sparkSession
+    sets = _whole_sets(open_rows.select("cls").distinct(), texts, rule)
+    counts = sets.select(F.explode("hashes").alias("rank")).groupBy("rank").count()
+    ranks = stored(counts.where(F.col("count") > 1).select("rank"), "jaccard-ranks")
+    others = spark.sparkContext.broadcast(collect_bitmap(ranks, "rank"))
+    drop_stored(ranks)
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for cls, row in zip(batch.column("cls").to_pylist(), batch.column("hashes"), strict=True):
+                hashes = row.values.to_numpy().view(np.uint64)
+                rest = hashes[in_bitmap(others.value, hashes)]
+                if len(hashes) - len(rest) < rule.first(len(hashes)):
+                    found.append([cls, len(hashes) - len(rest), *_sketch(rest, WIDE).tolist()])
+            columns = zip(*found, strict=True) if found else [()] * (2 + WIDE)
+            names = ["cls", "own", *[f"wide_{k}" for k in range(WIDE)]]
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=names)
+
+    wide = ", ".join(f"wide_{k} long" for k in range(WIDE))
+    told = stored(sets.mapInArrow(run, f"cls long, own long, {wide}").dropDuplicates(["cls"]), "jaccard-told")
+    rows = stored(open_rows.select("rank", "cls", "n", "label").join(told, "cls"), "jaccard-open")
+    drop_stored(sets)
+    drop_stored(told)
+    release(spark)
+    return rows
+
+
+def _told_may_link(rule: Likeness, x: str, y: str) -> Column:
+    """Whether the sizes of two sets, what each has of its own and the sketches of the rest leave room
+    for a link."""
+    col = lambda side, name: F.col(f"{side}.{name}")
+    n, m = col(x, "n"), col(y, "n")
+    differ = sum(
+        (F.bit_count(col(x, f"wide_{k}").bitwiseXOR(col(y, f"wide_{k}"))) for k in range(WIDE)),
+        col(x, "own") + col(y, "own"),
+    )
+    least = rule.overlap(n + m)
+    return (
+        (n * rule.den >= m * rule.num)
+        & (m * rule.den >= n * rule.num)
+        & (F.least(n - col(x, "own"), m - col(y, "own")) >= least)
+        & (differ <= n + m - 2 * least)
+    )
+
+
+def _linked(pairs: DataFrame, texts: Texts, rule: Likeness) -> DataFrame:
+    """The pairs (a, b: classes) whose sets are like, by their whole overlap."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sets = _whole_sets(wanted, texts, rule)
     left = sets.select(F.col("cls").alias("a"), F.col("hashes").alias("left"))
     right = sets.select(F.col("cls").alias("b"), F.col("hashes").alias("right"))
     both = F.size(F.array_intersect("left", "right")).cast("long")
@@ -296,7 +357,7 @@ def _linked(pairs: DataFrame, texts: Texts, rule: Likeness) -> DataFrame:
     )
     found = stored(found, "jaccard-links")
     drop_stored(sets)
-    release(spark)
+    release(texts.rows.sparkSession)
     return found
 
 
@@ -320,7 +381,8 @@ def near_duplicates(
     that are about as large: the one of which most is shared, as what others were copied from; and
     the one that it meets most often is compared with it. This is repeated some times, with others
     in turn, for classes that are in different components. At last, of each shingle, all classes
-    that are not yet in one component meet. So a group of near copies makes
+    that are not yet in one component meet, told apart by what each has of its own among them and by
+    a wider sketch of the rest. So a group of near copies makes
     about as many pairs as it has members, while no link between components is lost: pairs are left
     out only by bounds that like sets cannot miss, and what remains is decided by the overlap of the
     whole sets.
@@ -361,8 +423,11 @@ def near_duplicates(
         before, open_rows = open_rows, _open_rows(open_rows.drop("label"), labels)
         drop_stored(before)
     release(spark)
+    before, open_rows = open_rows, _told_apart(open_rows, texts, rule)
+    drop_stored(before)
     once = (F.col("x.cls") < F.col("y.cls")) & apart
-    more = _met(open_rows, open_rows, ["rank"], rule, once).where(F.col("both") >= F.col("least"))
+    more = _met(open_rows, open_rows, ["rank"], rule, once, _told_may_link)
+    more = more.where(F.col("both") >= F.col("least"))
     more = stored(more.select("a", "b"), "jaccard-more")
     drop_stored(open_rows)
     release(spark)

@@ -67,6 +67,22 @@ def test_links_are_found_when_all_shingles_are_common(spark, monkeypatch):
     assert got == plain(docs)
 
 
+def test_texts_with_enough_of_their_own_are_not_compared(spark, monkeypatch):
+    words = [f"w{k}" for k in range(300)]
+    docs = [(k, " ".join(f"{w}x{k}" if i % 37 == 5 else w for i, w in enumerate(words))) for k in range(30)]
+    linked, compared = jaccard._linked, []
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return linked(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_linked", counted)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df).collect()}
+    assert got == plain(docs)
+    assert compared[-1] == 0
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = [tuple(r) for r in jaccard.near_duplicates(odd_docs).collect()]
     assert len(got) == 10
