@@ -60,6 +60,8 @@ class Rule(NamedTuple):
 STEPS = (2, 8, 64, 512)
 #: Bits of the parity of a set's hashes, in longs.
 PARITY = 8
+#: How often classes that are in different components meet one other, before all meet.
+TURNS = 2
 #: Rows of a list that meet in one task.
 LIST = 512
 #: Rows that a task gathers before it hands them on.
@@ -163,7 +165,7 @@ def _whole_sets(rows: DataFrame, candidates: DataFrame, rule: Rule) -> DataFrame
 
 
 def _postings(sets: DataFrame, rule: Rule) -> DataFrame:
-    """The inverted lists: value, cls, n, place, alone and the parities.
+    """The inverted lists: value, cls, n, place, alone, own (0: not told yet) and the parities.
 
     A sketch's values are put in an order that is the same for all sets, rare ones first. A like set
     shares `rule.shared` of them, so at least one of the first k - shared + 1; only these are listed.
@@ -207,7 +209,7 @@ def _postings(sets: DataFrame, rule: Rule) -> DataFrame:
 
     types = {np.int64: "long", np.int32: "int"}
     schema = ", ".join(f"{c} {types[t]}" for c, t in zip(names, kinds, strict=True))
-    found = stored(sets.mapInArrow(run, schema), "bottom-k-lists")
+    found = stored(sets.mapInArrow(run, schema).withColumn("own", F.lit(0)), "bottom-k-lists")
     for b in steps:
         b.destroy()
     return found
@@ -227,7 +229,9 @@ def _may_link(rule: Rule) -> Column:
     n, m, k = x("n"), y("n"), rule.long.k
     sizes = n.cast("long") + m
     apart = rule.apart(sizes)
-    odd = sum((F.bit_count(x(f"odd_{i}").bitwiseXOR(y(f"odd_{i}"))) for i in range(PARITY)), F.lit(0))
+    odd = sum(
+        (F.bit_count(x(f"odd_{i}").bitwiseXOR(y(f"odd_{i}"))) for i in range(PARITY)), x("own") + y("own")
+    )
     # Shared values: those before this one, this one, and those behind it.
     kept = lambda size: F.least(size, F.lit(k))
     before = F.least(x("place") - x("alone"), y("place") - y("alone"))
@@ -252,11 +256,55 @@ def _in_blocks(lists: DataFrame) -> DataFrame:
     return lists.join(sizes, "value").withColumn("block", block)
 
 
-def _with_hub(lists: DataFrame, rule: Rule) -> DataFrame:
-    """a, b: each class with one of its block of a list, the same for all lists where it can be."""
+def _open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of lists whose classes are not all in one component, with their labels."""
+    named = lists.drop("label").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+    named = named.withColumn("label", F.coalesce("label", "cls"))
+    parts = named.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return stored(named.join(parts.where("low != high"), "value", "left_semi"), "bottom-k-lists")
+
+
+def _told_apart(lists: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """The lists with own (how many hashes of the whole set no other class of the lists has) and the
+    parities of the others. Classes that have more of their own than any like set leaves them are
+    left out.
+
+    Both sets of a pair are in the lists, so what they share is never counted as one's own; the
+    bitmap may count too few, at no loss.
+    """
+    spark = lists.sparkSession
+    chosen = stored(sets.join(lists.select("cls").distinct(), "cls", "left_semi"), "bottom-k-open")
+    counts = stored(_value_counts(chosen.select(F.explode("hashes").alias("value"))), "bottom-k-values")
+    others = spark.sparkContext.broadcast(collect_bitmap(counts, "value", probes=2))
+    drop_stored(counts)
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for cls, hashes in zip(batch.column("cls").to_pylist(), _arrays(batch.column("hashes")), strict=True):
+                rest = hashes[in_bitmap(others.value, hashes, probes=2)]
+                own = len(hashes) - len(rest)
+                if own * rule.den <= len(hashes) * (rule.den - rule.num):
+                    found.append([cls, own, *_parity(rest).tolist()])
+            columns = zip(*found, strict=True) if found else [()] * (2 + PARITY)
+            names = ["cls", "own", *[f"odd_{i}" for i in range(PARITY)]]
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=names)
+
+    odd = [f"odd_{i}" for i in range(PARITY)]
+    told = chosen.select("cls", "hashes").mapInArrow(run, ", ".join(f"{c} long" for c in ["cls", "own", *odd]))
+    found = stored(lists.drop("own", *odd).join(told, "cls"), "bottom-k-lists")
+    others.destroy()
+    drop_stored(chosen)
+    return found
+
+
+def _with_hub(lists: DataFrame, rule: Rule, order: Column) -> DataFrame:
+    """a, b: each class with one of its block of a list, the first by `order`, which is the same for
+    all lists where it can be."""
     rows = _in_blocks(lists)
-    hub = F.struct("label", *[c for c in lists.columns if c not in ("value", "label")])
+    hub = F.struct(order.alias("order"), "label", *[c for c in lists.columns if c not in ("value", "label")])
     hubs = rows.groupBy("value", "block").agg(F.min(hub).alias("hub")).select("value", "block", "hub.*")
+    hubs = hubs.drop("order")
     met = rows.alias("x").join(hubs.alias("y"), ["value", "block"])
     apart = F.col("x.label") != F.col("y.label")
     return met.where(apart & _may_link(rule)).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
@@ -324,7 +372,8 @@ def near_duplicates(
     read.
 
     Equal sets are one class. First the classes of a list meet one of them, which joins most of a
-    group of near copies; then those meet that are in different components. Links are confirmed by
+    group of near copies; those that are in different components then meet others in turn, and at last
+    all of them meet, told apart by what each has of its own among them. Links are confirmed by
     the whole sets; a link can be missed only by the sketches' bounds (`Sketch`).
     """
     rows = docs.select(
@@ -345,13 +394,20 @@ def near_duplicates(
     sets = _whole_sets(marked, candidates, rule)
     lists = _postings(sets, rule)
 
-    links = _linked(_with_hub(lists.withColumn("label", F.col("cls")), rule), sets, rule)
+    links = _linked(_with_hub(lists.withColumn("label", F.col("cls")), rule, F.col("label")), sets, rule)
     labels = stored(components(links), "bottom-k-labels")
-    named = lists.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    named = stored(named.withColumn("label", F.coalesce("label", "cls")), "bottom-k-lists")
+    named = _open_lists(lists, labels)
     drop_stored(lists)
-    more = _linked(_all_open(named, rule), sets, rule)
+    told = _told_apart(named, sets, rule)
     drop_stored(named)
+    for turn in range(TURNS):
+        order = F.xxhash64("cls", F.lit(turn))
+        links = links.unionByName(_linked(_with_hub(told, rule, order), sets, rule))
+        labels = stored(components(links), "bottom-k-labels")
+        before, told = told, _open_lists(told, labels)
+        drop_stored(before)
+    more = _linked(_all_open(told, rule), sets, rule)
+    drop_stored(told)
     labels = stored(components(links.unionByName(more)), "bottom-k-labels")
     drop_stored(sets)
 

@@ -144,3 +144,20 @@ def test_copies_are_one_class_and_make_no_pairs(spark):
     found = bottom_k.near_duplicates(docs.unionByName(copies)).where("doc_id >= 10000")
     assert found.select("component_id").distinct().count() == 1
     assert found.where("kept").count() == 0
+
+
+def test_sets_with_enough_of_their_own_do_not_meet(spark, monkeypatch):
+    words = [f"w{k}" for k in range(300)]
+    docs = [(k, " ".join(f"{w}x{k}" if i % 33 == 5 else w for i, w in enumerate(words))) for k in range(30)]
+    all_open, met = bottom_k._all_open, []
+
+    def counted(lists, rule):
+        pairs = all_open(lists, rule)
+        met.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(bottom_k, "_all_open", counted)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in bottom_k.near_duplicates(df).collect()]
+    assert sorted(got) == sorted(plain(docs))
+    assert met == [0]
