@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.bitmaps import collect_bitmap, in_bitmap
 from ledgerlake.llm.components import components
+from ledgerlake.llm.string_counts import repeated
 from ledgerlake.llm.tables import drop_stored, release, stored
 from ledgerlake.llm.words import ODD, groups, mixed
 
@@ -26,10 +27,14 @@ SKETCH = 4
 WIDE = 16
 #: How often classes that are in different components meet one other, before all meet.
 TURNS = 2
+#: All meet first in one of so many shingles, which joins most groups, and at last in every one.
+SHARES = (8, 1)
 #: Bits that are looked at to tell the rows that stand for their class.
 LEAD_PROBES = 3
 #: Rows that a task gathers before it hands them on.
 ROWS = 200_000
+#: Open classes are told apart by half of the hashes there are first; what is left, by all.
+HALF, WHOLE = 1 << 63, 1 << 64
 
 
 class Likeness(NamedTuple):
@@ -83,13 +88,18 @@ def _sketch(hashes: np.ndarray, longs: int = SKETCH) -> np.ndarray:
     return np.packbits((bits & 1).astype(np.uint8)).view(np.int64)
 
 
+def _spread(hashes: np.ndarray) -> np.ndarray:
+    """The hashes with their halves exchanged: the smallest ones of a set have all first bits."""
+    return (hashes << np.uint64(32)) | (hashes >> np.uint64(32))
+
+
 def _class(hashes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
 
 
 class Texts(NamedTuple):
-    """Texts (mark long, raw binary), the mark of the row that stands for each class of equal sets
-    (cls, mark), and a bitmap of class XOR mark. Other rows are passed over."""
+    """Texts (mark long, raw binary), the mark of the row that stands for each class of equal sets and
+    the size of the set (cls, mark, n), and a bitmap of class XOR mark. Other rows are passed over."""
 
     rows: DataFrame
     classes: DataFrame
@@ -137,7 +147,7 @@ def _gathered(held: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 def _in_order(hashes: np.ndarray, common: Broadcast) -> np.ndarray:
     """Shingles that few sets have first, in an order that is the same for all sets."""
-    behind = in_bitmap(common.value, hashes)
+    behind = common.value.may(_spread(hashes))
     return np.concatenate([hashes[~behind], hashes[behind]])
 
 
@@ -151,33 +161,34 @@ def _postings(texts: Texts, rule: Likeness) -> DataFrame:
     have first by hash go behind, and those that only one set has are left out; both are told by
     bitmaps of bounded size, which may put too many behind or leave too few out, at no loss.
     """
-    spark = texts.rows.sparkSession
+    spark, leads = texts.rows.sparkSession, texts.leads
+    n = F.col("n")
+    total = texts.classes.where(n > 0).agg(F.sum(rule.leading(n))).first()[0] or 0
 
     def counted(rows, least: int) -> Broadcast:
-        ranks = _flat(texts, rule, "rank long", rows).groupBy("rank").count()
-        ranks = stored(ranks.where(F.col("count") >= least).select("rank"), "jaccard-ranks")
-        found = spark.sparkContext.broadcast(collect_bitmap(ranks, "rank"))
-        drop_stored(ranks)
+        def found(batches):
+            return ((_spread(rows(hashes)),) for _, hashes in _each_set(batches, rule.words, leads.value))
+
+        often = spark.sparkContext.broadcast(repeated(texts.rows, found, total, least))
         release(spark)
-        return found
+        return often
 
-    first = lambda cls, hashes: (hashes[: rule.first(len(hashes))].view(np.int64),)
-    common = counted(first, COMMON)
+    common = counted(lambda hashes: hashes[: rule.first(len(hashes))], COMMON)
 
     def leading(hashes: np.ndarray) -> np.ndarray:
         return _in_order(hashes, common)[: rule.first(len(hashes))]
 
-    shared = counted(lambda cls, hashes: (leading(hashes).view(np.int64),), 2)
+    shared = counted(leading, 2)
 
     def posting(cls: int, hashes: np.ndarray):
         front = leading(hashes)
-        ranks = front[in_bitmap(shared.value, front)]
+        ranks = front[shared.value.may(_spread(front))]
         part = np.full(len(ranks), len(ranks) / len(front), np.float32)
         same = lambda value, kind: np.full(len(ranks), value, kind)
         sketch = _sketch(hashes) if len(ranks) else [0] * SKETCH
         sizes = same(len(hashes), np.int32)
         alone = same(len(front) - len(ranks), np.int32)
-        behind = same(bool(in_bitmap(common.value, front[-1:])[0]), bool)
+        behind = same(bool(common.value.may(_spread(front[-1:]))[0]), bool)
         last = same((front[-1:] ^ np.uint64(1 << 63)).view(np.int64)[0], np.int64)  # signed, in order
         sketches = [same(s, np.int64) for s in sketch]
         return ranks.view(np.int64), part, same(cls, np.int64), sizes, alone, behind, last, *sketches
@@ -230,12 +241,16 @@ def _open_rows(postings: DataFrame, labels: DataFrame) -> DataFrame:
     part = postings.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "label", F.coalesce("label", "cls")
     )
-    parts = part.groupBy("rank").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    open_ranks = parts.where("low != high").select("rank")
-    return stored(part.join(open_ranks, "rank", "left_semi"), "jaccard-open")
+    return stored(_between(part), "jaccard-open")
+
 
+def _between(rows: DataFrame) -> DataFrame:
+    """The rows of shingles whose classes have several labels."""
+    parts = rows.groupBy("rank").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return rows.join(parts.where("low != high").select("rank"), "rank", "left_semi")
 
-def _star(rows: DataFrame, rule: Likeness, order: Column, also: Column) -> DataFrame:
+
+def _star(rows: DataFrame, rule: Likeness, order: Column, also: Column, may=_may_link) -> DataFrame:
     """a, b: each class with one other, of those that are largest by `order` among the classes of a
     shingle and of about one size the one that it meets most often, if that may be enough."""
     # Sets of which one is at most the rule's share smaller are of one size class or the next.
@@ -243,7 +258,7 @@ def _star(rows: DataFrame, rule: Likeness, order: Column, also: Column) -> DataF
     sized = rows.withColumn("size", size)
     carried = F.struct(order.alias("order"), *rows.drop("rank").columns)
     most = sized.groupBy("rank", "size").agg(F.max(carried).alias("most")).select("rank", "size", "most.*")
-    met = _met(sized, most.drop("order"), ["rank", "size"], rule, also)
+    met = _met(sized, most.drop("order"), ["rank", "size"], rule, also, may)
     best = met.where(2 * F.col("both") >= F.col("least")).groupBy("a").agg(F.max_by("b", "both").alias("b"))
     return stored(best, "jaccard-pairs")
 
@@ -262,52 +277,68 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(known.unionByName(alone), "jaccard-labels")
 
 
-def _whole_sets(wanted: DataFrame, texts: Texts, rule: Likeness) -> DataFrame:
-    """cls and hashes (the whole set) of the wanted classes (cls); of others too, here and there."""
+def _whole_sets(wanted: DataFrame, texts: Texts, rule: Likeness, below: int = WHOLE) -> DataFrame:
+    """cls, n (size of the set) and hashes (those of the set that are less than `below`) of the wanted
+    classes (cls); of others too, here and there."""
     spark = texts.rows.sparkSession
     marks = stored(texts.classes.join(wanted, "cls").select("mark"), "jaccard-wanted")
     bitmap = spark.sparkContext.broadcast(collect_bitmap(marks, "mark"))
     drop_stored(marks)
     leads, width = texts.leads, rule.words
 
+    def gathered(held):
+        classes, sizes, parts = zip(*held, strict=True)
+        ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts).view(np.int64)))
+        columns = [pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()), lists]
+        return pa.record_batch(columns, names=["cls", "n", "hashes"])
+
     def run(batches):
         def chosen():
             for batch in batches:
                 mark = batch.column("mark").to_numpy(zero_copy_only=False).view(np.uint64)
                 yield batch.filter(pa.array(in_bitmap(bitmap.value, mark)))
 
+        held, size = [], 0
         for cls, hashes in _each_set(chosen(), width, leads.value):
-            if len(hashes):
-                yield pa.record_batch(
-                    [pa.array([cls], pa.int64()), pa.array([hashes.view(np.int64)])],
-                    names=["cls", "hashes"],
-                )
+            part = hashes if below == WHOLE else hashes[: np.searchsorted(hashes, np.uint64(below))]
+            held.append((cls, len(hashes), part))
+            size += len(part)
+            if size >= ROWS:
+                yield gathered(held)
+                held, size = [], 0
+        if held:
+            yield gathered(held)
 
-    return stored(texts.rows.mapInArrow(run, "cls long, hashes array<long>"), "jaccard-sets")
+    return stored(texts.rows.mapInArrow(run, "cls long, n long, hashes array<long>"), "jaccard-sets")
 
 
-def _told_apart(open_rows: DataFrame, texts: Texts, rule: Likeness) -> DataFrame:
-    """The open rows (rank, cls, n, label), with own (how many shingles of the whole set no other open
-    class has) and wide_0, ... (the parity sketch of the others). Classes that have more of their own
-    than any like set leaves them are left out.
+def _told(wanted: DataFrame, texts: Texts, rule: Likeness, below: int) -> DataFrame:
+    """cls, own (how many shingles less than `below` no other wanted class has) and wide_0, ... (the
+    parity sketch of the others there) of the wanted classes (cls) that have no more of their own than
+    a like set leaves them.
 
-    Both sets of a pair are open, so what they share is never counted as one's own; the bitmap may
-    count too few, at no loss.
+    Both sets of a pair are wanted, so what they share is never counted as one's own; the bits of
+    repeated shingles may count too few, at no loss.
     """
     spark = texts.rows.sparkSession
-    sets = _whole_sets(open_rows.select("cls").distinct(), texts, rule)
-    counts = sets.select(F.explode("hashes").alias("rank")).groupBy("rank").count()
-    ranks = stored(counts.where(F.col("count") > 1).select("rank"), "jaccard-ranks")
-    others = spark.sparkContext.broadcast(collect_bitmap(ranks, "rank"))
-    drop_stored(ranks)
+    sets = _whole_sets(wanted, texts, rule, below)
+
+    def shingles(batches):
+        for batch in batches:
+            yield (_spread(batch.column("hashes").flatten().to_numpy().view(np.uint64)),)
+
+    total = sets.agg(F.sum(F.size("hashes"))).first()[0] or 0
+    others = spark.sparkContext.broadcast(repeated(sets, shingles, total))
 
     def run(batches):
         for batch in batches:
             found = []
-            for cls, row in zip(batch.column("cls").to_pylist(), batch.column("hashes"), strict=True):
+            classes, sizes = batch.column("cls").to_pylist(), batch.column("n").to_pylist()
+            for cls, n, row in zip(classes, sizes, batch.column("hashes"), strict=True):
                 hashes = row.values.to_numpy().view(np.uint64)
-                rest = hashes[in_bitmap(others.value, hashes)]
-                if len(hashes) - len(rest) < rule.first(len(hashes)):
+                rest = hashes[others.value.may(_spread(hashes))]
+                if len(hashes) - len(rest) < rule.first(n):
                     found.append([cls, len(hashes) - len(rest), *_sketch(rest, WIDE).tolist()])
             columns = zip(*found, strict=True) if found else [()] * (2 + WIDE)
             names = ["cls", "own", *[f"wide_{k}" for k in range(WIDE)]]
@@ -315,10 +346,26 @@ def _told_apart(open_rows: DataFrame, texts: Texts, rule: Likeness) -> DataFrame
 
     wide = ", ".join(f"wide_{k} long" for k in range(WIDE))
     told = stored(sets.mapInArrow(run, f"cls long, own long, {wide}").dropDuplicates(["cls"]), "jaccard-told")
-    rows = stored(open_rows.select("rank", "cls", "n", "label").join(told, "cls"), "jaccard-open")
     drop_stored(sets)
-    drop_stored(told)
     release(spark)
+    return told
+
+
+def _told_apart(open_rows: DataFrame, texts: Texts, rule: Likeness) -> DataFrame:
+    """The open rows (rank, cls, n, label), with own (how many shingles of the whole set no other open
+    class has) and wide_0, ... (the parity sketch of the others). Classes that have more of their own
+    than any like set leaves them are left out.
+
+    Half of the hashes tell most of them, so that few whole sets are written.
+    """
+    rows = open_rows
+    for below in (HALF, WHOLE):
+        told = _told(rows.select("cls").distinct(), texts, rule, below)
+        before, rows = rows, stored(_between(rows.select("rank", "cls", "n", "label").join(told, "cls")), "jaccard-open")
+        drop_stored(told)
+        if before is not open_rows:
+            drop_stored(before)
+    release(texts.rows.sparkSession)
     return rows
 
 
@@ -379,10 +426,11 @@ def near_duplicates(
     Equal sets become one class. The product of the incidence matrix with its transpose is taken
     over the rows of a shingle. First each class meets one other of those of the shingle's classes
     that are about as large: the one of which most is shared, as what others were copied from; and
-    the one that it meets most often is compared with it. This is repeated some times, with others
-    in turn, for classes that are in different components. At last, of each shingle, all classes
-    that are not yet in one component meet, told apart by what each has of its own among them and by
-    a wider sketch of the rest. So a group of near copies makes
+    the one that it meets most often is compared with it. Classes of shingles that are not yet in one
+    component are then told apart by what each has of its own among them and by a wider sketch of the
+    rest. Those that may still have a like one meet others in turn, then all in a share
+    of the shingles, and at last, of each shingle, all that are in different components meet. So a
+    group of near copies makes
     about as many pairs as it has members, while no link between components is lost: pairs are left
     out only by bounds that like sets cannot miss, and what remains is decided by the overlap of the
     whole sets.
@@ -404,7 +452,8 @@ def near_duplicates(
     members = rows.mapInArrow(sizes, f"key {kind}, cls long, n_shingles long")
     members = stored(members, "jaccard-sizes")
     mark = F.xxhash64("key")
-    classes = stored(members.groupBy("cls").agg(F.min(mark).alias("mark")), "jaccard-classes")
+    classes = members.groupBy("cls").agg(F.min(mark).alias("mark"), F.first("n_shingles").alias("n"))
+    classes = stored(classes, "jaccard-classes")
     leads = classes.select(F.col("cls").bitwiseXOR(F.col("mark")).alias("lead"))
     leads = spark.sparkContext.broadcast(collect_bitmap(leads, "lead", probes=LEAD_PROBES))
     raw_rows = rows.where(F.length("raw") > 0).select(mark.alias("mark"), "raw")
@@ -416,22 +465,29 @@ def near_duplicates(
     apart = F.col("x.label") != F.col("y.label")
     open_rows = _open_rows(postings, labels)
     drop_stored(postings)
+    release(spark)
+    before, open_rows = open_rows, _told_apart(open_rows, texts, rule)
+    drop_stored(before)
     for turn in range(TURNS):
-        release(spark)
-        pairs = _star(open_rows, rule, F.xxhash64("cls", F.lit(turn)), apart)
+        pairs = _star(open_rows, rule, F.xxhash64("cls", F.lit(turn)), apart, _told_may_link)
         labels = _joined(labels, _linked(pairs, texts, rule))
         before, open_rows = open_rows, _open_rows(open_rows.drop("label"), labels)
         drop_stored(before)
-    release(spark)
-    before, open_rows = open_rows, _told_apart(open_rows, texts, rule)
-    drop_stored(before)
+        release(spark)
     once = (F.col("x.cls") < F.col("y.cls")) & apart
-    more = _met(open_rows, open_rows, ["rank"], rule, once, _told_may_link)
-    more = more.where(F.col("both") >= F.col("least"))
-    more = stored(more.select("a", "b"), "jaccard-more")
+    for share in SHARES:
+        some = open_rows.where(F.pmod(F.xxhash64("rank"), F.lit(share)) == 0)
+        more = _met(some, some, ["rank"], rule, once, _told_may_link)
+        if share == 1:
+            more = more.where(F.col("both") >= F.col("least"))
+        more = stored(more.select("a", "b"), "jaccard-more")
+        release(spark)
+        labels = _joined(labels, _linked(more, texts, rule))
+        if share > 1:
+            before, open_rows = open_rows, _open_rows(open_rows.drop("label"), labels)
+            drop_stored(before)
+            release(spark)
     drop_stored(open_rows)
-    release(spark)
-    labels = _joined(labels, _linked(more, texts, rule))
     labels = labels.select(F.col("node").alias("cls"), F.col("label").alias("part"))
     placed = members.join(labels, "cls", "left").withColumn("part", F.coalesce("part", "cls"))
     least = placed.groupBy("part").agg(F.min("key").alias("least"))

@@ -1,8 +1,12 @@
 import random
 import re
 
+import numpy as np
+
 from ledgerlake.llm import jaccard
 from ledgerlake.llm.components import components
+from ledgerlake.llm.string_counts import repeated
+from ledgerlake.llm.words import mixed
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -83,6 +87,38 @@ def test_texts_with_enough_of_their_own_are_not_compared(spark, monkeypatch):
     assert compared[-1] == 0
 
 
+def test_few_whole_sets_are_written_to_tell_texts_apart(spark, monkeypatch):
+    passage = " ".join(f"p{k}" for k in range(60))
+    own = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n))
+    docs = [(k, f"{passage} {own(k, 600)}") for k in range(40)] + [(40, f"{passage} {own(1, 599)}")]
+    stored, written = jaccard.stored, []
+
+    def counted(df, name):
+        df = stored(df, name)
+        if name == "jaccard-sets":
+            written.append(df.selectExpr("sum(size(hashes))").first()[0] or 0)
+        return df
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df).collect()}
+    assert got == plain(docs)
+    assert max(written) < 0.6 * sum(n for n, _ in got.values())
+
+
+def test_shingles_are_counted_as_often_as_asked(spark):
+    rows = [(k % 7,) for k in range(40)] + [(100 + k,) for k in range(50)] + [(7,), (7,)]
+    df = spark.createDataFrame(rows, "value long").repartition(5)
+
+    def hashes(batches):
+        for batch in batches:
+            yield (mixed(batch.column("value").to_numpy().view(np.uint64)),)
+
+    for least, often in ((2, set(range(8))), (6, set(range(5))), (64, set())):
+        found = repeated(df, hashes, len(rows), least)
+        assert {k for k in [*range(8), *range(100, 150)] if found.may(mixed(np.array([k], np.uint64)))[0]} == often
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = [tuple(r) for r in jaccard.near_duplicates(odd_docs).collect()]
     assert len(got) == 10
