@@ -61,7 +61,9 @@ STEPS = (2, 8, 64, 512)
 #: Bits of the parity of a set's hashes, in longs.
 PARITY = 8
 #: How often classes that are in different components meet one other, before all meet.
-TURNS = 2
+TURNS = 1
+#: Before, all meet in one of so many lists, which joins most groups.
+SHARE = 16
 #: Rows of a list that meet in one task.
 LIST = 512
 #: Rows that a task gathers before it hands them on.
@@ -311,11 +313,16 @@ def _with_hub(lists: DataFrame, rule: Rule, order: Column) -> DataFrame:
 
 
 def _all_open(lists: DataFrame, rule: Rule) -> DataFrame:
-    """a, b: all pairs of a list that are not in one component yet and may link.
+    """a, b: all pairs of a list that are not in one component yet and may link."""
+    return _in_share(lists, rule, 1)
+
+
+def _in_share(lists: DataFrame, rule: Rule, share: int) -> DataFrame:
+    """a, b: of one in `share` lists all pairs that are not in one component yet and may link.
 
     The blocks of a list meet two by two, so that no task has more than two of them.
     """
-    rows = _in_blocks(lists)
+    rows = _in_blocks(lists.where(F.pmod(F.xxhash64("value"), F.lit(share)) == 0))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     meet = F.transform(every, lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")))
     dealt = rows.select("*", F.inline(meet))
@@ -372,9 +379,10 @@ def near_duplicates(
     read.
 
     Equal sets are one class. First the classes of a list meet one of them, which joins most of a
-    group of near copies; those that are in different components then meet others in turn, and at last
-    all of them meet, told apart by what each has of its own among them. Links are confirmed by
-    the whole sets; a link can be missed only by the sketches' bounds (`Sketch`).
+    group of near copies; those that are in different components, told apart by what each has of its
+    own among them, then meet another one in turn, all others in a share of the lists, and at last in
+    every list, so that near copies of one group rarely meet twice. Links are confirmed by the whole
+    sets; a link can be missed only by the sketches' bounds (`Sketch`).
     """
     rows = docs.select(
         F.col(doc_id).alias("key"),
@@ -406,9 +414,13 @@ def near_duplicates(
         labels = stored(components(links), "bottom-k-labels")
         before, told = told, _open_lists(told, labels)
         drop_stored(before)
+    links = links.unionByName(_linked(_in_share(told, rule, SHARE), sets, rule))
+    labels = stored(components(links), "bottom-k-labels")
+    before, told = told, _open_lists(told, labels)
+    drop_stored(before)
     more = _linked(_all_open(told, rule), sets, rule)
-    drop_stored(told)
     labels = stored(components(links.unionByName(more)), "bottom-k-labels")
+    drop_stored(told)
     drop_stored(sets)
 
     # The smallest id of each class, then of each component; only groups are looked up.

@@ -161,3 +161,20 @@ def test_sets_with_enough_of_their_own_do_not_meet(spark, monkeypatch):
     got = [tuple(r) for r in bottom_k.near_duplicates(df).collect()]
     assert sorted(got) == sorted(plain(docs))
     assert met == [0]
+
+
+def test_what_met_in_a_share_of_the_lists_does_not_meet_at_last(spark, monkeypatch):
+    monkeypatch.setattr(bottom_k, "TURNS", 0)
+    monkeypatch.setattr(bottom_k, "SHARE", 1, raising=False)
+    linked, links = bottom_k._linked, []
+
+    def counted(*args):
+        links.append(linked(*args))
+        return links[-1]
+
+    monkeypatch.setattr(bottom_k, "_linked", counted)
+    words = [f"w{k}" for k in range(120)]
+    docs = [(k, " ".join([f"x{i}" for i in range(3 * k)] + words[3 * k :])) for k in range(24)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, bottom_k.near_duplicates(df).collect())) == sorted(plain(docs))
+    assert links[-1].count() == 0
