@@ -11,14 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import bpe, decontamination, jaccard, suffix_dedup, toxicity
-from ledgerlake.llm.tables import stored, table
+from ledgerlake.llm.tables import few_rows_at_once, stored, table
 from ledgerlake.operators.lookups import BROADCAST_LIMIT, measured_bytes
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Documents of this score and more are rejected.
 TOXIC = 0.7
-#: Rows that a Python worker gets at a time.
-BATCH_ROWS = 2_000
 
 
 def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -26,7 +24,7 @@ def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     Whole rows stay in the JVM, and Python gets few rows at a time.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    few_rows_at_once(spark)
     return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
 
 
@@ -58,7 +56,7 @@ def apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages of 200 bytes and more that occur again among them."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    few_rows_at_once(spark)
     docs = docs.withColumn("_has_text", F.col("text").isNotNull())
     found = suffix_dedup.remove_repeats(docs, carry=("lang", "source", "n_chars", "_has_text"), as_text=True)
     return found.select(
@@ -79,7 +77,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and ids: the whole texts as tokens."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    few_rows_at_once(spark)
     vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
     return bpe.encode(docs, vocabulary).select("doc_id", F.size("ids").alias("n_tokens"), "ids")
 

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.bitmaps import collect_bitmap, in_bitmap
 from ledgerlake.llm.components import components
 from ledgerlake.llm.string_counts import repeated
-from ledgerlake.llm.tables import drop_stored, release, stored
+from ledgerlake.llm.tables import drop_stored, few_rows_at_once, release, stored
 from ledgerlake.llm.words import ODD, groups, mixed
+from ledgerlake.llm.workers import lean
 
 #: A shingle that so many sets have among their first ones is put behind the others.
 COMMON = 64
@@ -137,7 +138,7 @@ def _flat(texts: Texts, rule: Likeness, schema: str, rows) -> DataFrame:
         if size:
             yield _gathered(held, names)
 
-    return texts.rows.mapInArrow(run, schema)
+    return texts.rows.mapInArrow(lean(run), schema)
 
 
 def _gathered(held: list[tuple], names: list[str]) -> pa.RecordBatch:
@@ -310,7 +311,7 @@ def _whole_sets(wanted: DataFrame, texts: Texts, rule: Likeness, below: int = WH
         if held:
             yield gathered(held)
 
-    return stored(texts.rows.mapInArrow(run, "cls long, n long, hashes array<long>"), "jaccard-sets")
+    return stored(texts.rows.mapInArrow(lean(run), "cls long, n long, hashes array<long>"), "jaccard-sets")
 
 
 def _told(wanted: DataFrame, texts: Texts, rule: Likeness, below: int) -> DataFrame:
@@ -345,7 +346,7 @@ def _told(wanted: DataFrame, texts: Texts, rule: Likeness, below: int) -> DataFr
             yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=names)
 
     wide = ", ".join(f"wide_{k} long" for k in range(WIDE))
-    told = stored(sets.mapInArrow(run, f"cls long, own long, {wide}").dropDuplicates(["cls"]), "jaccard-told")
+    told = stored(sets.mapInArrow(lean(run), f"cls long, own long, {wide}").dropDuplicates(["cls"]), "jaccard-told")
     drop_stored(sets)
     release(spark)
     return told
@@ -436,6 +437,7 @@ def near_duplicates(
     whole sets.
     """
     spark = docs.sparkSession
+    few_rows_at_once(spark)
     rows = docs.select(
         F.col(doc_id).alias("key"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("raw"),
@@ -449,7 +451,7 @@ def near_duplicates(
             n = pa.array([len(s) for s in sets], pa.int64())
             yield pa.record_batch([part.column("key"), classes, n], names=["key", "cls", "n_shingles"])
 
-    members = rows.mapInArrow(sizes, f"key {kind}, cls long, n_shingles long")
+    members = rows.mapInArrow(lean(sizes), f"key {kind}, cls long, n_shingles long")
     members = stored(members, "jaccard-sizes")
     mark = F.xxhash64("key")
     classes = members.groupBy("cls").agg(F.min(mark).alias("mark"), F.first("n_shingles").alias("n"))
