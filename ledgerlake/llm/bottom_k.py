@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.bitmaps import collect_bitmap, in_bitmap
 from ledgerlake.llm.components import components
 from ledgerlake.llm.jaccard import shingle_sets
-from ledgerlake.llm.tables import drop_stored, stored
+from ledgerlake.llm.tables import drop_stored, release, stored
 from ledgerlake.llm.words import groups
+from ledgerlake.llm.workers import lean
 from ledgerlake.operators.lookups import left_lookup
 
 
@@ -58,11 +59,12 @@ class Rule(NamedTuple):
 
 #: A value is listed behind those that fewer sets have; these are the steps. 2 is the first that meets.
 STEPS = (2, 8, 64, 512)
-#: Bits of the parity of a set's hashes, in longs.
-PARITY = 8
+#: Bits of the parity of a set's hashes, in longs; wider for the classes that may meet all others at last.
+PARITY, WIDE = 8, 16
 #: How often classes that are in different components meet one other, before all meet.
 TURNS = 1
-#: Before, all meet in one of so many lists, which joins most groups.
+#: Before, all meet in one of so many lists and then in four times as many, which joins most groups; what
+#: a step joins does not meet in the next.
 SHARE = 16
 #: Rows of a list that meet in one task.
 LIST = 512
@@ -70,10 +72,10 @@ LIST = 512
 ROWS = 20_000
 
 
-def _parity(hashes: np.ndarray) -> np.ndarray:
+def _parity(hashes: np.ndarray, longs: int = PARITY) -> np.ndarray:
     """A bit for each of many classes of hashes: whether the set has an odd number of them."""
-    classes = (hashes >> np.uint64(40)) & np.uint64(64 * PARITY - 1)
-    odd = np.bincount(classes.astype(np.int64), minlength=64 * PARITY) & 1
+    classes = (hashes >> np.uint64(40)) & np.uint64(64 * longs - 1)
+    odd = np.bincount(classes.astype(np.int64), minlength=64 * longs) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -108,7 +110,7 @@ def _sketched(rows: DataFrame, rule: Rule) -> DataFrame:
                 names=["key", "cls", "n", "sketch"],
             )
 
-    return rows.mapInArrow(run, f"key {kind}, cls long, n long, sketch array<long>")
+    return rows.mapInArrow(lean(run), f"key {kind}, cls long, n long, sketch array<long>")
 
 
 def _value_counts(values: DataFrame) -> DataFrame:
@@ -134,7 +136,7 @@ def _candidates(classes: DataFrame, rule: Rule) -> DataFrame:
             enough = pa.array((n > 0) & (shared >= np.maximum(rule.shared(n, rule.short), 1)))
             yield batch.select(["cls", "mark"]).filter(enough)
 
-    found = stored(classes.mapInArrow(run, "cls long, mark long"), "bottom-k-candidates")
+    found = stored(classes.mapInArrow(lean(run), "cls long, mark long"), "bottom-k-candidates")
     bitmap.destroy()
     return found
 
@@ -158,7 +160,7 @@ def _whole_sets(rows: DataFrame, candidates: DataFrame, rule: Rule) -> DataFrame
                 names=["cls", "mark", "hashes"],
             )
 
-    found = rows.select("mark", "raw").mapInArrow(run, "cls long, mark long, hashes array<long>")
+    found = rows.select("mark", "raw").mapInArrow(lean(run), "cls long, mark long, hashes array<long>")
     # The bitmap may let other rows through, and equal ids of equal texts come more than once.
     chosen = found.join(candidates, ["cls", "mark"], "left_semi").groupBy("cls")
     sets = stored(chosen.agg(F.first("hashes").alias("hashes")), "bottom-k-sets")
@@ -211,7 +213,7 @@ def _postings(sets: DataFrame, rule: Rule) -> DataFrame:
 
     types = {np.int64: "long", np.int32: "int"}
     schema = ", ".join(f"{c} {types[t]}" for c, t in zip(names, kinds, strict=True))
-    found = stored(sets.mapInArrow(run, schema).withColumn("own", F.lit(0)), "bottom-k-lists")
+    found = stored(sets.mapInArrow(lean(run), schema).withColumn("own", F.lit(0)), "bottom-k-lists")
     for b in steps:
         b.destroy()
     return found
@@ -225,14 +227,14 @@ def _gathered(held: list[list[np.ndarray]], names: list[str], kinds: list) -> pa
     )
 
 
-def _may_link(rule: Rule) -> Column:
-    """Whether what x and y are told to be leaves room for a link."""
+def _may_link(rule: Rule, longs: int) -> Column:
+    """Whether what x and y are told to be (parities of so many longs) leaves room for a link."""
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
     n, m, k = x("n"), y("n"), rule.long.k
     sizes = n.cast("long") + m
     apart = rule.apart(sizes)
     odd = sum(
-        (F.bit_count(x(f"odd_{i}").bitwiseXOR(y(f"odd_{i}"))) for i in range(PARITY)), x("own") + y("own")
+        (F.bit_count(x(f"odd_{i}").bitwiseXOR(y(f"odd_{i}"))) for i in range(longs)), x("own") + y("own")
     )
     # Shared values: those before this one, this one, and those behind it.
     kept = lambda size: F.least(size, F.lit(k))
@@ -268,13 +270,14 @@ def _open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _told_apart(lists: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The lists with own (how many hashes of the whole set no other class of the lists has) and the
-    parities of the others. Classes that have more of their own than any like set leaves them are
+    (wider) parities of the others. Classes that have more of their own than any like set leaves them are
     left out.
 
     Both sets of a pair are in the lists, so what they share is never counted as one's own; the
     bitmap may count too few, at no loss.
     """
     spark = lists.sparkSession
+    odd = [f"odd_{i}" for i in range(WIDE)]
     chosen = stored(sets.join(lists.select("cls").distinct(), "cls", "left_semi"), "bottom-k-open")
     counts = stored(_value_counts(chosen.select(F.explode("hashes").alias("value"))), "bottom-k-values")
     others = spark.sparkContext.broadcast(collect_bitmap(counts, "value", probes=2))
@@ -287,20 +290,19 @@ def _told_apart(lists: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
                 rest = hashes[in_bitmap(others.value, hashes, probes=2)]
                 own = len(hashes) - len(rest)
                 if own * rule.den <= len(hashes) * (rule.den - rule.num):
-                    found.append([cls, own, *_parity(rest).tolist()])
-            columns = zip(*found, strict=True) if found else [()] * (2 + PARITY)
-            names = ["cls", "own", *[f"odd_{i}" for i in range(PARITY)]]
+                    found.append([cls, own, *_parity(rest, WIDE).tolist()])
+            columns = zip(*found, strict=True) if found else [()] * (2 + WIDE)
+            names = ["cls", "own", *odd]
             yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=names)
 
-    odd = [f"odd_{i}" for i in range(PARITY)]
-    told = chosen.select("cls", "hashes").mapInArrow(run, ", ".join(f"{c} long" for c in ["cls", "own", *odd]))
+    told = chosen.select("cls", "hashes").mapInArrow(lean(run), ", ".join(f"{c} long" for c in ["cls", "own", *odd]))
     found = stored(lists.drop("own", *odd).join(told, "cls"), "bottom-k-lists")
     others.destroy()
     drop_stored(chosen)
     return found
 
 
-def _with_hub(lists: DataFrame, rule: Rule, order: Column) -> DataFrame:
+def _with_hub(lists: DataFrame, rule: Rule, order: Column, longs: int) -> DataFrame:
     """a, b: each class with one of its block of a list, the first by `order`, which is the same for
     all lists where it can be."""
     rows = _in_blocks(lists)
@@ -309,7 +311,7 @@ def _with_hub(lists: DataFrame, rule: Rule, order: Column) -> DataFrame:
     hubs = hubs.drop("order")
     met = rows.alias("x").join(hubs.alias("y"), ["value", "block"])
     apart = F.col("x.label") != F.col("y.label")
-    return met.where(apart & _may_link(rule)).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
+    return met.where(apart & _may_link(rule, longs)).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
 
 
 def _all_open(lists: DataFrame, rule: Rule) -> DataFrame:
@@ -330,7 +332,7 @@ def _in_share(lists: DataFrame, rule: Rule, share: int) -> DataFrame:
     once = F.when(F.col("x.i") == F.col("x.j"), F.col("x.cls") < F.col("y.cls")).otherwise(
         F.col("x.block") < F.col("y.block")
     )
-    met = x.join(y, ["value", "i", "j"]).where(once & (F.col("x.label") != F.col("y.label")) & _may_link(rule))
+    met = x.join(y, ["value", "i", "j"]).where(once & (F.col("x.label") != F.col("y.label")) & _may_link(rule, WIDE))
     ends = [F.col("x.cls"), F.col("y.cls")]
     return met.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
 
@@ -359,7 +361,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
             found = [may(x, y) and like(x, y) for x, y in sides]
             yield batch.select(["a", "b"]).filter(pa.array(found, pa.bool_()))
 
-    return stored(both.mapInArrow(run, "a long, b long"), "bottom-k-links")
+    return stored(both.mapInArrow(lean(run), "a long, b long"), "bottom-k-links")
 
 
 def near_duplicates(
@@ -380,10 +382,11 @@ def near_duplicates(
 
     Equal sets are one class. First the classes of a list meet one of them, which joins most of a
     group of near copies; those that are in different components, told apart by what each has of its
-    own among them, then meet another one in turn, all others in a share of the lists, and at last in
-    every list, so that near copies of one group rarely meet twice. Links are confirmed by the whole
+    own among them, then meet another one in turn, all others in growing shares of the lists, and at
+    last in every list, so that near copies of one group rarely meet twice. Links are confirmed by the whole
     sets; a link can be missed only by the sketches' bounds (`Sketch`).
     """
+    spark = docs.sparkSession
     rows = docs.select(
         F.col(doc_id).alias("key"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("raw"),
@@ -402,22 +405,26 @@ def near_duplicates(
     sets = _whole_sets(marked, candidates, rule)
     lists = _postings(sets, rule)
 
-    links = _linked(_with_hub(lists.withColumn("label", F.col("cls")), rule, F.col("label")), sets, rule)
+    links = _linked(_with_hub(lists.withColumn("label", F.col("cls")), rule, F.col("label"), PARITY), sets, rule)
     labels = stored(components(links), "bottom-k-labels")
     named = _open_lists(lists, labels)
     drop_stored(lists)
     told = _told_apart(named, sets, rule)
     drop_stored(named)
+    release(spark)
     for turn in range(TURNS):
         order = F.xxhash64("cls", F.lit(turn))
-        links = links.unionByName(_linked(_with_hub(told, rule, order), sets, rule))
+        links = links.unionByName(_linked(_with_hub(told, rule, order, WIDE), sets, rule))
         labels = stored(components(links), "bottom-k-labels")
         before, told = told, _open_lists(told, labels)
         drop_stored(before)
-    links = links.unionByName(_linked(_in_share(told, rule, SHARE), sets, rule))
-    labels = stored(components(links), "bottom-k-labels")
-    before, told = told, _open_lists(told, labels)
-    drop_stored(before)
+        release(spark)
+    for share in (SHARE, max(1, SHARE // 4)):
+        links = links.unionByName(_linked(_in_share(told, rule, share), sets, rule))
+        labels = stored(components(links), "bottom-k-labels")
+        before, told = told, _open_lists(told, labels)
+        drop_stored(before)
+        release(spark)
     more = _linked(_all_open(told, rule), sets, rule)
     labels = stored(components(links.unionByName(more)), "bottom-k-labels")
     drop_stored(told)

@@ -178,3 +178,29 @@ def test_what_met_in_a_share_of_the_lists_does_not_meet_at_last(spark, monkeypat
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     assert sorted(map(tuple, bottom_k.near_duplicates(df).collect())) == sorted(plain(docs))
     assert links[-1].count() == 0
+
+
+def test_all_meet_in_growing_shares_of_the_lists(spark, monkeypatch):
+    in_share, shares = bottom_k._in_share, []
+
+    def counted(lists, rule, share):
+        shares.append(share)
+        return in_share(lists, rule, share)
+
+    monkeypatch.setattr(bottom_k, "_in_share", counted)
+    words = [f"w{k}" for k in range(120)]
+    docs = [(k, " ".join([f"x{i}" for i in range(3 * k)] + words[3 * k :])) for k in range(24)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, bottom_k.near_duplicates(df).collect())) == sorted(plain(docs))
+    assert shares == [bottom_k.SHARE, bottom_k.SHARE // 4, 1]
+
+
+def test_wider_parities_tell_long_sets_apart():
+    rng = np.random.default_rng(3)
+    x, y = (np.sort(rng.integers(0, 1 << 63, 1000).astype(np.uint64) << np.uint64(1)) for _ in "xy")
+    near = np.concatenate([x[:890], y[890:]])  # 220 of both in one only; 162 are the most that like sets have
+    differ = lambda longs: sum(
+        int(a ^ b).bit_count() if a ^ b >= 0 else (int(a ^ b) + (1 << 64)).bit_count()
+        for a, b in zip(bottom_k._parity(x, longs), bottom_k._parity(near, longs), strict=True)
+    )
+    assert differ(bottom_k.PARITY) <= 162 < differ(bottom_k.WIDE)
