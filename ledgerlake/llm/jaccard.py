@@ -226,17 +226,21 @@ def _met(
     """a, b, both, least: pairs of classes that share leading shingles, how many, and how many like
     sets of their sizes share at least: of two sets, what one has behind its leading shingles is all
     that can be common besides."""
-    n, m = F.col("x.n"), F.col("y.n")
-    behind = F.greatest(n - rule.leading(n), m - rule.leading(m))
     return (
         rows.alias("x")
         .join(others.alias("y"), on)
         .where(also & may(rule, "x", "y"))
         .groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
-        .agg(F.count("rank").alias("both"), F.first(rule.overlap(n + m) - behind).alias("least"))
+        .agg(F.count("rank").alias("both"), F.first(_least(rule)).alias("least"))
     )
 
 
+def _least(rule: Likeness) -> Column:
+    """How many leading shingles like sets of the sizes of x and y share at least."""
+    n, m = F.col("x.n"), F.col("y.n")
+    return rule.overlap(n + m) - F.greatest(n - rule.leading(n), m - rule.leading(m))
+
+
 def _open_rows(postings: DataFrame, labels: DataFrame) -> DataFrame:
     """The postings of shingles whose classes are not all in one component, with their labels."""
     part = postings.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
@@ -256,12 +260,22 @@ def _star(rows: DataFrame, rule: Likeness, order: Column, also: Column, may=_may
     shingle and of about one size the one that it meets most often, if that may be enough."""
     # Sets of which one is at most the rule's share smaller are of one size class or the next.
     size = F.floor(F.log(F.col("n").cast("double")) / math.log(rule.den / rule.num) + 0.5)
-    sized = rows.withColumn("size", size)
-    carried = F.struct(order.alias("order"), *rows.drop("rank").columns)
-    most = sized.groupBy("rank", "size").agg(F.max(carried).alias("most")).select("rank", "size", "most.*")
-    met = _met(sized, most.drop("order"), ["rank", "size"], rule, also, may)
-    best = met.where(2 * F.col("both") >= F.col("least")).groupBy("a").agg(F.max_by("b", "both").alias("b"))
-    return stored(best, "jaccard-pairs")
+    # Ids alone move with the shingles: what tells two sets apart is the same in all rows of a set.
+    sized = rows.select("rank", "cls", size.alias("size"), order.alias("order"))
+    most = sized.groupBy("rank", "size").agg(F.max(F.struct("order", F.col("cls").alias("b"))).alias("most"))
+    met = sized.drop("order").join(most.select("rank", "size", "most.b"), ["rank", "size"]).where("cls != b")
+    met = met.groupBy(F.col("cls").alias("a"), "b").agg(F.count("rank").alias("both"))
+    sets = rows.drop("rank", "shared").dropDuplicates(["cls"])
+    x, y = sets.alias("x"), sets.alias("y")
+    met = met.join(x, F.col("a") == F.col("x.cls")).join(y, F.col("b") == F.col("y.cls"))
+    best = (
+        met.where(also & may(rule, "x", "y") & (2 * F.col("both") >= _least(rule)))
+        .groupBy("a")
+        .agg(F.max_by("b", "both").alias("b"))
+    )
+    best = stored(best, "jaccard-pairs")
+    release(rows.sparkSession)
+    return best
 
 
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import jaccard
 from ledgerlake.llm.components import components
@@ -134,3 +135,28 @@ def test_components_of_a_long_path(spark):
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
     want = {k: 0 for k in range(41)} | {100: 100, 101: 100, 50: 50, 60: 50}
     assert {r.node: r.label for r in got} == want
+
+
+def test_only_ids_move_with_the_shingles_of_a_star(spark, monkeypatch):
+    """What sets are told apart by is joined to pairs, not sent with each of their shingles."""
+    kept, plans = jaccard.stored, []
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return kept(df, name)
+
+    monkeypatch.setattr(jaccard, "stored", seen)
+    sketches = {f"sketch_{k}": 0 for k in range(jaccard.SKETCH)}
+    sets = [(1, 10, 0.5, (1, 2, 3)), (2, 10, 1.0, (1, 2, 3, 4)), (3, 10, 0.1, (3, 4)), (4, 100, 1.0, (1, 2, 3))]
+    rows = [
+        {"rank": r, "shared": s, "cls": c, "n": n, "alone": 0, "behind": False, "last": 9, **sketches}
+        for c, n, s, ranks in sets
+        for r in ranks
+    ]
+    names = ", ".join(f"sketch_{k} long" for k in range(jaccard.SKETCH))
+    df = spark.createDataFrame(rows, f"rank long, shared float, cls long, n int, alone int, behind boolean, last long, {names}")
+    df = kept(df, "postings")
+    pairs = jaccard._star(df, jaccard.Likeness(), F.col("shared"), F.col("x.cls") != F.col("y.cls"))
+    assert sorted(map(tuple, pairs.collect())) == [(1, 2), (3, 2)]  # 4 is too large for a link
+    grouped = [line for line in plans[-1].splitlines() if "Aggregate [rank#" in line]
+    assert grouped and not any("sketch" in line for line in grouped)
